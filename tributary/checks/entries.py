@@ -16,6 +16,7 @@ from tributary.operators import (
     media,
     push,
     registry,
+    scale,
     schedule,
     tweets,
 )
@@ -38,6 +39,11 @@ _rivers, _channels = _view("fx_rivers"), _view("fx_river_channels")
 _drops, _rss_urls = _view("fx_drops"), _view("fx_rss_urls")
 
 
+def _texts(spark, sf_dir):
+    """The drops, for work that is heavy per text."""
+    return scale.spread_if_few(_drops(spark, sf_dir), "id")
+
+
 def _active(spark, sf_dir, channel, channels=_channels):
     return registry.active_channels(
         _rivers(spark, sf_dir), channels(spark, sf_dir), channel
@@ -175,7 +181,7 @@ def subscription_fold(spark, sf_dir):
 
 
 def track_match(spark, sf_dir):
-    return tweets.track_match(_drops(spark, sf_dir), _predicates(spark, sf_dir))
+    return tweets.track_match(_texts(spark, sf_dir), _predicates(spark, sf_dir))
 
 
 def follow_match(spark, sf_dir):
@@ -192,7 +198,7 @@ def _routes_as_text(routed):
 def match_rivers(spark, sf_dir):
     """Which rivers does each drop belong to?"""
     return _routes_as_text(
-        firehose.rivers_of(_drops(spark, sf_dir), _predicates(spark, sf_dir), "track")
+        firehose.rivers_of(_texts(spark, sf_dir), _predicates(spark, sf_dir), "track")
     )
 
 
@@ -442,7 +448,7 @@ def cache_purge(spark, sf_dir):
 
 
 def _html(spark, sf_dir):
-    rows = bindings.view(spark, sf_dir, "fx_html_drops")
+    rows = scale.spread_if_few(bindings.view(spark, sf_dir, "fx_html_drops"), "id")
     return rows.withColumn("droplet_content", F.col("droplet_raw"))
 
 
@@ -450,10 +456,6 @@ def _found(spark, sf_dir):
     return media.extract_urls(_html(spark, sf_dir))
 
 
-def _redirects(spark, sf_dir):
-    return bindings.view(spark, sf_dir, "fx_redirects")
-
-
 def page_links(spark, sf_dir):
     rows = _html(spark, sf_dir).select(
         "id", F.posexplode(text.tag_urls(F.col("droplet_raw"))).alias("pos", "u")
@@ -490,17 +492,19 @@ def short_urls(spark, sf_dir):
     )
 
 
+def _expansions(spark, sf_dir):
+    redirects = bindings.view(spark, sf_dir, "fx_redirects")
+    return media.expansions(inputs.shorteners(spark), redirects)
+
+
 def expanded_urls(spark, sf_dir):
-    return media.expand(
-        _found(spark, sf_dir), inputs.shorteners(spark), _redirects(spark, sf_dir)
-    )
+    return media.expand(_found(spark, sf_dir), _expansions(spark, sf_dir))
 
 
 def _facts(spark, sf_dir):
     return media.url_facts(
         _found(spark, sf_dir),
-        inputs.shorteners(spark),
-        _redirects(spark, sf_dir),
+        _expansions(spark, sf_dir),
         bindings.view(spark, sf_dir, "fx_image_probes"),
         media.page_photos(inputs.photo_pages(spark, sf_dir)),
     )
@@ -517,8 +521,7 @@ def page_photos(spark, sf_dir):
 def _enriched(spark, sf_dir):
     return enrichment.links_and_images(
         _html(spark, sf_dir),
-        inputs.shorteners(spark),
-        _redirects(spark, sf_dir),
+        _expansions(spark, sf_dir),
         bindings.view(spark, sf_dir, "fx_image_probes"),
         media.page_photos(inputs.photo_pages(spark, sf_dir)),
     )
@@ -660,7 +663,7 @@ def push_payload(spark, sf_dir):
 
 def signatures(spark, sf_dir):
     """FN-3/4/5 on whole texts, with keys on both sides of the block size."""
-    drops = _drops(spark, sf_dir)
+    drops = _texts(spark, sf_dir)
     key = F.repeat(F.md5("droplet_orig_id"), F.col("id").cast("int") % 4 + 1)
     message = F.col("droplet_raw")
     return drops.select(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tributary.checks import bindings
 from tributary.functions import dates
+from tributary.operators import scale
 
 
 def _view(spark, sf_dir, name):
@@ -190,7 +191,7 @@ def tweet_lines(spark, sf_dir):
 
 def mails(spark, sf_dir):
     """Raw messages: plain 8-bit, multipart with base64 text, and nested."""
-    rows = _view(spark, sf_dir, "fx_mail")
+    rows = scale.spread_if_few(_view(spark, sf_dir, "fx_mail"), "mail_id")
     when = F.timestamp_seconds(F.col("mail_id") * 60 + 1704067200)
     head = F.concat(
         F.lit("From: "),
@@ -262,7 +263,7 @@ def shorteners(spark):
 
 def control_messages(spark, sf_dir):
     """Channel and river messages as they come from the exchange."""
-    rows = _view(spark, sf_dir, "fx_control")
+    rows = scale.spread_if_few(_view(spark, sf_dir, "fx_control"), "seq")
     one = F.to_json(F.struct("id", "river_id", "channel", "parameters"))
     option = F.struct(
         F.col("id").alias("channel_id"), "river_id", "channel", "parameters"

@@ -360,7 +360,10 @@ _SQL = {
  from (select distinct url from {_FOUND} f)))""",
     "short_urls": f"""select id, pos, url from {_FOUND} f
  where lower({_host('url')}) in {_SHORT}""",
-    "expanded_urls": f"with recursive {_WALK} select * from {_EXPANDED} e",
+    "expanded_urls": f"""with recursive {_WALK} select o.url,
+ coalesce(e.full_url, o.url) as full_url
+ from (select distinct url from {_FOUND} f where tag <> 'img') o
+ left join {_EXPANDED} e on e.url = o.url""",
     "link_classes": f"with recursive {_WALK} select * from {_FACTS} x",
     "page_photos": f"select * from {_PHOTOS} p",
     "drop_links": f"""with recursive {_WALK} select h.id, l.links,

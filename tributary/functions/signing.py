@@ -3,15 +3,16 @@
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 64
-INNER_PAD, OUTER_PAD = 0x36, 0x5C
+
+#: The pads of RFC 2104, eight bytes of each.
+INNER_PAD, OUTER_PAD = 0x3636363636363636, 0x5C5C5C5C5C5C5C5C
 
 
 def hmac_sha256(key, message):
     """FN-3: hex HMAC (RFC 2104) of two text columns.
 
-    Spark has sha2 but no hmac.  The key block is padded as hex text, each of
-    its 64 bytes is combined with the pad, and only that small block passes
-    through an array; the message itself is hashed as it is.
+    Spark has sha2 but no hmac.  The key block is padded as hex text and
+    combined with the pads eight bytes at a time; the message is hashed as is.
     """
     raw = key.cast("binary")
     block = F.when(F.octet_length(raw) > BLOCK_BYTES, F.sha2(raw, 256)).otherwise(
@@ -23,12 +24,11 @@ def hmac_sha256(key, message):
 
 
 def _padded(block, pad):
-    def one_byte(at):
-        value = F.conv(F.substring(block, at, F.lit(2)), 16, 10).cast("int")
-        return F.lpad(F.hex(value.bitwiseXOR(F.lit(pad))), 2, "0")
+    def word(at):
+        signed = F.conv(F.substring(block, at, 16), 16, -10).cast("bigint")
+        return F.lpad(F.hex(signed.bitwiseXOR(F.lit(pad))), 16, "0")
 
-    positions = F.sequence(F.lit(1), F.lit(2 * BLOCK_BYTES - 1), F.lit(2))
-    return F.unhex(F.array_join(F.transform(positions, one_byte), ""))
+    return F.unhex(F.concat(*[word(at) for at in range(1, 2 * BLOCK_BYTES, 16)]))
 
 
 def base64_text(text):

@@ -14,9 +14,12 @@ RETWEET_PATTERN = r"(?i)^(RT:?)\s*"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Longest term the registry takes, so also the longest symbol key needed.
+#: Fixed value: longest term the registry takes.
 MAX_TERM = 60
 
+#: Where a run of ASCII word characters begins or ends, in folded text.
+RUN_EDGE = r"(?<=[a-z0-9_])(?![a-z0-9_])|(?<![a-z0-9_])(?=[a-z0-9_])"
+
 
 def strip(text):
     """Cut white space at both ends as Python does, not blanks only."""
@@ -105,56 +108,45 @@ def term_tokens(term):
     return F.array_distinct(F.filter(tokens, lambda t: t != ""))
 
 
-def match_keys(text, max_len=MAX_TERM):
-    """Every token that a track term could hit in ``text``, as distinct keys.
+def chunks(text):
+    """The distinct pieces of ``text`` between white space."""
+    return F.array_distinct(F.split(text, r"\s+"))
+
+
+def match_keys(chunk):
+    """The keys under which a token that hits in ``chunk`` can be found.
 
-    A token hits where it stands between ASCII word boundaries or between
-    blanks.  Cut the text into runs of word and of other characters: the first
-    case then says that the token is one run, or several neighbouring runs, of
-    which the outermost do not touch a blank on the inside of a symbol run.
-    So the keys are: the words; the blank-bounded chunks; and, for a chunk with
-    symbols inside (``foo-bar``, ``c++11``), its sequences of neighbouring runs.
-    Tokens are at most ``max_len`` characters, which keeps the number of
-    sequences linear in the text.
+    A token holds no white space, so it hits inside one chunk.  There each of
+    its runs of ASCII word characters is a whole run of the chunk, and a token
+    without such a run is a whole symbol run or the whole chunk.  So the keys
+    are the runs of both sorts and the chunk itself.
     """
-    low = fold_ascii(text)
-    words = F.array_distinct(F.split(low, "[^a-z0-9_]+"))
-    chunks = F.array_distinct(
-        F.filter(F.split(low, r"\s+"), lambda c: c.rlike("[^a-z0-9_]"))
+    folded = fold_ascii(chunk)
+    return F.when(
+        chunk.rlike("[^A-Za-z0-9_]"),
+        F.array_union(F.split(folded, RUN_EDGE), F.array(folded)),
+    ).otherwise(F.array(F.lower(chunk)))
+
+
+def anchor(token):
+    """The one key a token is looked up by: its longest word run, else itself."""
+    runs = F.filter(F.split(token, "[^a-z0-9_]+"), lambda r: r != "")
+    longest = F.array_sort(
+        F.transform(runs, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("r")))
     )
-    inner = F.array_distinct(
-        F.filter(
-            F.transform(
-                chunks,
-                lambda c: F.regexp_replace(c, "^[^a-z0-9_]+|[^a-z0-9_]+$", ""),
-            ),
-            lambda c: c.rlike("[^a-z0-9_]"),
-        )
-    )
-    sequences = F.array_distinct(
-        F.flatten(F.transform(inner, lambda c: _run_sequences(c, max_len)))
+    return F.coalesce(F.try_element_at(longest, F.lit(1))["r"], token)
+
+
+def token_pattern(token):
+    """Pattern of a token with symbols in its (folded) chunk; NULL for a plain
+    token, for which the key says it all.  ASCII word bounds are spelled out as
+    ``\\b`` of current Java counts letters beyond ASCII."""
+    quoted = F.concat(
+        F.lit(r"\Q"), F.replace(token, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
     )
-    short = F.filter(chunks, lambda c: F.length(c) <= max_len)
-    keys = F.array_union(F.concat(words, short), sequences)
-    return F.filter(keys, lambda k: k != "")
-
-
-def _run_sequences(chunk, max_len):
-    """Neighbouring runs of a chunk, joined, with a symbol and at most max_len."""
-    edges = r"(?<=[a-z0-9_])(?![a-z0-9_])|(?<![a-z0-9_])(?=[a-z0-9_])"
-    runs = F.filter(F.split(chunk, edges), lambda r: r != "")
-
-    def starting_at(run, i):
-        tail = F.slice(runs, i + 1, F.lit(max_len))
-        grams = F.transform(
-            tail, lambda _, j: F.array_join(F.slice(tail, F.lit(1), j + 1), "")
-        )
-        return F.filter(
-            grams,
-            lambda g: (F.length(g) <= max_len) & g.rlike("[^a-z0-9_]"),
-        )
-
-    return F.flatten(F.transform(runs, starting_at))
+    bound = F.lit(f"(?:{RUN_EDGE})")
+    pattern = F.concat(bound, quoted, bound, F.lit("|^"), quoted, F.lit("$"))
+    return F.when(token.rlike("[^a-z0-9_]"), pattern)
 
 
 def routing_key_matches(key, pattern):

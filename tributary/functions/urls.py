@@ -56,6 +56,11 @@ def photo_address(url):
     )
 
 
+def has_photo_page(url):
+    """FN-15: is this a page that shows one photo?"""
+    return netloc(url).isin(*PHOTO_BY_ID, *PHOTO_BY_CLASS)
+
+
 def page_photo(url, html):
     """FN-15: source of the photo element of a captured page; else NULL."""
     host = netloc(url)

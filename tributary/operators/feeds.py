@@ -227,17 +227,22 @@ def as_cache_rows(drops, row_id):
 
 def update_cache(cache, new_rows, keep=KEEP):
     """SNK-7: only URLs that got new drops are trimmed, and before the insert,
-    so that twice ``keep`` rows may stay until the next time."""
+    so that twice ``keep`` rows may stay until the next time.
+
+    Rows of other URLs rank alone, each in a group of its own, so one ranked
+    pass serves both.
+    """
     touched = new_rows.select("url").distinct().withColumn("_new", F.lit(True))
     marked = scale.skew_join(cache, touched, "url", "left", ["id"])
-    kept = trim_cache(marked.where(F.col("_new")), keep)
-    others = marked.where(F.col("_new").isNull())
-    columns = cache.columns
-    return (
-        others.select(*columns)
-        .unionByName(kept.select(*columns))
-        .unionByName(new_rows.select(*columns))
+    alone = F.when(F.col("_new").isNull(), F.col("id"))
+    newest = Window.partitionBy("url", "_alone").orderBy(
+        F.desc("date_pub"), F.desc("id")
+    )
+    ranked = marked.withColumn("_alone", alone).withColumn(
+        "_rank", F.row_number().over(newest)
     )
+    kept = ranked.where(F.col("_rank") <= keep).select(*cache.columns)
+    return kept.unionByName(new_rows.select(*cache.columns))
 
 
 def purge_cache(cache, subscribed):

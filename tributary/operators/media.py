@@ -62,16 +62,16 @@ def redirect_steps(redirects, shorteners):
     )
 
 
-def expand(found, shorteners, redirects, hops=MAX_HOPS):
-    """JOIN-13: (url, full_url) of the distinct short addresses in ``found``.
+def expansions(shorteners, redirects, hops=MAX_HOPS):
+    """JOIN-13: (url, full_url) of every captured short address.
 
-    ``hops`` joins, unrolled; a failed or missing capture leaves the address as
-    it stands.  Settled rows get a join key of their own that matches nothing,
-    so that many addresses settled on one target do not meet in one task.
+    ``hops`` joins, unrolled, over the captures alone; a failed or missing
+    capture leaves the address as it stands.  Rows that are settled get a join
+    key of their own that matches nothing, so that many addresses settled on
+    one target do not meet in one task.  The result can be stored and shared.
     """
-    distinct = found.where(F.col("tag") != "img").select("url").distinct()
-    start = with_short_flag(distinct, "url", shorteners).where(F.col("short"))
-    steps = redirect_steps(redirects, shorteners).select(
+    steps = redirect_steps(redirects, shorteners)
+    further = steps.select(
         F.col("url").alias("_at"),
         F.col("next").alias("_next"),
         F.col("live").alias("_next_live"),
@@ -83,7 +83,7 @@ def expand(found, shorteners, redirects, hops=MAX_HOPS):
         )
         return (
             frontier.withColumn("_at", key)
-            .join(steps, "_at", "left")
+            .join(further, "_at", "left")
             .select(
                 "url",
                 F.coalesce("_next", "full_url").alias("full_url"),
@@ -91,10 +91,17 @@ def expand(found, shorteners, redirects, hops=MAX_HOPS):
             )
         )
 
-    frontier = start.select(
-        "url", F.col("url").alias("full_url"), F.lit(True).alias("live")
+    first = steps.select("url", F.col("next").alias("full_url"), "live")
+    return reduce(follow, range(hops - 1), first).drop("live")
+
+
+def expand(found, expanded):
+    """JOIN-13: (url, full_url) of the distinct addresses in ``found`` that are
+    expanded, i.e. of all but those of image tags."""
+    distinct = found.where(F.col("tag") != "img").select("url").distinct()
+    return distinct.join(expanded, "url", "left").select(
+        "url", F.coalesce("full_url", "url").alias("full_url")
     )
-    return reduce(follow, range(hops), frontier).drop("live")
 
 
 def page_photos(pages):
@@ -107,57 +114,63 @@ def page_photos(pages):
 def classify(expanded, photos=None):
     """FN-13/14, FLT-11: ``kind`` image or link, and the address it stands for.
 
-    Works on (url, full_url), expansion first (Q-25).
+    Works on (url, full_url, …), expansion first (Q-25).  Only addresses of
+    photo pages take part in the join on ``photos`` (url, photo).
     """
     full = F.col("full_url")
     if photos is None:
         known = expanded.withColumn("_photo", F.lit(None).cast("string"))
     else:
         captured = photos.select(
-            F.col("url").alias("full_url"), F.col("photo").alias("_photo")
+            F.col("url").alias("_page"), F.col("photo").alias("_photo")
+        )
+        page = F.when(urls.has_photo_page(full), full).otherwise(
+            F.concat(F.lit(" "), F.col("url"))
         )
-        known = expanded.join(captured, "full_url", "left")
+        known = expanded.withColumn("_page", page).join(captured, "_page", "left")
     picture = F.when(urls.is_image(full), full).otherwise(
         F.coalesce(urls.photo_address(full), F.col("_photo"))
     )
     return known.select(
-        "url",
-        "full_url",
+        *expanded.columns,
         F.when(picture.isNotNull(), "image").otherwise("link").alias("kind"),
         F.coalesce(picture, full).alias("target"),
     )
 
 
-def url_facts(found, shorteners, redirects, probes, photos=None, hops=MAX_HOPS):
+def url_facts(found, expanded, probes, photos=None):
     """All that is known of each distinct address: expansion, kind, image size.
 
-    Resolved once per distinct (tag is img, url), so that a link in a third of
-    all drops is expanded, classified and probed once.  SRC-18, JOIN-15.
+    Looked up once per distinct (tag is img, url), so that a link in a third of
+    all drops is expanded, classified and probed once.  ``expanded`` comes from
+    ``expansions``.  SRC-18, FN-11, JOIN-15.
     """
+    img = F.col("img")
     distinct = found.select((F.col("tag") == "img").alias("img"), "url").distinct()
-    shown = distinct.where("img").select(
+    full = distinct.join(expanded, "url", "left").select(
+        "img", "url", F.when(img, F.col("url")).otherwise(
+            F.coalesce("full_url", "url")
+        ).alias("full_url"),
+    )
+    classed = classify(full, photos).select(
         "img",
         "url",
-        F.col("url").alias("full_url"),
-        F.lit("image").alias("kind"),
-        F.col("url").alias("target"),
-    )
-    others = distinct.where(~F.col("img")).select("url")
-    expanded = others.join(
-        expand(found, shorteners, redirects, hops), "url", "left"
-    ).select("url", F.coalesce("full_url", "url").alias("full_url"))
-    classed = classify(expanded, photos).select(F.lit(False).alias("img"), "*")
+        "full_url",
+        F.when(img, "image").otherwise(F.col("kind")).alias("kind"),
+        F.when(img, F.col("url")).otherwise(F.col("target")).alias("target"),
+    )
     sizes = probes.select(
-        F.col("url").alias("target"),
+        F.col("url").alias("_probe"),
         (F.col("width").cast("bigint") * F.col("height")).alias("area"),
     )
-    pictures = shown.unionByName(classed.where(F.col("kind") == "image")).join(
-        sizes, "target", "left"
+    probed = F.when(F.col("kind") == "image", F.col("target")).otherwise(
+        F.concat(F.lit(" "), F.col("url"))
     )
-    links = classed.where(F.col("kind") == "link").withColumn(
-        "area", F.lit(None).cast("bigint")
+    return (
+        classed.withColumn("_probe", probed)
+        .join(sizes, "_probe", "left")
+        .drop("_probe")
     )
-    return pictures.unionByName(links)
 
 
 def resolve(found, facts):

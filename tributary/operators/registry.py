@@ -95,23 +95,28 @@ def within_quota(terms, quota=None):
     An option is admitted if fewer than ``limit`` terms were registered before
     it.  Options come in order of channel id, so all options are admitted up to
     the one that first registered the limit-th term: one top-k per type finds
-    it, and no window runs over a whole type.
+    it, and no window runs over a whole type.  The terms of each type are
+    counted first (one row per type); within the quota nothing is cut.
     """
     limits = QUOTA if quota is None else quota
+    held = {row["type"]: row["terms"] for row in term_counts(terms).collect()}
+    full = sorted(k for k, limit in limits.items() if held.get(k, 0) >= limit)
+    if not full:
+        return terms
     first = terms.groupBy("type", "term").agg(
         F.min("channel_id").alias("first_channel")
     )
     cutoffs = None
-    for kind, limit in sorted(limits.items()):
+    for kind in full:
         earliest = (
             first.where(F.col("type") == kind)
             .select("first_channel")
             .orderBy("first_channel")
-            .limit(limit)
+            .limit(limits[kind])
+        )
+        cutoff = earliest.agg(F.max("first_channel").alias("cutoff")).select(
+            F.lit(kind).alias("type"), "cutoff"
         )
-        cutoff = earliest.agg(
-            F.when(F.count(F.lit(1)) >= limit, F.max("first_channel")).alias("cutoff")
-        ).select(F.lit(kind).alias("type"), "cutoff")
         cutoffs = cutoff if cutoffs is None else cutoffs.unionByName(cutoff)
     # One row per type of the quota: the broadcast is bounded by the parameter.
     admitted = terms.join(F.broadcast(cutoffs), "type", "left").where(
@@ -185,10 +190,25 @@ def predicate_diff(old, new):
     )
 
 
+def _merged(current, other, key, prefer_other):
+    """Full join of two keyed tables; ``prefer_other`` picks the side to keep."""
+    values = [c for c in current.columns if c not in key]
+    here = current.select(*key, F.struct(F.lit(1), *values).alias("_here"))
+    both = here.join(other, key, "full")
+    picked = F.when(prefer_other, F.col("_there")).otherwise(F.col("_here"))
+    rows = both.select(*key, picked.alias("_row")).where(F.col("_row").isNotNull())
+    return rows.select(*key, *[F.col(f"_row.{v}").alias(v) for v in values]).select(
+        *current.columns
+    )
+
+
 def add_entries(current, added, key):
     """SET-5/7: union; an entry that is already there stays as it is."""
-    missing = added.dropDuplicates(key).join(current.select(*key), key, "left_anti")
-    return current.unionByName(missing.select(*current.columns))
+    values = [c for c in current.columns if c not in key]
+    one_each = added.dropDuplicates(key).select(
+        *key, F.struct(F.lit(1), *values).alias("_there")
+    )
+    return _merged(current, one_each, key, F.col("_here").isNull())
 
 
 def remove_entries(current, removed, key):
@@ -202,17 +222,19 @@ def fold_events(current, events, key):
 
     ``events`` has the columns of ``current`` plus ``op`` (add|delete) and
     ``seq``.  The last event is found by an aggregate that combines before the
-    shuffle, so an entry with a long history stays cheap.
+    shuffle, so an entry with a long history stays cheap; the events are read
+    once.
     """
     values = [c for c in current.columns if c not in key]
     last = events.groupBy(*key).agg(
-        F.max_by(F.struct("op", *values), "seq").alias("last")
+        F.max_by(F.struct("op", *values), "seq").alias("_last")
     )
-    kept = current.join(last.select(*key), key, "left_anti")
-    added = last.where(F.col("last.op") == "add").select(
-        *key, *[F.col(f"last.{c}").alias(c) for c in values]
+    added = F.when(
+        F.col("_last.op") == "add",
+        F.struct(F.lit(1), *[F.col(f"_last.{v}").alias(v) for v in values]),
     )
-    return kept.unionByName(added.select(*kept.columns))
+    folded = last.select(*key, F.lit(True).alias("_event"), added.alias("_there"))
+    return _merged(current, folded, key, F.col("_event").isNotNull())
 
 
 def remembered_ids(known, found):

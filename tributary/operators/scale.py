@@ -1,9 +1,11 @@
 """Plan-shaping helpers: checked broadcasts, hot keys, bounded array parts."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows a side may hold to be broadcast; rows here are short (ids and terms).
+#: What a side may hold to be broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 #: A key is hot when it holds more than 1/HOT_KEYS of the rows, so there can
 #: be at most HOT_KEYS of them, whatever the size of the data.
@@ -14,14 +16,34 @@ TRACKED = 10_000
 PART_SPAN = 10_000
 
 
-def broadcast_if_small(df, max_rows=BROADCAST_ROWS):
-    """Broadcast ``df`` if a count shows it to be small, else leave it alone.
+def _row_bytes(schema):
+    """About how many bytes a row of flat columns and flat arrays takes."""
+    total = F.lit(0).cast("bigint")
+    for field in schema.fields:
+        kind, column = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            size = F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        elif isinstance(kind, T.ArrayType):
+            size = F.greatest(F.size(column), F.lit(0)) * 32 + 16
+        else:
+            size = F.lit(16)
+        total = total + size.cast("bigint")
+    return total
 
-    The count stops at ``max_rows + 1`` rows.  Past the bound the join is left
-    to Catalyst, which shuffles both sides and lets AQE split skewed partitions.
+
+def is_small(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
+    """Measure ``df`` (rows and bytes, one distributed aggregate)."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df.schema))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
+def broadcast_if_small(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
+    """Broadcast ``df`` if it was measured to be small, else leave it alone.
+
+    Past the bound the join is left to Catalyst, which shuffles both sides and
+    lets AQE split skewed partitions.
     """
-    held = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if held <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def hot_keys(df, key, min_rows=100_000):
@@ -44,14 +66,25 @@ def hot_keys(df, key, min_rows=100_000):
 
 
 def skew_join(
-    left, right, key, how="inner", spread_by=None, spread=64, min_rows=100_000
+    left,
+    right,
+    key,
+    how="inner",
+    spread_by=None,
+    spread=64,
+    min_rows=100_000,
+    max_rows=BROADCAST_ROWS,
 ):
-    """Equi-join in which hot keys of ``left`` are spread over ``spread`` tasks.
+    """Equi-join of a large ``left`` that may have hot keys.
 
-    Only hot rows are salted, and only the matching rows of ``right`` are
-    repeated.  ``left`` should be cheap to scan twice (a stored table).  The
-    salt is a hash of ``spread_by``, so a recomputed task gives the same rows.
+    A ``right`` measured to be small is broadcast.  Otherwise both sides are
+    shuffled, hot rows of ``left`` are salted over ``spread`` tasks and only the
+    matching rows of ``right`` are repeated.  ``left`` should be cheap to scan
+    twice (a stored table).  The salt is a hash of ``spread_by``, so a task that
+    is run again gives the same rows.
     """
+    if is_small(right, max_rows):
+        return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key, min_rows).withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(spread))
@@ -75,3 +108,16 @@ def part_of(id_column, span=PART_SPAN):
     (key, part) are bounded without counting first, however hot the key.
     """
     return F.floor(F.col(id_column) / F.lit(span)).cast("bigint")
+
+
+def spread_if_few(scanned, key):
+    """Spread a table that too few tasks would read over all cores, by ``key``.
+
+    For small inputs of heavy text work only: a table of many splits is left as
+    it is.  ``scanned`` must be a scan with narrow steps, so asking for its
+    number of partitions runs nothing.
+    """
+    width = scanned.sparkSession.sparkContext.defaultParallelism
+    if scanned.rdd.getNumPartitions() >= width:
+        return scanned
+    return scanned.repartition(width, key)

@@ -4,16 +4,16 @@ from tributary.operators import entities, media
 
 
 def links_and_images(
-    drops, shorteners, redirects, probes, photos=None, merge_links=False,
-    id_column="id",
+    drops, expanded, probes, photos=None, merge_links=False, id_column="id"
 ):
     """Drops with ``links`` and ``media``.
 
-    Text is read once, for its addresses; only (id, pos, address) is shuffled
-    until the short lists are joined back to the drops.
+    ``expanded`` comes from ``media.expansions``.  Text is read for its
+    addresses; only (id, pos, address) is shuffled until the short lists are
+    joined back to the drops.
     """
     found = media.extract_urls(drops, id_column)
-    facts = media.url_facts(found, shorteners, redirects, probes, photos)
+    facts = media.url_facts(found, expanded, probes, photos)
     lists = media.collect(media.resolve(found, facts))
     return media.attach(drops, lists, merge_links, id_column)
 
