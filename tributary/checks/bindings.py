@@ -150,11 +150,13 @@ def _text(name, table, epoch, steps):
     return sql.replace("{{", "{").replace("}}", "}")
 
 
-def spark_text(name, sf_dir):
-    """The view as Spark SQL over the parquet files."""
+def spark_text(name, sf_dir, instead=None):
+    """The view as Spark SQL over the parquet files, or over the views that
+    ``instead`` names for some of the tables."""
+    named = instead or {}
     return _text(
         name,
-        lambda t: f"parquet.`{sf_dir}/{t}.parquet`",
+        lambda t: named.get(t, f"parquet.`{sf_dir}/{t}.parquet`"),
         "unix_seconds(cast(convert_timezone('UTC', current_timezone(), ts) "
         "as timestamp))",
         r"lateral view explode(sequence(\1, \2)) as k",

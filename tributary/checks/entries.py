@@ -44,22 +44,22 @@ def _texts(spark, sf_dir):
     return scale.spread_if_few(_drops(spark, sf_dir), "id")
 
 
-def _active(spark, sf_dir, channel, channels=_channels):
+def active(spark, sf_dir, channel, channels=_channels):
     return registry.active_channels(
         _rivers(spark, sf_dir), channels(spark, sf_dir), channel
     )
 
 
 def _subscriptions(spark, sf_dir):
-    return registry.subscriptions(_active(spark, sf_dir, "rss"))
+    return registry.subscriptions(active(spark, sf_dir, "rss"))
 
 
 def _terms(spark, sf_dir):
-    return registry.options_to_terms(_active(spark, sf_dir, "twitter"))
+    return registry.options_to_terms(active(spark, sf_dir, "twitter"))
 
 
 def _predicates(spark, sf_dir, **options):
-    return registry.predicates(_active(spark, sf_dir, "twitter"), **options)
+    return registry.predicates(active(spark, sf_dir, "twitter"), **options)
 
 
 # --- registry -------------------------------------------------------------
@@ -67,14 +67,14 @@ def _predicates(spark, sf_dir, **options):
 
 def active_channels(spark, sf_dir):
     both = [
-        _active(spark, sf_dir, name).withColumn("channel", F.lit(name))
+        active(spark, sf_dir, name).withColumn("channel", F.lit(name))
         for name in ("rss", "twitter")
     ]
     return both[0].unionByName(both[1])
 
 
 def url_subscribers(spark, sf_dir):
-    parts = registry.url_subscribers(_active(spark, sf_dir, "rss"))
+    parts = registry.url_subscribers(active(spark, sf_dir, "rss"))
     return parts.select(
         "url", "part", csv("river_ids").alias("rivers"),
         csv("channel_ids").alias("channels"),
@@ -123,7 +123,7 @@ def predicate_maps(spark, sf_dir):
 
 def _predicates_before(spark, sf_dir):
     before = _view("fx_river_channels_before")
-    return registry.predicates(_active(spark, sf_dir, "twitter", before))
+    return registry.predicates(active(spark, sf_dir, "twitter", before))
 
 
 def predicate_diff(spark, sf_dir):
@@ -188,7 +188,7 @@ def follow_match(spark, sf_dir):
     return tweets.follow_match(_drops(spark, sf_dir), _predicates(spark, sf_dir))
 
 
-def _routes_as_text(routed):
+def routes_as_text(routed):
     return routed.select(
         "id", "part", csv("river_id").alias("rivers"),
         csv("channel_ids").alias("channels"),
@@ -197,13 +197,13 @@ def _routes_as_text(routed):
 
 def match_rivers(spark, sf_dir):
     """Which rivers does each drop belong to?"""
-    return _routes_as_text(
+    return routes_as_text(
         firehose.rivers_of(_texts(spark, sf_dir), _predicates(spark, sf_dir), "track")
     )
 
 
 def follow_rivers(spark, sf_dir):
-    return _routes_as_text(
+    return routes_as_text(
         firehose.rivers_of(_drops(spark, sf_dir), _predicates(spark, sf_dir), "follow")
     )
 
@@ -259,12 +259,12 @@ def notices(spark, sf_dir):
 # --- fetch state ----------------------------------------------------------
 
 
-def _state(spark, sf_dir):
+def state(spark, sf_dir):
     return schedule.load_state(_rss_urls(spark, sf_dir))
 
 
 def _reconciled(spark, sf_dir):
-    return schedule.reconcile(_state(spark, sf_dir), _subscriptions(spark, sf_dir))
+    return schedule.reconcile(state(spark, sf_dir), _subscriptions(spark, sf_dir))
 
 
 def urls_missing(spark, sf_dir):
@@ -280,12 +280,12 @@ def url_state(spark, sf_dir):
 
 
 def next_fetch(spark, sf_dir):
-    return _state(spark, sf_dir).select("url", "last_fetch_time", "next_fetch_time")
+    return state(spark, sf_dir).select("url", "last_fetch_time", "next_fetch_time")
 
 
 def _jobs(spark, sf_dir):
-    state = schedule.current_state(_reconciled(spark, sf_dir))
-    return schedule.due_jobs(state, AS_OF)
+    current = schedule.current_state(_reconciled(spark, sf_dir))
+    return schedule.due_jobs(current, AS_OF)
 
 
 def due_jobs(spark, sf_dir):
@@ -294,7 +294,7 @@ def due_jobs(spark, sf_dir):
 
 def fetch_jobs(spark, sf_dir):
     jobs = rss.fetch_jobs(
-        _rss_urls(spark, sf_dir), _active(spark, sf_dir, "rss"), AS_OF
+        _rss_urls(spark, sf_dir), active(spark, sf_dir, "rss"), AS_OF
     )
     return jobs.select(
         "url", "part", "mode", "use_cache", "last_fetch_time",
@@ -316,13 +316,13 @@ def latest_responses(spark, sf_dir):
 
 def fetch_status_upsert(spark, sf_dir):
     return schedule.apply_responses(
-        _state(spark, sf_dir), _responses(spark, sf_dir)
+        state(spark, sf_dir), _responses(spark, sf_dir)
     )
 
 
 def fetch_flags(spark, sf_dir):
-    state = _state(spark, sf_dir)
-    sent = schedule.mark_submitted(state, schedule.due_jobs(state, AS_OF))
+    before = state(spark, sf_dir)
+    sent = schedule.mark_submitted(before, schedule.due_jobs(before, AS_OF))
     failed = _responses(spark, sf_dir).where(F.col("status") == 500)
     answered = failed.where(F.col("last_fetch_modified").isNotNull())
     return schedule.apply_responses(sent, answered).select("url", "submitted")
@@ -332,7 +332,7 @@ def replay_jobs(spark, sf_dir):
     messages = inputs.control_messages(spark, sf_dir)
     changes = events.subscription_changes(events.channel_changes(messages, "rss"))
     added = changes.where(F.col("op") == "add")
-    return schedule.replay_jobs(_state(spark, sf_dir), added)
+    return schedule.replay_jobs(state(spark, sf_dir), added)
 
 
 # --- feeds ----------------------------------------------------------------
@@ -349,8 +349,7 @@ def feed_entries(spark, sf_dir):
 
 
 def _state_jobs(spark, sf_dir):
-    state = _state(spark, sf_dir)
-    return schedule.due_jobs(state, AS_OF)
+    return schedule.due_jobs(state(spark, sf_dir), AS_OF)
 
 
 def _feed_drops(spark, sf_dir):
@@ -401,7 +400,7 @@ def _replay(spark, sf_dir):
     messages = inputs.control_messages(spark, sf_dir)
     changes = events.subscription_changes(events.channel_changes(messages, "rss"))
     added = changes.where(F.col("op") == "add")
-    jobs = schedule.replay_jobs(_state(spark, sf_dir), added)
+    jobs = schedule.replay_jobs(state(spark, sf_dir), added)
     subs = registry.subscriber_parts(_subscriptions(spark, sf_dir))
     return feeds.serve_from_cache(jobs, inputs.cache(spark, sf_dir), subs)
 

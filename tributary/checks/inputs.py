@@ -143,7 +143,11 @@ def cache(spark, sf_dir):
 
 def tweet_lines(spark, sf_dir):
     """The stream as text, one message per line, some of it broken."""
-    rows = _view(spark, sf_dir, "fx_tweets")
+    return tweet_text(_view(spark, sf_dir, "fx_tweets"))
+
+
+def tweet_text(rows):
+    """Rows of ``fx_tweets`` as lines."""
     id_text = F.col("id").cast("string")
     when = F.to_utc_timestamp(
         F.timestamp_seconds(F.col("id") + 1704067200), F.current_timezone()
@@ -263,7 +267,13 @@ def shorteners(spark):
 
 def control_messages(spark, sf_dir):
     """Channel and river messages as they come from the exchange."""
-    rows = scale.spread_if_few(_view(spark, sf_dir, "fx_control"), "seq")
+    return control_text(
+        scale.spread_if_few(_view(spark, sf_dir, "fx_control"), "seq")
+    )
+
+
+def control_text(rows):
+    """Rows of ``fx_control`` as messages."""
     one = F.to_json(F.struct("id", "river_id", "channel", "parameters"))
     option = F.struct(
         F.col("id").alias("channel_id"), "river_id", "channel", "parameters"

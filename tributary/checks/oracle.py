@@ -440,6 +440,28 @@ _SQL = {
 }
 
 
+_SQL.update(
+    {
+        "stream_match_rivers": _SQL["match_rivers"],
+        "stream_registry_fold": _SQL["registry_fold"],
+        "stream_subscription_fold": _SQL["subscription_fold"],
+        "stream_fetch_status": _SQL["fetch_status_upsert"],
+        "stream_dedupe": "select distinct channel, droplet_orig_id from fx_drops",
+        "stream_tweets": rf"""with d as ({_SQL['tweet_drops']}),
+ t as (select distinct term from {_PRED} p where type = 'track'),
+ s as (select d.droplet_orig_id, {_fold(_strip('f.text'))} as raw from d
+  join fx_tweets f on cast(f.id as varchar) = d.droplet_orig_id)
+ select distinct 'drop' as kind, droplet_orig_id as v from s, t
+ where list_bool_and([regexp_matches(s.raw,
+  '\b' || regexp_escape(k) || '\b|(^|[\s\x0B])' || regexp_escape(k)
+  || '([\s\x0B]|$)') for k in string_split(t.term, ' ') if k <> ''])
+ union all select kind, case kind when 'delete' then cast(id as varchar)
+ when 'limit' then cast(conv_id as varchar) else md5('not json ' || text) end
+ from fx_tweets where kind in ('delete', 'limit', 'bad')""",
+    }
+)
+
+
 def statements():
     """Query name to SQL, each with the views it needs."""
     return {name: bindings.duck_query(sql) for name, sql in _SQL.items()}

@@ -30,60 +30,58 @@ def entries(feed_docs):
 
     ``feed_docs`` is (url, fetch_id, doc, …) with one captured answer per row;
     its other columns are kept.  Both dialects end in the same columns; ``pos``
-    counts from 0.
+    counts from 0.  Each document is parsed once, by its own dialect; the outer
+    explode keeps Spark from testing the list in a filter that parses it again.
     """
     kept = [c for c in feed_docs.columns if c != "doc"]
     atom = F.col("doc").rlike(r"(?s)^\s*(<\?xml[^>]*\?>\s*)?(<!--.*?-->\s*)*<feed\b")
-    docs = feed_docs.where(F.col("doc").isNotNull()).withColumn("_atom", atom)
     rss_tree = F.from_xml("doc", schemas.RSS_FEED, {**_XML, "rowTag": "rss"})
-    rss = (
-        docs.where(~F.col("_atom"))
-        .select(*kept, rss_tree["channel"].alias("c"))
-        .select(
-            *kept,
-            F.col("c.title").alias("feed_title"),
-            F.col("c.link").alias("feed_link"),
-            F.col("c.language").alias("feed_language"),
-            F.col("c.image.url").alias("feed_image"),
-            F.posexplode("c.item").alias("pos", "e"),
-        )
-        .withColumns(
-            {
-                "entry_id": F.col("e.guid"),
-                "link": F.col("e.link"),
-                "title": F.col("e.title"),
-                "summary": F.col("e.description"),
-                "content": F.col("e.content:encoded"),
-                "date_parsed": dates.rfc822(F.col("e.pubDate")),
-            }
-        )
-        .drop("e")
-    )
     atom_tree = F.from_xml("doc", schemas.ATOM_FEED, {**_XML, "rowTag": "feed"})
-    feed = (
-        docs.where(F.col("_atom"))
-        .select(*kept, atom_tree.alias("f"))
-        .select(
-            *kept,
-            F.col("f.title").alias("feed_title"),
-            _page_link(F.col("f.link")).alias("feed_link"),
-            F.col("f.`_xml:lang`").alias("feed_language"),
-            F.col("f.logo").alias("feed_image"),
-            F.posexplode("f.entry").alias("pos", "e"),
-        )
-        .withColumns(
-            {
-                "entry_id": F.col("e.id"),
-                "link": _page_link(F.col("e.link")),
-                "title": F.col("e.title"),
-                "summary": F.col("e.summary"),
-                "content": F.col("e.content"),
-                "date_parsed": dates.iso8601(F.coalesce("e.published", "e.updated")),
-            }
-        )
-        .drop("e")
-    )
-    return rss.unionByName(feed)
+    trees = feed_docs.where(F.col("doc").isNotNull()).select(
+        *kept,
+        F.when(~atom, rss_tree["channel"]).alias("r"),
+        F.when(atom, atom_tree).alias("f"),
+    )
+    rss_items = F.transform(
+        "r.item",
+        lambda e: F.struct(
+            e["guid"].alias("entry_id"),
+            e["link"].alias("link"),
+            e["title"].alias("title"),
+            e["description"].alias("summary"),
+            e["content:encoded"].alias("content"),
+            e["pubDate"].alias("date"),
+        ),
+    )
+    atom_items = F.transform(
+        "f.entry",
+        lambda e: F.struct(
+            e["id"].alias("entry_id"),
+            _page_link(e["link"]).alias("link"),
+            e["title"].alias("title"),
+            e["summary"].alias("summary"),
+            e["content"].alias("content"),
+            F.coalesce(e["published"], e["updated"]).alias("date"),
+        ),
+    )
+    listed = trees.select(
+        *kept,
+        F.coalesce("r.title", "f.title").alias("feed_title"),
+        F.coalesce("r.link", _page_link(F.col("f.link"))).alias("feed_link"),
+        F.coalesce("r.language", "f.`_xml:lang`").alias("feed_language"),
+        F.coalesce("r.image.url", "f.logo").alias("feed_image"),
+        F.col("f").isNotNull().alias("_atom"),
+        F.posexplode_outer(F.coalesce(rss_items, atom_items)).alias("pos", "e"),
+    )
+    date = F.when(F.col("_atom"), dates.iso8601(F.col("date"))).otherwise(
+        dates.rfc822(F.col("date"))
+    )
+    return (
+        listed.where(F.col("pos").isNotNull())
+        .select("*", "e.*")
+        .withColumn("date_parsed", date)
+        .drop("e", "date", "_atom")
+    )
 
 
 def _page_link(links):
