@@ -143,39 +143,41 @@ VIEWS = {
 }
 
 
-def _text(name, table, epoch, steps):
-    sql = VIEWS[name].replace("{epoch}", epoch)
-    sql = re.sub(r"\{steps:([^:}]*):([^}]*)\}", steps, sql)
-    sql = re.sub(r"\{([a-z]+)\}", lambda m: table(m.group(1)), sql)
-    return sql.replace("{{", "{").replace("}}", "}")
-
-
-def spark_text(name, sf_dir, instead=None):
-    """The view as Spark SQL over the parquet files, or over the views that
-    ``instead`` names for some of the tables."""
-    named = instead or {}
-    return _text(
-        name,
-        lambda t: named.get(t, f"parquet.`{sf_dir}/{t}.parquet`"),
-        "unix_seconds(cast(convert_timezone('UTC', current_timezone(), ts) "
-        "as timestamp))",
-        r"lateral view explode(sequence(\1, \2)) as k",
-    )
+def _steps(sql, form):
+    return re.sub(r"\{steps:([^:}]*):([^}]*)\}", form, sql)
 
 
-def duck_text(name):
-    """The view as DuckDB SQL over the registered tables."""
-    return _text(
-        name,
-        lambda t: t,
-        "cast(floor(epoch(ts)) as bigint)",
-        r"cross join unnest(range(\1, \2 + 1)) as s(k)",
-    )
+def table(spark, sf_dir, name):
+    """A test table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+_SCHEMAS = {}
+_SPARK_EPOCH = (
+    "unix_seconds(cast(convert_timezone('UTC', current_timezone(), ts) as timestamp))"
+)
 
 
-def view(spark, sf_dir, name):
-    """The view as a DataFrame."""
-    return spark.sql(spark_text(name, sf_dir))
+def view(spark, sf_dir, name, instead=None):
+    """The view as a DataFrame; ``instead`` maps tables to other DataFrames."""
+    sql = VIEWS[name].replace("{epoch}", _SPARK_EPOCH)
+    sql = _steps(sql, r"lateral view explode(sequence(\1, \2)) as k")
+    given = instead or {}
+    used = {
+        t: given[t] if t in given else table(spark, sf_dir, t)
+        for t in set(re.findall(r"\{([a-z]+)\}", sql))
+    }
+    return spark.sql(sql, **used)
+
+
+def duck_text(name):
+    """The view as DuckDB SQL over the registered tables."""
+    sql = VIEWS[name].replace("{epoch}", "cast(floor(epoch(ts)) as bigint)")
+    sql = _steps(sql, r"cross join unnest(range(\1, \2 + 1)) as s(k)")
+    return sql.format(**{t: t for t in TABLES})
 
 
 def duck_query(sql):

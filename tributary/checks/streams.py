@@ -1,7 +1,5 @@
 """Streaming twins of queries: the same tables, read as file streams."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tributary.checks import bindings, entries, inputs
@@ -12,17 +10,12 @@ from tributary.streaming import jobs
 
 def _stream(spark, sf_dir, view, table):
     """A view of one table, over that table as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
     rows = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(bindings.table(spark, sf_dir, table).schema)
         .option("pathGlobFilter", f"{table}.parquet")
         .parquet(sf_dir)
     )
-    name = f"{table}_{uuid.uuid4().hex}"
-    rows.createOrReplaceTempView(name)
-    resolved = spark.sql(bindings.spark_text(view, sf_dir, {table: name}))
-    spark.catalog.dropTempView(name)
-    return resolved
+    return bindings.view(spark, sf_dir, view, {table: rows})
 
 
 def stream_match_rivers(spark, sf_dir):
