@@ -5,7 +5,8 @@ import pytest
 
 import __spark_entry__ as app
 from check import canonical
-from tributary.checks import bindings
+from tributary.checks import bindings, entries
+from tributary.operators import tweets
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLE = app.queries(), app.oracle_sql()
@@ -43,7 +44,12 @@ def test_top_rows_are_cut_before_the_shuffle(spark):
     assert plan.toString().count("WindowGroupLimit") == 2
 
 
-def test_track_match_shuffles_no_text(spark):
-    plan = QUERIES["track_match"](spark, SF)._jdf.queryExecution().executedPlan()
-    last = plan.toString().split("Exchange")[0]
-    assert "bit_or" in last and "droplet_raw" not in last
+def test_track_match_shuffles_hits_only(spark):
+    matched = tweets.track_match(
+        bindings.view(spark, SF, "fx_drops"), entries.predicates(spark, SF)
+    )
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("BroadcastHashJoin", 1)
+    text_side = below.split("BroadcastExchange", 1)[0]
+    assert above.count("Exchange hashpartitioning") == 1
+    assert "droplet_raw" in text_side and "Exchange" not in text_side

@@ -21,6 +21,7 @@ from tributary.operators import (
     tweets,
 )
 from tributary.plans import enrichment, firehose, rss
+from tributary.sources import staging
 
 AS_OF = bindings.AS_OF
 QUOTA = {"track": 3, "follow": 4}
@@ -425,7 +426,7 @@ def cache_trim(spark, sf_dir):
 
 def cache_insert(spark, sf_dir):
     drops = feeds.first_of_fetch(_feed_drops(spark, sf_dir), keep=20)
-    rows = feeds.as_cache_rows(drops, feeds.hash_id())
+    rows = staging.written(feeds.as_cache_rows(drops, feeds.hash_id()), "new-drops")
     keys = inputs.cache(spark, sf_dir).select(
         "id", "url", "date_pub", F.struct(F.col("drop.droplet_title")).alias("drop")
     )
@@ -500,9 +501,9 @@ def expanded_urls(spark, sf_dir):
     return media.expand(_found(spark, sf_dir), _expansions(spark, sf_dir))
 
 
-def _facts(spark, sf_dir):
+def _facts(spark, sf_dir, found):
     return media.url_facts(
-        _found(spark, sf_dir),
+        found,
         _expansions(spark, sf_dir),
         bindings.view(spark, sf_dir, "fx_image_probes"),
         media.page_photos(inputs.photo_pages(spark, sf_dir)),
@@ -510,7 +511,7 @@ def _facts(spark, sf_dir):
 
 
 def link_classes(spark, sf_dir):
-    return _facts(spark, sf_dir)
+    return _facts(spark, sf_dir, _found(spark, sf_dir)).drop("key")
 
 
 def page_photos(spark, sf_dir):
@@ -543,8 +544,8 @@ def drop_media(spark, sf_dir):
 
 
 def drop_image(spark, sf_dir):
-    found = _found(spark, sf_dir)
-    picked = media.collect(media.resolve(found, _facts(spark, sf_dir)))
+    found = staging.written(_found(spark, sf_dir), "addresses")
+    picked = media.collect(media.resolve(found, _facts(spark, sf_dir, found)))
     return picked.where("droplet_image is not null").select("id", "droplet_image")
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tributary.checks import bindings, entries, inputs
 from tributary.operators import registry, schedule
-from tributary.sources import readers
+from tributary.sources import readers, staging
 from tributary.streaming import jobs
 
 
@@ -19,7 +19,7 @@ def _stream(spark, sf_dir, view, table):
 
 
 def stream_match_rivers(spark, sf_dir):
-    out = jobs.shared_folder(spark, "match")
+    out = staging.shared_folder(spark, "match")
     drops = _stream(spark, sf_dir, "fx_drops", "documents")
     jobs.finish(
         jobs.match_drops(
@@ -35,7 +35,7 @@ def stream_match_rivers(spark, sf_dir):
 
 def stream_tweets(spark, sf_dir):
     """Every sink of the tweet stream, as counts and one digest per kind."""
-    out = jobs.shared_folder(spark, "tweets")
+    out = staging.shared_folder(spark, "tweets")
     lines = inputs.tweet_text(_stream(spark, sf_dir, "fx_tweets", "conversations"))
     jobs.finish(
         jobs.match_tweets(
@@ -70,7 +70,7 @@ def _messages(spark, sf_dir):
 
 
 def stream_registry_fold(spark, sf_dir):
-    out = jobs.shared_folder(spark, "registry")
+    out = staging.shared_folder(spark, "registry")
     jobs.start_table(entries.predicates(spark, sf_dir), f"{out}/table")
     jobs.finish(
         jobs.fold_registry(
@@ -81,7 +81,7 @@ def stream_registry_fold(spark, sf_dir):
 
 
 def stream_subscription_fold(spark, sf_dir):
-    out = jobs.shared_folder(spark, "subscriptions")
+    out = staging.shared_folder(spark, "subscriptions")
     active = entries.active(spark, sf_dir, "rss")
     jobs.start_table(registry.subscriptions(active), f"{out}/table")
     jobs.finish(
@@ -97,7 +97,7 @@ def stream_subscription_fold(spark, sf_dir):
 
 
 def stream_fetch_status(spark, sf_dir):
-    out = jobs.shared_folder(spark, "state")
+    out = staging.shared_folder(spark, "state")
     state = schedule.load_state(bindings.view(spark, sf_dir, "fx_rss_urls"))
     jobs.start_table(state, f"{out}/table")
     responses = _stream(spark, sf_dir, "fx_fetch_responses", "events")
@@ -109,7 +109,7 @@ def stream_fetch_status(spark, sf_dir):
 
 def stream_dedupe(spark, sf_dir):
     """Each drop arrives twice; one of each (channel, id) goes on."""
-    out = jobs.shared_folder(spark, "dedupe")
+    out = staging.shared_folder(spark, "dedupe")
     drops = _stream(spark, sf_dir, "fx_drops", "documents").select(
         "channel",
         "droplet_orig_id",

@@ -141,7 +141,9 @@ def stamp(drops, subscriber_parts):
         F.col("river_ids").alias("river_id"),
         "channel_ids",
     )
-    return drops.drop("river_id", "channel_ids").join(targets, "identity_orig_id")
+    return drops.drop("river_id", "channel_ids").join(
+        scale.broadcast_if_small(targets), "identity_orig_id"
+    )
 
 
 def fetch_responses(answers):

@@ -30,6 +30,12 @@ def extract_urls(drops, id_column="id"):
     )
 
 
+def _key():
+    """An address as an image tag shows it and as a link are two things."""
+    shown = F.when(F.col("tag") == "img", "img ").otherwise("link ")
+    return F.concat(shown, F.col("url"))
+
+
 def with_short_flag(df, url_column, shorteners):
     """JOIN-12: ``short`` tells whether the host is a listed short domain."""
     known = scale.broadcast_if_small(
@@ -146,13 +152,19 @@ def url_facts(found, expanded, probes, photos=None):
     ``expansions``.  SRC-18, FN-11, JOIN-15.
     """
     img = F.col("img")
-    distinct = found.select((F.col("tag") == "img").alias("img"), "url").distinct()
+    distinct = found.select(
+        _key().alias("key"), (F.col("tag") == "img").alias("img"), "url"
+    ).distinct()
     full = distinct.join(expanded, "url", "left").select(
-        "img", "url", F.when(img, F.col("url")).otherwise(
-            F.coalesce("full_url", "url")
-        ).alias("full_url"),
+        "key",
+        "img",
+        "url",
+        F.when(img, F.col("url"))
+        .otherwise(F.coalesce("full_url", "url"))
+        .alias("full_url"),
     )
     classed = classify(full, photos).select(
+        "key",
         "img",
         "url",
         "full_url",
@@ -174,10 +186,12 @@ def url_facts(found, expanded, probes, photos=None):
 
 
 def resolve(found, facts):
-    """(id, pos, kind, target, area) of every mention, by one join."""
-    keyed = found.withColumn("img", F.col("tag") == "img")
-    return keyed.join(
-        facts.select("img", "url", "kind", "target", "area"), ["img", "url"]
+    """(id, pos, kind, target, area) of every mention, by one join in which an
+    address of very many mentions is spread.  ``found`` should be stored."""
+    mentions = found.select("id", "pos", _key().alias("key"))
+    looked_up = facts.select("key", "kind", "target", "area")
+    return scale.skew_join(
+        mentions, looked_up, "key", spread_by=["id", "pos"]
     ).select("id", "pos", "kind", "target", "area")
 
 

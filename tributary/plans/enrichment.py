@@ -1,6 +1,7 @@
 """The two enrichers of a drop: links and images; tags and places."""
 
 from tributary.operators import entities, media
+from tributary.sources import staging
 
 
 def links_and_images(
@@ -8,12 +9,14 @@ def links_and_images(
 ):
     """Drops with ``links`` and ``media``.
 
-    ``expanded`` comes from ``media.expansions``.  Text is read for its
-    addresses; only (id, pos, address) is shuffled until the short lists are
-    joined back to the drops.
+    ``expanded`` comes from ``media.expansions``.  Text is searched once;
+    its addresses are stored, and only (id, pos, address) is shuffled until the
+    short lists are joined back to the drops.
     """
-    found = media.extract_urls(drops, id_column)
-    facts = media.url_facts(found, expanded, probes, photos)
+    found = staging.written(media.extract_urls(drops, id_column), "addresses")
+    facts = staging.written(
+        media.url_facts(found, expanded, probes, photos), "address-facts"
+    )
     lists = media.collect(media.resolve(found, facts))
     return media.attach(drops, lists, merge_links, id_column)
 

@@ -1,6 +1,7 @@
 """From subscriptions to fetch jobs, and from captured answers to drops."""
 
 from tributary.operators import feeds, registry, schedule
+from tributary.sources import staging
 
 
 def fetch_jobs(rss_urls, active, as_of):
@@ -18,14 +19,17 @@ def fetch_jobs(rss_urls, active, as_of):
 def refresh(url_state, active, feed_docs, cache, as_of, keep=feeds.KEEP):
     """One round of fetching: (drops, responses, url_state, cache).
 
-    ``cache`` rows of new drops get ids after ``row_id``: the leading digits of
-    the drop's own hash, so that a repeated round writes the same rows.
+    Documents are parsed once; their drops are stored before routing and cache
+    read them.  Cache rows take their ids from the drop's own hash, so that a
+    repeated round writes the same rows.
     """
     parts = registry.url_subscribers(active)
     state = schedule.current_state(schedule.reconcile(url_state, parts))
     jobs = schedule.due_jobs(state, as_of)
     answers = feeds.answers_of(jobs, feed_docs)
-    found = feeds.entries_to_drops(feeds.entries(answers), as_of)
+    found = staging.written(
+        feeds.entries_to_drops(feeds.entries(answers), as_of), "feed-drops"
+    )
     drops = feeds.stamp(found, parts)
     responses = feeds.fetch_responses(answers)
     after = schedule.apply_responses(

@@ -7,9 +7,6 @@ side of a join is read anew in each batch, so a change of the registry takes
 effect with the next batch and without a gap (STR-9).
 """
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from tributary.operators import events, feeds, mail, push, schedule, tweets
@@ -17,17 +14,6 @@ from tributary.plans import deployments, firehose
 from tributary.sources import sinks
 
 
-def shared_folder(spark, name):
-    """A new folder for ``name`` where the cluster keeps checkpoints.
-
-    Only a session that names no such place, as in tests, gets a local one.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tributary-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def run(stream, per_batch, checkpoint, every=None):
     """Start ``per_batch(df, batch_id)`` on the stream.
 
