@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators import mail, push
 from tributary.plans import deployments, mailroom
+from tributary.sources import readers
 
 MAIL = "mail_id bigint, mailfrom string, rcptto array<string>, data string"
 HEAD = "Subject: s\nDate: Mon, 01 Jan 2024 02:00:00 +0200\n"
@@ -178,3 +179,19 @@ def test_undelivered_payloads_stay(spark):
     assert push.undelivered(sent, ok).isEmpty()
     failed = ok.withColumn("status", F.lit(500))
     assert push.undelivered(sent, failed).count() == 1
+
+
+def test_push_messages_may_carry_ids_as_text(spark, tmp_path):
+    body = json.dumps(
+        {"post_url": "http://d", "bucket_id": "7", "client_id": "c",
+         "client_secret": "k1", "drops": [{"id": "3"}, {"id": 4}]}
+    )
+    spark.createDataFrame(
+        [("web.bucket.push.site", "c", "r", 1, body)],
+        "routing_key string, correlation_id string, reply_to string, "
+        "seq bigint, body string",
+    ).write.parquet(str(tmp_path / "requests"))
+    rows = readers.push_requests(spark, str(tmp_path / "requests"))
+    messages = push.wanted(push.parsed_messages(rows), "site")
+    sent = push.outbox_of_messages(messages).first()
+    assert sent["bucket_id"] == 7 and sent["payload"] == '[{"id":3},{"id":4}]'

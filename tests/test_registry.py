@@ -140,7 +140,7 @@ def test_control_messages_fold_in_order(spark):
 
 def test_predicate_events_keep_the_ids_of_their_option(spark):
     listed = spark.createDataFrame(
-        [message("web.channel.twitter.add", 1, id=5, river_id=6, channel="twitter",
+        [message("web.channel.twitter.add", 1, id="5", river_id="6", channel="twitter",
                  parameters=json.dumps({"value": {"k": "a,b", "user": "c"}}))],
         "routing_key string, body string, seq bigint",
     )

@@ -69,6 +69,11 @@ def log_text(instant):
     return F.date_format(_utc_clock(instant), LOG_OUT)
 
 
+def utc_day(instant):
+    """Calendar day of an instant, for partitions of a table."""
+    return F.to_date(_utc_clock(instant))
+
+
 def instant(epoch_seconds):
     """FN-18: a moment given as a parameter; operators never read a clock."""
     column = (

@@ -54,8 +54,8 @@ def channel_changes(messages, channel):
         options.unionByName(rivers)
         .where((F.col("channel") == channel) & F.col("op").isNotNull())
         .select(
-            "channel_id",
-            "river_id",
+            F.col("channel_id").try_cast("bigint").alias("channel_id"),
+            F.col("river_id").try_cast("bigint").alias("river_id"),
             "parameters",
             "op",
             F.struct("seq", "at").alias("seq"),

@@ -219,7 +219,7 @@ def to_comments(parsed, api_url, api_key):
         text.line_breaks(F.col("content")).alias("comment_text"),
         F.col("mailfrom").alias("from_email"),
         F.when(on_drop, data("context")).alias("context"),
-        F.when(on_drop, data("context_obj_id").cast("bigint")).alias("context_obj_id"),
+        F.when(on_drop, data("context_obj_id").try_cast("bigint")).alias("context_obj_id"),
     )
     return hit.select(
         "mail_id",

@@ -16,6 +16,20 @@ def wanted(requests, kind):
     return requests.where(F.col("routing_key") == PUSH_KEY + kind)
 
 
+def parsed_messages(rows):
+    """SRC-14: push messages read by ``sources.readers`` in the columns used
+    here; ids may have come as text."""
+    drops = F.transform("m.drops", lambda d: d.withField("id", d["id"].try_cast("bigint")))
+    return rows.select(
+        "routing_key",
+        F.col("m.bucket_id").try_cast("bigint").alias("bucket_id"),
+        "m.post_url",
+        "m.client_id",
+        "m.client_secret",
+        drops.alias("drops"),
+    )
+
+
 def drops_of(messages):
     """SET-2: one row per drop of a push message."""
     return messages.select(*_TARGET, F.explode("drops").alias("drop"))

@@ -67,14 +67,16 @@ TWEET = (
     "delete struct<status:struct<id_str:string,user_id_str:string>>, "
     "limit struct<track:bigint>"
 )
-CHANNEL_EVENT = "id bigint, river_id bigint, channel string, parameters string"
+# Ids in messages from the web come as numbers or as text: read as text, cast
+# by the operator.
+CHANNEL_EVENT = "id string, river_id string, channel string, parameters string"
 RIVER_EVENT = (
-    "channels array<struct<channel_id:bigint,river_id:bigint,channel:string,"
+    "channels array<struct<channel_id:string,river_id:string,channel:string,"
     "parameters:string>>"
 )
 PUSH_REQUEST = (
-    "post_url string, drops array<struct<id:bigint,droplet_title:string,"
-    "droplet_content:string,droplet_date_pub:string>>, bucket_id bigint, "
+    "post_url string, drops array<struct<id:string,droplet_title:string,"
+    "droplet_content:string,droplet_date_pub:string>>, bucket_id string, "
     "client_id string, client_secret string"
 )
 
