@@ -152,3 +152,16 @@ def test_extraction_keeps_order_over_kinds(spark):
     found = media.extract_urls(drops.withColumn("droplet_content", F.lit("x")))
     got = [(r["tag"], r["url"]) for r in found.orderBy("pos").collect()]
     assert got == [("img", "i"), ("a", "a"), ("text", "http://t/")]
+
+
+def test_large_captures_resolve_as_small_ones(spark, monkeypatch):
+    chain = [(f"http://s.co/{i}", 301, f"http://s.co/{i + 1}") for i in range(8)]
+    chain += [(f"http://s.co/x{i}", 301, "http://s.co/3") for i in range(9)]
+    want = expand(spark, chain)
+    monkeypatch.setattr(media.scale, "is_small", lambda *a, **k: False)
+    assert expand(spark, chain) == want
+    assert want["http://s.co/x1"] == "http://s.co/7"
+    raw = '<img src="b"> http://s.co/p <a href="http://x/1">1</a>'
+    drop = enriched(spark, raw, [("b", 100, 100), ("http://x/p.png", 200, 200)])
+    assert [m["droplet_image"] for m in drop["media"]] == [False, True]
+    assert [x["url"] for x in drop["links"]] == ["http://x/1"]

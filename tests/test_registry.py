@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.operators import events, registry, scale
+from tributary.plans import firehose
 
 PREDICATES = "type string, term string, channel_id bigint, river_id bigint"
 
@@ -164,7 +165,7 @@ def test_skew_join_gives_the_rows_of_a_plain_join(spark, how):
     )
     want = left.join(right, "key", how).select("key", "id", "v")
     salted = scale.skew_join(
-        left, right, "key", how, ["id"], spread=8, min_rows=1, max_rows=0
+        left, right, "key", how, ["id"], spread=8, min_rows=1, small=False
     ).select("key", "id", "v")
     assert salted.exceptAll(want).isEmpty() and want.exceptAll(salted).isEmpty()
     hot = [r["key"] for r in scale.hot_keys(left, "key", min_rows=500).collect()]
@@ -176,3 +177,20 @@ def test_size_check_counts_rows_and_bytes(spark):
     assert scale.is_small(rows_)
     assert not scale.is_small(rows_, max_rows=49)
     assert not scale.is_small(rows_, max_bytes=10_000)
+
+
+def test_large_registries_match_as_small_ones(spark, monkeypatch):
+    known = spark.createDataFrame(
+        [("track", t, c, c % 3) for c, t in enumerate(["the", "of the", "c++", "x"] * 5)]
+        + [("follow", "u1", 90, 1)],
+        PREDICATES,
+    )
+    drops = spark.range(60).select(
+        "id", F.lit("u1").alias("identity_orig_id"),
+        F.when(F.col("id") % 3 == 0, "the end of c++").otherwise("the x").alias("droplet_raw"),
+        F.lit(None).cast("string").alias("in_reply_to_user_id"),
+    )
+    want = {k: rows(firehose.rivers_of(drops, known, k)) for k in ("track", "follow")}
+    monkeypatch.setattr(scale, "is_small", lambda *a, **k: False)
+    got = {k: rows(firehose.rivers_of(drops, known, k)) for k in ("track", "follow")}
+    assert got == want and len(want["track"]) == len(want["follow"]) == 60

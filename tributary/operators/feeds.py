@@ -134,6 +134,7 @@ def stamp(drops, subscriber_parts):
     """PRJ-7: give each drop the rivers and channels of its URL.
 
     A URL whose subscribers fill several parts yields the drop once per part.
+    ``drops`` should be stored if there are very many subscribers.
     """
     targets = subscriber_parts.select(
         F.col("url").alias("identity_orig_id"),
@@ -141,8 +142,9 @@ def stamp(drops, subscriber_parts):
         F.col("river_ids").alias("river_id"),
         "channel_ids",
     )
-    return drops.drop("river_id", "channel_ids").join(
-        scale.broadcast_if_small(targets), "identity_orig_id"
+    plain = drops.drop("river_id", "channel_ids")
+    return scale.skew_join(
+        plain, targets, "identity_orig_id", spread_by=["droplet_orig_id"]
     )
 
 

@@ -71,34 +71,32 @@ def redirect_steps(redirects, shorteners):
 def expansions(shorteners, redirects, hops=MAX_HOPS):
     """JOIN-13: (url, full_url) of every captured short address.
 
-    ``hops`` joins, unrolled, over the captures alone; a failed or missing
-    capture leaves the address as it stands.  Rows that are settled get a join
-    key of their own that matches nothing, so that many addresses settled on
-    one target do not meet in one task.  The result can be stored and shared.
+    What follows ``n + 1`` hops from an address is what follows ``n`` from its
+    target: ``hops`` rounds, unrolled, each joining the captures (never a
+    derived table) to the round before.  A failed or missing capture leaves the
+    address as it stands.  A target that very many addresses share is spread;
+    settled rows get a join key of their own that matches nothing.  The result
+    can be stored and shared.
     """
     steps = redirect_steps(redirects, shorteners)
-    further = steps.select(
-        F.col("url").alias("_at"),
-        F.col("next").alias("_next"),
-        F.col("live").alias("_next_live"),
+    # Every round has the rows of ``steps``, so one measurement serves all.
+    small = scale.is_small(steps)
+    onward = F.when(F.col("live"), F.col("next")).otherwise(
+        F.concat(F.lit(" "), F.col("url"))
     )
+    keyed = steps.withColumn("_at", onward)
 
-    def follow(frontier, _):
-        key = F.when(F.col("live"), F.col("full_url")).otherwise(
-            F.concat(F.lit(" "), F.col("url"))
+    def one_hop_more(known, _):
+        further = known.select(
+            F.col("url").alias("_at"), F.col("full_url").alias("_further")
         )
-        return (
-            frontier.withColumn("_at", key)
-            .join(further, "_at", "left")
-            .select(
-                "url",
-                F.coalesce("_next", "full_url").alias("full_url"),
-                F.coalesce("_next_live", F.lit(False)).alias("live"),
-            )
+        joined = scale.skew_join(
+            keyed, further, "_at", "left", spread_by=["url"], small=small
         )
+        return joined.select("url", F.coalesce("_further", "next").alias("full_url"))
 
-    first = steps.select("url", F.col("next").alias("full_url"), "live")
-    return reduce(follow, range(hops - 1), first).drop("live")
+    first = steps.select("url", F.col("next").alias("full_url"))
+    return reduce(one_hop_more, range(hops - 1), first)
 
 
 def expand(found, expanded):

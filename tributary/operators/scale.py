@@ -73,17 +73,18 @@ def skew_join(
     spread_by=None,
     spread=64,
     min_rows=100_000,
-    max_rows=BROADCAST_ROWS,
+    small=None,
 ):
     """Equi-join of a large ``left`` that may have hot keys.
 
     A ``right`` measured to be small is broadcast.  Otherwise both sides are
     shuffled, hot rows of ``left`` are salted over ``spread`` tasks and only the
     matching rows of ``right`` are repeated.  ``left`` should be cheap to scan
-    twice (a stored table).  The salt is a hash of ``spread_by``, so a task that
-    is run again gives the same rows.
+    twice (a stored table, or CPU work alone).  The salt is a hash of
+    ``spread_by``, so a task that is run again gives the same rows.  ``small``
+    passes on a measurement of ``right`` made before.
     """
-    if is_small(right, max_rows):
+    if is_small(right) if small is None else small:
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key, min_rows).withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot)
