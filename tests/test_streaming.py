@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tributary.operators import push, registry, schedule
+from tributary.plans import enrichment, rss
 from tributary.sources import readers, sinks
 from tributary.streaming import jobs
 
@@ -148,3 +149,114 @@ def test_subscriptions_table_shape(spark):
         "channel_id bigint, river_id bigint, parameters string",
     )
     assert rows(registry.subscriptions(active)) == [("u", 2, 1)]
+
+
+def test_feeds_mail_pushes_and_enrichment_as_streams(spark, tmp_path):
+    out = lambda name: str(tmp_path / name)
+    doc = (
+        "<rss><channel><item><guid>g</guid><description>see http://x/1</description>"
+        "</item></channel></rss>"
+    )
+    feed_schema = (
+        "url string, fetch_id bigint, doc string, status int, etag string, "
+        "modified string, fetched_at bigint"
+    )
+    write(spark, out("feeds"), "1", [("u", 1, doc, 200, "e", None, 9)], feed_schema)
+    job = spark.createDataFrame(
+        [("u", 0, None, None)],
+        "url string, last_fetch_time bigint, last_fetch_etag string, "
+        "last_fetch_modified string",
+    )
+    subs = spark.createDataFrame(
+        [("u", 0, [1], [2])],
+        "url string, part bigint, river_ids array<bigint>, channel_ids array<bigint>",
+    )
+    jobs.finish(
+        jobs.fetch_feeds(
+            stream(spark, out("feeds"), feed_schema), lambda _: job, lambda _: subs,
+            1704067200, out("fed"), out("c1"),
+        )
+    )
+    drop = spark.read.parquet(out("fed/drops")).first()
+    assert drop["river_id"] == [1] and str(drop["day"]) == "2024-01-01"
+    assert spark.read.parquet(out("fed/responses")).first()["last_fetch_etag"] == "e"
+
+    mail_schema = "mail_id bigint, mailfrom string, rcptto array<string>, data string"
+    raw = "Subject: s\nDate: Mon, 01 Jan 2024 00:00:00 +0000\n\nhi"
+    write(spark, out("mail"), "1", [(1, "a@b", ["r@h"], raw)], mail_schema)
+    river = spark.createDataFrame(
+        [(4, 1, "r")], "id bigint, river_active int, email_id string"
+    )
+    jobs.finish(
+        jobs.receive_mail(
+            stream(spark, out("mail"), mail_schema), lambda _: river, out("mailed"), out("c2")
+        )
+    )
+    assert spark.read.parquet(out("mailed/drops")).first()["river_id"] == [4]
+    assert spark.read.parquet(out("mailed/quarantine")).isEmpty()
+
+    drop_schema = (
+        "id bigint, droplet_raw string, droplet_content string, "
+        "correlation_id string, reply_to string"
+    )
+    write(spark, out("drops"), "1", [(1, "http://x/1", "x", "c", "q")], drop_schema)
+    attempt = spark.createDataFrame(
+        [("c", 1, 200, '{"k":["v"]}')],
+        "correlation_id string, attempt int, status int, body string",
+    )
+    probes = spark.createDataFrame([], "url string, width int, height int")
+    expanded = spark.createDataFrame([], "url string, full_url string")
+    enrichers = {
+        "tags": lambda b: enrichment.tags_and_places(b, attempt),
+        "links": lambda b: enrichment.links_and_images(b, expanded, probes),
+    }
+    for name, enricher in enrichers.items():
+        source = stream(spark, out("drops"), drop_schema)
+        jobs.finish(jobs.enrich(source, enricher, out(name), out("c-" + name)))
+    assert spark.read.parquet(out("tags")).first()["tags"][0]["tag_name"] == "v"
+    linked = spark.read.parquet(out("links")).first()
+    assert linked["links"][0]["url"] == "http://x/1" and linked["reply_to"] == "q"
+
+    push_schema = (
+        "bucket_id bigint, post_url string, client_id string, client_secret string, "
+        "routing_key string, drop struct<id:bigint>"
+    )
+    write(
+        spark, out("pushes"), "1",
+        [(1, "p", "c", "k", "web.bucket.push.site", (5,))], push_schema,
+    )
+    source = stream(spark, out("pushes"), push_schema)
+    jobs.finish(jobs.send_pushes(source, "site", out("outbox"), out("c3")))
+    assert spark.read.parquet(out("outbox")).first()["payload"] == '[{"id":5}]'
+
+
+def test_one_round_of_fetching(spark):
+    state = spark.createDataFrame(
+        [("u", 0, None, None, 0, False), ("gone", 0, None, None, 0, False)],
+        "url string, last_fetch_time bigint, last_fetch_etag string, "
+        "last_fetch_modified string, next_fetch_time bigint, submitted boolean",
+    )
+    active = spark.createDataFrame(
+        [(2, 1, '{"value":"u"}'), (3, 1, '{"value":"new"}')],
+        "channel_id bigint, river_id bigint, parameters string",
+    )
+    items = "".join(f"<item><guid>{i}</guid></item>" for i in range(3))
+    docs = spark.createDataFrame(
+        [("u", 1, f"<rss><channel>{items}</channel></rss>", 200, "e", None, 50)],
+        "url string, fetch_id bigint, doc string, status int, etag string, "
+        "modified string, fetched_at bigint",
+    )
+    cached = rss.feeds.as_cache_rows(
+        rss.feeds.entries_to_drops(
+            rss.feeds.entries(rss.feeds.answers_of(state, docs)), 10
+        ),
+        rss.feeds.hash_id(),
+    ).limit(0)
+    drops, responses, after, cache = rss.refresh(state, active, docs, cached, 100, keep=2)
+    assert drops.count() == 3 and cache.count() == 2
+    assert drops.first()["channel_ids"] == [2]
+    assert responses.first()["last_fetch_etag"] == "e"
+    known = {r["url"]: r for r in after.collect()}
+    assert set(known) == {"u", "new"}
+    assert known["u"]["last_fetch_time"] == 50 and not known["u"]["submitted"]
+    assert known["new"]["submitted"]
