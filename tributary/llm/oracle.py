@@ -11,7 +11,7 @@ with recursive words as (
 shingles as (
   select distinct doc_id, unnest(case when len(w) = 0 then []
     when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
   from words),
 sizes as (select doc_id, count(*) as n from shingles group by doc_id),
 common as (
@@ -73,11 +73,11 @@ with texts as (
     coalesce(text, '') as t,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
     list_filter(string_split(coalesce(text, ''), chr(10)),
-      x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+      lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
   from documents),
 windows as (
   select doc_id, unnest(range(1, len(w) - 6)) as i,
-    unnest(list_transform(range(1, len(w) - 6), i -> array_to_string(w[i:i + 7], ' '))) as x
+    unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) as x
   from texts),
 again as (select doc_id, i, count(*) over (partition by doc_id, x) as n from windows),
 covered as (
@@ -85,11 +85,11 @@ covered as (
   from (select doc_id, unnest(range(i, i + 8)) as p from again where n > 1) group by doc_id),
 counted as (
   select doc_id, lang, source, len(w) as n_words,
-    coalesce(list_sum(list_transform(w, x -> length(x))), 0)::bigint as word_chars,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
     len(l) - len(list_distinct(l)) as n_dup_lines, len(l) as n_lines,
     coalesce(n_repeat_words, 0) as n_repeat_words,
-    len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) as n_stutter
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) as n_stutter
   from texts left join covered using (doc_id)),
 measured as (
   select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed, {listed}
