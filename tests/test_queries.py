@@ -5,11 +5,12 @@ import pytest
 
 import __spark_entry__ as app
 from check import canonical
-from tributary.checks import bindings, entries
+from tributary.checks import bindings, entries, oracle, streams
 from tributary.operators import tweets
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = app.queries(), app.oracle_sql()
+QUERIES = {query.__name__: query for query in entries.QUERIES + streams.QUERIES}
+ORACLE = oracle.statements()
 MAIL = {"mail_parts", "mail_drops", "mail_comments", "attachments"}
 
 

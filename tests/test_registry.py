@@ -38,11 +38,36 @@ def test_subscribers_stay_whole_over_several_parts(spark):
         "channel_id bigint, river_id bigint, parameters string",
     )
     parts = registry.url_subscribers(active, span=10).collect()
-    assert sorted(len(p["channel_ids"]) for p in parts) == [5, 10, 10]
+    assert len(parts) == 3 and {p["part"] for p in parts} == {0, 1, 2}
     assert sorted(c for p in parts for c in p["channel_ids"]) == list(range(25))
     assert {r for p in parts for r in p["river_ids"]} == {0, 1, 2}
 
 
+def test_few_subscribers_are_one_row_however_far_apart_their_ids(spark):
+    active = spark.createDataFrame(
+        [(c * 20_000, c % 3, '{"value":"u"}') for c in range(1000)],
+        "channel_id bigint, river_id bigint, parameters string",
+    )
+    (part,) = registry.url_subscribers(active).collect()
+    assert part["part"] == 0 and len(part["channel_ids"]) == 1000
+
+
+def test_refused_options_are_told(spark):
+    active = options(spark, *((c, 1, {"k": f"t{c}"}) for c in range(500)))
+    terms = registry.options_to_terms(active)
+    assert registry.predicates(active).count() == 500
+    refused = registry.over_quota(terms, registry.QUOTA)
+    assert refused.count() == 100
+
+
+def test_a_name_with_two_ids_gives_one_row(spark):
+    ids = spark.createDataFrame(
+        [("ann", "17"), ("ann", "18")], "screen_name string, user_id string"
+    )
+    active = options(spark, (1, 1, {"person": "ann"}))
+    assert rows(registry.predicates(active, user_ids=ids).select("term")) == [("17",)]
+
+
 def test_quota_admits_options_while_there_is_room(spark):
     active = options(
         spark, (1, 1, {"k": "a,b"}), (2, 1, {"k": "c,d"}), (3, 1, {"k": "e"}),

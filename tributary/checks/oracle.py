@@ -7,7 +7,6 @@ patterns, recurses and ranks.
 from tributary.checks import bindings
 
 AS_OF = bindings.AS_OF
-SPAN = 10_000
 
 # RE2's \s lacks the vertical tab.
 _BLANK = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
@@ -61,7 +60,7 @@ def _next(url, last):
 
 _SUBS = f"""(select json_extract_string(parameters, '$.value') as url, river_id,
  channel_id from {_active('rss')} a)"""
-_PARTS = f"""(select url, cast(floor(channel_id / {SPAN}) as bigint) as part,
+_PARTS = f"""(select url, cast(0 as bigint) as part,
  {_csv('river_id')} as rivers, {_csv('channel_id')} as channels
  from {_SUBS} s group by all)"""
 _PRED = _predicates()
@@ -95,7 +94,7 @@ _FOLLOW = f"""(select distinct d.id, p.term from fx_drops d, {_PRED} p
 
 
 def _routes(matches, kind):
-    return f"""select m.id, cast(floor(p.channel_id / {SPAN}) as bigint) as part,
+    return f"""select m.id, cast(0 as bigint) as part,
  {_csv('p.river_id')} as rivers, {_csv('p.channel_id')} as channels
  from {matches} m join {_PRED} p on p.term = m.term and p.type = '{kind}'
  group by all"""
@@ -224,10 +223,10 @@ _SQL = {
     "predicate_counts": f"""select type, count(distinct term) as terms from {_PRED} p
  group by type""",
     "registry_maps": f"""select type, term,
- cast(floor(channel_id / {SPAN}) as bigint) as part,
+ cast(0 as bigint) as part,
  string_agg(channel_id || ':' || river_id, ',' order by channel_id) as channels
  from {_PRED} p group by all""",
-    "predicate_maps": f"""select term, cast(floor(channel_id / {SPAN}) as bigint) as part,
+    "predicate_maps": f"""select term, cast(0 as bigint) as part,
  string_agg(channel_id || ':' || river_id, ',' order by channel_id) as channels from (
  select term, channel_id, arg_max(river_id, type = 'track') as river_id from {_PRED} p
  group by all) group by all""",
@@ -416,7 +415,7 @@ _SQL = {
  || checksum || '&client_id=' || url_encode(client_id) as body from (
  select bucket_id, part, post_url, client_id, payload,
  to_base64(encode(payload)) as drops_b64, {_hmac('client_secret', 'payload')} as checksum
- from (select bucket_id, cast(floor(droplet_id / {SPAN}) as bigint) as part, post_url,
+ from (select bucket_id, cast(0 as bigint) as part, post_url,
  client_id, client_secret, '[' || string_agg('{{"id":' || droplet_id
   || ',"droplet_title":' || to_json(droplet_title) || '}}', ',' order by droplet_id)
   || ']' as payload from {_PUSHED} p group by all))""",

@@ -108,16 +108,21 @@ def stream_fetch_status(spark, sf_dir):
 
 
 def stream_dedupe(spark, sf_dir):
-    """Each drop arrives twice; one of each (channel, id) goes on."""
+    """Each drop arrives twice, in files of falling date, one per batch; one of
+    each (channel, id) goes on."""
     out = staging.shared_folder(spark, "dedupe")
-    drops = _stream(spark, sf_dir, "fx_drops", "documents").select(
+    rows = bindings.view(spark, sf_dir, "fx_drops").select(
         "channel",
         "droplet_orig_id",
         F.timestamp_seconds("date_pub").alias("droplet_date_pub"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
     )
+    third = F.pmod(F.floor(F.unix_seconds("droplet_date_pub") / 86400), F.lit(3))
+    for part in (2, 1, 0):
+        rows.where(third == part).coalesce(1).write.mode("append").parquet(f"{out}/in")
+    drops = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
     query = (
-        jobs.without_repeats(drops)
+        jobs.without_repeats(drops.parquet(f"{out}/in"))
         .select("channel", "droplet_orig_id")
         .writeStream.format("parquet")
         .option("path", f"{out}/drops")

@@ -59,7 +59,11 @@ def redirect_steps(redirects, shorteners):
     """
     usable = redirects.where(
         F.col("status").between(100, 399) & F.col("location").isNotNull()
-    ).select("url", F.col("location").alias("next"))
+    )
+    # Of several captures of an address the smallest usable answer counts.
+    usable = usable.groupBy("url").agg(
+        F.min(F.struct("status", "location"))["location"].alias("next")
+    )
     from_short = (
         with_short_flag(usable, "url", shorteners).where(F.col("short")).drop("short")
     )
@@ -109,10 +113,12 @@ def expand(found, expanded):
 
 
 def page_photos(pages):
-    """SRC-19, FN-15: (url, photo) of captured photo pages that show one."""
-    return pages.select(
+    """SRC-19, FN-15: (url, photo) of captured photo pages that show one, one row
+    per page however often it was captured."""
+    shown = pages.select(
         "url", urls.page_photo(F.col("url"), F.col("html")).alias("photo")
     ).where(F.col("photo").isNotNull())
+    return shown.groupBy("url").agg(F.min("photo").alias("photo"))
 
 
 def classify(expanded, photos=None):
@@ -169,10 +175,8 @@ def url_facts(found, expanded, probes, photos=None):
         F.when(img, "image").otherwise(F.col("kind")).alias("kind"),
         F.when(img, F.col("url")).otherwise(F.col("target")).alias("target"),
     )
-    sizes = probes.select(
-        F.col("url").alias("_probe"),
-        (F.col("width").cast("bigint") * F.col("height")).alias("area"),
-    )
+    area = F.col("width").cast("bigint") * F.col("height")
+    sizes = probes.groupBy(F.col("url").alias("_probe")).agg(F.max(area).alias("area"))
     probed = F.when(F.col("kind") == "image", F.col("target")).otherwise(
         F.concat(F.lit(" "), F.col("url"))
     )

@@ -8,6 +8,9 @@ from tributary.operators import scale
 #: Fixed value: push messages come under this key plus the deployment's kind.
 PUSH_KEY = "web.bucket.push."
 
+#: About how many bytes of drops a payload holds.
+PAYLOAD_BYTES = 4 << 20
+
 _TARGET = ["bucket_id", "post_url", "client_id", "client_secret"]
 
 
@@ -52,20 +55,23 @@ def _with_body(outbox):
     return outbox.withColumn("body", body)
 
 
-def outbox(requests, span=scale.PART_SPAN):
+def outbox(requests, most=PAYLOAD_BYTES):
     """AGG-13, PRJ-14, SNK-9 (Q-22): signed payloads of per-drop requests.
 
     ``requests`` holds (bucket_id, post_url, client_id, client_secret, drop).
-    The drops of a bucket are packed by range of their id: a payload holds at
-    most ``span`` drops, so a bucket with very many gives several payloads,
-    each complete and signed by itself, instead of one row no task can hold.
+    A bucket whose drops take over ``most`` bytes gives several payloads of
+    about that size, each complete and signed by itself, instead of one row no
+    task can hold.  Of several requests for a drop the smallest in text counts.
     """
+    size = F.octet_length(F.to_json("drop"))
+    once = (
+        requests.select(*_TARGET, "drop", F.col("drop.id").alias("_id"))
+        .groupBy(*_TARGET, "_id")
+        .agg(F.min_by("drop", F.to_json("drop")).alias("drop"))
+    )
     packed = (
-        requests.select(
-            *_TARGET, "drop", F.col("drop.id").alias("_id")
-        )
-        .dropDuplicates([*_TARGET, "_id"])
-        .groupBy(*_TARGET, scale.part_of("_id", span).alias("part"))
+        scale.with_part(once, _TARGET, "_id", size, most)
+        .groupBy(*_TARGET, "part")
         .agg(F.to_json(F.array_sort(F.collect_list("drop"))).alias("payload"))
     )
     return _with_body(_signed(packed))

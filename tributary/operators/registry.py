@@ -42,9 +42,10 @@ def url_subscribers(active, span=scale.PART_SPAN):
 
 def subscriber_parts(subs, span=scale.PART_SPAN):
     """(url, part, river_ids, channel_ids); the parts of a URL are disjoint in
-    channels.  A URL has one part unless its channel ids span several ranges."""
+    channels.  A URL has one part unless it has more than ``span`` subscribers."""
     return (
-        subs.groupBy("url", scale.part_of("channel_id", span).alias("part"))
+        scale.with_part(subs, ["url"], "channel_id", most=span)
+        .groupBy("url", "part")
         .agg(
             F.array_sort(F.collect_set("river_id")).alias("river_ids"),
             F.array_sort(F.collect_set("channel_id")).alias("channel_ids"),
@@ -75,9 +76,10 @@ def with_user_ids(terms, user_ids):
     follow terms take part; ``user_ids`` is (screen_name, user_id).
     """
     names = terms.where(F.col("type") == "follow")
-    ids = user_ids.select(
-        F.col("screen_name").alias("term"), F.col("user_id").cast("string")
-    ).distinct()
+    # A name with several captured ids stands for the smallest.
+    ids = user_ids.groupBy(F.col("screen_name").alias("term")).agg(
+        F.min(F.col("user_id").cast("string")).alias("user_id")
+    )
     looked_up = scale.skew_join(names, ids, "term", "left", ["channel_id"]).select(
         "type", F.col("user_id").alias("term"), "channel_id", "river_id"
     )
@@ -89,16 +91,21 @@ def valid_terms(terms, max_len=text.MAX_TERM):
     return terms.where(F.col("term").isNotNull() & (F.length("term") <= max_len))
 
 
-def within_quota(terms, quota=None):
+def within_quota(terms, quota):
     """FLT-10, WIN-4, AGG-7: admit an option while earlier ones left room.
 
+    ``quota`` is a limit per type, such as ``QUOTA``; None admits all.  What is
+    refused comes from ``over_quota``.
+
     An option is admitted if fewer than ``limit`` terms were registered before
     it.  Options come in order of channel id, so all options are admitted up to
     the one that first registered the limit-th term: one top-k per type finds
     it, and no window runs over a whole type.  The terms of each type are
     counted first (one row per type); within the quota nothing is cut.
     """
-    limits = QUOTA if quota is None else quota
+    limits = quota or {}
+    if not limits:
+        return terms
     held = {row["type"]: row["terms"] for row in term_counts(terms).collect()}
     full = sorted(k for k, limit in limits.items() if held.get(k, 0) >= limit)
     if not full:
@@ -125,6 +132,12 @@ def within_quota(terms, quota=None):
     return admitted.drop("cutoff")
 
 
+def over_quota(terms, quota):
+    """FLT-10: the options that ``within_quota`` refuses."""
+    admitted = within_quota(terms, quota).select(*PREDICATE_KEY).distinct()
+    return terms.join(admitted, PREDICATE_KEY, "left_anti")
+
+
 def first_writer(terms):
     """WIN-3 (Q-9): a term keeps only the first channel that registered it."""
     owner = F.min(F.struct("channel_id", "river_id")).alias("owner")
@@ -167,10 +180,8 @@ def predicate_maps(registry, span=scale.PART_SPAN):
 
 def _channel_map(registry, key, span):
     pairs = F.array_sort(F.collect_set(F.struct("channel_id", "river_id")))
-    grouped = registry.groupBy(
-        *key, scale.part_of("channel_id", span).alias("part")
-    ).agg(F.map_from_entries(pairs).alias("channels"))
-    return grouped
+    dealt = scale.with_part(registry, key, "channel_id", most=span)
+    return dealt.groupBy(*key, "part").agg(F.map_from_entries(pairs).alias("channels"))
 
 
 def predicate_diff(old, new):
@@ -205,8 +216,9 @@ def _merged(current, other, key, prefer_other):
 def add_entries(current, added, key):
     """SET-5/7: union; an entry that is already there stays as it is."""
     values = [c for c in current.columns if c not in key]
-    one_each = added.dropDuplicates(key).select(
-        *key, F.struct(F.lit(1), *values).alias("_there")
+    # Of several rows with a key the smallest, the same one in every run.
+    one_each = added.groupBy(*key).agg(
+        F.min(F.struct(F.lit(1), *values)).alias("_there")
     )
     return _merged(current, one_each, key, F.col("_here").isNull())
 

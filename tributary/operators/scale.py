@@ -12,7 +12,7 @@ BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1000
 TRACKED = 10_000
 
-#: Distinct ids that one array of an output row may hold.
+#: About how many ids one array of an output row may hold.
 PART_SPAN = 10_000
 
 
@@ -102,13 +102,27 @@ def skew_join(
     return joined.drop("_salt")
 
 
-def part_of(id_column, span=PART_SPAN):
-    """Number of the id range ``id_column`` falls in.
+def with_part(df, key, id_column, size=None, most=PART_SPAN):
+    """``df`` with ``part``, so that arrays collected per (key, part) are bounded.
 
-    Distinct ids of one range are at most ``span``, so arrays collected per
-    (key, part) are bounded without counting first, however hot the key.
+    The members of each key are counted first, or their ``size`` summed.  A key
+    with at most ``most`` has the one part 0; a larger one is dealt by a hash of
+    the id over as many parts as keep each at about ``most``.  Only large keys come
+    out of the count, so AQE broadcasts them unless they are very many.
     """
-    return F.floor(F.col(id_column) / F.lit(span)).cast("bigint")
+    total = F.sum(size if size is not None else F.lit(1))
+    names = [f"_k{i}" for i in range(len(key))]
+    large = (
+        df.groupBy(*(F.col(k).alias(n) for k, n in zip(key, names)))
+        .agg(total.alias("_total"))
+        .where(F.col("_total") > most)
+        .select(*names, F.ceil(F.col("_total") / most).alias("_parts"))
+    )
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)]
+    digest = F.substring(F.md5(F.col(id_column).cast("string")), 1, 8)
+    number = F.conv(digest, 16, 10).cast("bigint")
+    part = F.coalesce(F.pmod(number, F.col("_parts")), F.lit(0).cast("bigint"))
+    return df.join(large, same, "left").select(*df.columns, part.alias("part"))
 
 
 def spread_if_few(scanned, key):

@@ -13,7 +13,10 @@ def links_and_images(
     its addresses are stored, and only (id, pos, address) is shuffled until the
     short lists are joined back to the drops.
     """
-    found = staging.written(media.extract_urls(drops, id_column), "addresses")
+    # A drop that is there several times, once per part of its targets or in two
+    # feeds, mentions its addresses once.
+    mentions = media.extract_urls(drops, id_column).distinct()
+    found = staging.written(mentions, "addresses")
     facts = staging.written(
         media.url_facts(found, expanded, probes, photos), "address-facts"
     )

@@ -7,10 +7,14 @@ import uuid
 def shared_folder(spark, name):
     """A new folder for ``name`` where the cluster keeps checkpoints.
 
-    Only a session that names no such place, as in tests, gets a local one.
+    Only a session whose tasks all run on this machine gets a local one if it
+    names no such place; elsewhere that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or "cluster" in context.master:
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="tributary-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
