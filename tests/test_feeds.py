@@ -70,6 +70,24 @@ def test_a_feed_without_entries_or_a_broken_one_gives_no_drop(spark):
     assert drops_of(spark, "<html>").isEmpty()
 
 
+def test_rss_1_0(spark):
+    doc = (
+        '<rdf:RDF xmlns:rdf="r" xmlns:dc="d"><channel><title>T</title><link>home</link></channel>'
+        '<item rdf:about="i"><link>l</link><title>t</title><description>d</description>'
+        "<dc:date>2024-01-01T00:00:00Z</dc:date></item></rdf:RDF>"
+    )
+    drop = drops_of(spark, doc).first()
+    assert (drop["identity_username"], drop["droplet_title"]) == ("home", "t")
+    assert drop["droplet_orig_id"] == hashlib.md5(b"li").hexdigest()
+
+
+def test_what_is_no_whole_feed_is_set_aside(spark):
+    whole = feed("<item><guid>a</guid></item>")
+    docs = [whole, whole[:-20], "<html>", "", None, "<feed><title>A</title></feed>"]
+    rows = spark.createDataFrame(list(enumerate(docs)), "fetch_id bigint, doc string")
+    assert sorted(r.fetch_id for r in feeds.quarantined(rows).collect()) == [1, 2, 3]
+
+
 def test_old_entries_are_skipped_only_for_full_fetches(spark):
     at = "<item><guid>a</guid><pubDate>Mon, 01 Jan 2024 00:00:00 +0000</pubDate></item>"
     assert drops_of(spark, feed(at), last=NOW).count() == 1

@@ -108,7 +108,7 @@ VIEWS = {
  md5(concat('secret', o_custkey)) as client_secret,
  case when o_custkey % 9 = 0 then 'web.bucket.push.other'
   else 'web.bucket.push.deployment' end as routing_key
- from {orders} where o_orderstatus = 'F'""",
+ from {orders}""",
     "fx_push_settings": """select o_custkey as bucket_id,
  cast(count(*) - 2 as bigint) as pending_drop_count from {orders} group by o_custkey""",
     "fx_auth_tokens": """select md5(concat('tok', s_suppkey)) as token,

@@ -324,8 +324,7 @@ def fetch_status_upsert(spark, sf_dir):
 def fetch_flags(spark, sf_dir):
     before = state(spark, sf_dir)
     sent = schedule.mark_submitted(before, schedule.due_jobs(before, AS_OF))
-    failed = _responses(spark, sf_dir).where(F.col("status") == 500)
-    answered = failed.where(F.col("last_fetch_modified").isNotNull())
+    answered = _responses(spark, sf_dir)
     return schedule.apply_responses(sent, answered).select("url", "submitted")
 
 
@@ -427,13 +426,7 @@ def cache_trim(spark, sf_dir):
 def cache_insert(spark, sf_dir):
     drops = feeds.first_of_fetch(_feed_drops(spark, sf_dir), keep=20)
     rows = staging.written(feeds.as_cache_rows(drops, feeds.hash_id()), "new-drops")
-    keys = inputs.cache(spark, sf_dir).select(
-        "id", "url", "date_pub", F.struct(F.col("drop.droplet_title")).alias("drop")
-    )
-    new = rows.select(
-        "id", "url", "date_pub", F.struct(F.col("drop.droplet_title")).alias("drop")
-    )
-    merged = feeds.update_cache(keys, new, keep=20)
+    merged = feeds.update_cache(inputs.cache(spark, sf_dir), rows, keep=20)
     return merged.select("url", "id", "date_pub", "drop.droplet_title")
 
 

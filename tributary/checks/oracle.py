@@ -303,8 +303,7 @@ _SQL = {
  select url, last_fetch_time, last_fetch_etag, last_fetch_modified,
  {_next('url', 'last_fetch_time')} as next_fetch_time, false as submitted from last
  union all select * from {_STATE} s where url not in (select url from last)""",
-    "fetch_flags": f"""with answered as (select distinct url from fx_fetch_responses
-  where status = 500 and last_fetch_modified is not null)
+    "fetch_flags": f"""with answered as (select distinct url from fx_fetch_responses)
  select url, url not in (select url from answered) and next_fetch_time < {AS_OF}
   as submitted from {_STATE} s
  union all select url, false from answered where url not in (select url from {_STATE} t)""",

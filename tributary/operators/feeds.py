@@ -25,6 +25,36 @@ def answers_of(jobs, feed_docs):
     return scale.skew_join(feed_docs, asked, "url", spread_by=["fetch_id"])
 
 
+def _trees(doc):
+    """The document as a tree of its dialect: rss, rdf or atom, the others NULL.
+
+    A document that is cut off, or none of these, has no tree.
+    """
+    prolog = r"(?s)^\s*(<\?xml[^>]*\?>\s*)?(<!DOCTYPE[^>]*>\s*)?(<!--.*?-->\s*)*"
+    atom, rdf = doc.rlike(rf"{prolog}<feed\b"), doc.rlike(rf"{prolog}<rdf:RDF\b")
+    whole = doc.rlike(r"(?s)</(rss|feed|rdf:RDF)>\s*(<!--.*?-->\s*)*$")
+
+    def tree(schema, tag):
+        return F.from_xml(doc, schema, {**_XML, "rowTag": tag})
+
+    return {
+        "r": F.when(whole & ~atom & ~rdf, tree(schemas.RSS_FEED, "rss")["channel"]),
+        "d": F.when(whole & rdf, tree(schemas.RDF_FEED, "rdf:RDF")),
+        "f": F.when(whole & atom, tree(schemas.ATOM_FEED, "feed")),
+    }
+
+
+def quarantined(feed_docs):
+    """STR-14: captured documents that are no feed, or only a part of one.
+
+    A fetch that gave such a document should not count as answered.
+    """
+    parsed = feed_docs.where(F.col("doc").isNotNull()).withColumns(_trees(F.col("doc")))
+    readable = F.coalesce("r.title", "r.link", F.to_json("r"), F.to_json("d"), F.to_json("f"))
+    broken = readable.isNull() | readable.isin("{}", "")
+    return parsed.where(broken).select(*feed_docs.columns)
+
+
 def entries(feed_docs):
     """SRC-5: entries of captured feeds with their place in the feed.
 
@@ -34,13 +64,19 @@ def entries(feed_docs):
     explode keeps Spark from testing the list in a filter that parses it again.
     """
     kept = [c for c in feed_docs.columns if c != "doc"]
-    atom = F.col("doc").rlike(r"(?s)^\s*(<\?xml[^>]*\?>\s*)?(<!--.*?-->\s*)*<feed\b")
-    rss_tree = F.from_xml("doc", schemas.RSS_FEED, {**_XML, "rowTag": "rss"})
-    atom_tree = F.from_xml("doc", schemas.ATOM_FEED, {**_XML, "rowTag": "feed"})
     trees = feed_docs.where(F.col("doc").isNotNull()).select(
-        *kept,
-        F.when(~atom, rss_tree["channel"]).alias("r"),
-        F.when(atom, atom_tree).alias("f"),
+        *kept, *(tree.alias(name) for name, tree in _trees(F.col("doc")).items())
+    )
+    rdf_items = F.transform(
+        "d.item",
+        lambda e: F.struct(
+            e["_rdf:about"].alias("entry_id"),
+            e["link"].alias("link"),
+            e["title"].alias("title"),
+            e["description"].alias("summary"),
+            e["content:encoded"].alias("content"),
+            e["dc:date"].alias("date"),
+        ),
     )
     rss_items = F.transform(
         "r.item",
@@ -66,21 +102,23 @@ def entries(feed_docs):
     )
     listed = trees.select(
         *kept,
-        F.coalesce("r.title", "f.title").alias("feed_title"),
-        F.coalesce("r.link", _page_link(F.col("f.link"))).alias("feed_link"),
-        F.coalesce("r.language", "f.`_xml:lang`").alias("feed_language"),
-        F.coalesce("r.image.url", "f.logo").alias("feed_image"),
-        F.col("f").isNotNull().alias("_atom"),
-        F.posexplode_outer(F.coalesce(rss_items, atom_items)).alias("pos", "e"),
-    )
-    date = F.when(F.col("_atom"), dates.iso8601(F.col("date"))).otherwise(
+        F.coalesce("r.title", "d.channel.title", "f.title").alias("feed_title"),
+        F.coalesce("r.link", "d.channel.link", _page_link(F.col("f.link"))).alias("feed_link"),
+        F.coalesce("r.language", "d.channel.`dc:language`", "f.`_xml:lang`").alias(
+            "feed_language"
+        ),
+        F.coalesce("r.image.url", "d.image.url", "f.logo").alias("feed_image"),
+        (F.col("f").isNotNull() | F.col("d").isNotNull()).alias("_iso"),
+        F.posexplode_outer(F.coalesce(rss_items, rdf_items, atom_items)).alias("pos", "e"),
+    )
+    date = F.when(F.col("_iso"), dates.iso8601(F.col("date"))).otherwise(
         dates.rfc822(F.col("date"))
     )
     return (
         listed.where(F.col("pos").isNotNull())
         .select("*", "e.*")
         .withColumn("date_parsed", date)
-        .drop("e", "date", "_atom")
+        .drop("e", "date", "_iso")
     )
 
 
@@ -231,20 +269,17 @@ def update_cache(cache, new_rows, keep=KEEP):
     """SNK-7: only URLs that got new drops are trimmed, and before the insert,
     so that twice ``keep`` rows may stay until the next time.
 
-    Rows of other URLs rank alone, each in a group of its own, so one ranked
-    pass serves both.
+    With a list of touched URLs that is small, as after one round of fetches,
+    rows of other URLs pass as they are read, neither shuffled nor sorted.
     """
-    touched = new_rows.select("url").distinct().withColumn("_new", F.lit(True))
-    marked = scale.skew_join(cache, touched, "url", "left", ["id"])
-    alone = F.when(F.col("_new").isNull(), F.col("id"))
-    newest = Window.partitionBy("url", "_alone").orderBy(
-        F.desc("date_pub"), F.desc("id")
-    )
-    ranked = marked.withColumn("_alone", alone).withColumn(
-        "_rank", F.row_number().over(newest)
+    touched = scale.broadcast_if_small(new_rows.select("url").distinct())
+    untouched = cache.join(touched, "url", "left_anti")
+    kept = trim_cache(cache.join(touched, "url", "left_semi"), keep)
+    return (
+        untouched.select(*cache.columns)
+        .unionByName(kept.select(*cache.columns))
+        .unionByName(new_rows.select(*cache.columns), allowMissingColumns=True)
     )
-    kept = ranked.where(F.col("_rank") <= keep).select(*cache.columns)
-    return kept.unionByName(new_rows.select(*cache.columns))
 
 
 def purge_cache(cache, subscribed):

@@ -64,17 +64,17 @@ def message_id(mailfrom, rcptto, data):
     """PRJ-4, FN-1 (Q-15): md5 over sender, recipients as a Python list prints
     them, and the raw message."""
     listed = F.concat(F.lit("['"), F.array_join(rcptto, "', '"), F.lit("']"))
-    return F.md5(F.concat(mailfrom, listed, data))
+    return F.md5(F.concat(F.encode(mailfrom, "utf-8"), F.encode(listed, "utf-8"), data))
 
 
 def parse(mails):
-    """MAIL-1: message text to (content, subject, date, attachments, error).
+    """MAIL-1: message (bytes, or text in UTF-8) to (content, subject, date, attachments, error).
 
     MIME has no counterpart among Spark's functions, so this one operator runs
     Python, in Arrow batches and with no shuffle.  All other columns pass, the
     raw message does not.  A message that cannot be decoded gets ``error``.
     """
-    source = mails.withColumn(
+    source = mails.withColumn("data", F.col("data").cast("binary")).withColumn(
         "droplet_orig_id",
         message_id(F.col("mailfrom"), F.col("rcptto"), F.col("data")),
     )
@@ -98,7 +98,7 @@ def _parse_one(raw):
     if raw is None:
         return None, None, None, "no message", None
     try:
-        message = message_from_bytes(raw.encode("utf-8", "surrogateescape"))
+        message = message_from_bytes(bytes(raw))
         content = _first_text(message)
         attachments = None
         if message.is_multipart():

@@ -87,6 +87,13 @@ RSS_FEED = (
     "title:string,description:string,`content:encoded`:string,"
     "pubDate:string>>>"
 )
+#: RSS 1.0: the entries stand beside the channel.
+RDF_FEED = (
+    "channel struct<title:string,link:string,`dc:language`:string>,"
+    "image struct<url:string>,"
+    "item array<struct<`_rdf:about`:string,link:string,title:string,"
+    "description:string,`content:encoded`:string,`dc:date`:string>>"
+)
 ATOM_FEED = (
     "title string, `_xml:lang` string, logo string, "
     "link array<struct<_href:string,_rel:string>>, "

@@ -28,11 +28,12 @@ def text_lines(spark, path, stream=False, files_per_trigger=None):
 
 
 def raw_mail(spark, path):
-    """SRC-7: (mail_id, mailfrom, rcptto, data)."""
+    """SRC-7: (mail_id, mailfrom, rcptto, data); a message is bytes, of any
+    character set."""
     return table(
         spark,
         path,
-        "mail_id bigint, mailfrom string, rcptto array<string>, data string",
+        "mail_id bigint, mailfrom string, rcptto array<string>, data binary",
     )
 
 
@@ -70,11 +71,28 @@ def push_requests(spark, path, **how):
     return messages(spark, path, schemas.PUSH_REQUEST, **how)
 
 
-def latest_version(spark, path):
-    """SRC-13: the newest snapshot of a versioned table.
+def versions(spark, path):
+    """Numbers of the finished snapshots of a versioned table, from directory names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in store.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith("version=") and store.exists(
+            hadoop.Path(status.getPath(), "_SUCCESS")
+        ):
+            found.append(int(name.removeprefix("version=")))
+    return sorted(found)
 
-    The maximum comes from directory names alone, and then prunes the scan.
-    """
-    rows = spark.read.parquet(path)
-    newest = rows.agg(F.max("version")).first()[0]
-    return rows.where(F.col("version") == newest).drop("version")
+
+def latest_version(spark, path, before=None):
+    """SRC-13: the newest snapshot of a versioned table, or the newest before a
+    version; no file of another version is opened."""
+    newest = max(v for v in versions(spark, path) if before is None or v < before)
+    return spark.read.parquet(f"{path}/version={newest}")
+
+
+def broken(rows):
+    """STR-14: messages whose body was no such object, as they came."""
+    return rows.where(F.col("m").isNull()).drop("m")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators import events, feeds, mail, push, schedule, tweets
 from tributary.plans import deployments, firehose
-from tributary.sources import sinks
+from tributary.sources import readers, sinks
 
 
 def run(stream, per_batch, checkpoint, every=None):
@@ -50,9 +50,7 @@ def without_repeats(drops, delay="1 day"):
 
 def _version_before(spark, path, batch_id):
     """A versioned table as it was before ``batch_id`` (repeats see the same)."""
-    rows = spark.read.parquet(path).where(F.col("version") < batch_id)
-    newest = rows.agg(F.max("version")).first()[0]
-    return rows.where(F.col("version") == newest).drop("version")
+    return readers.latest_version(spark, path, before=batch_id)
 
 
 def start_table(rows, path):
