@@ -12,19 +12,25 @@ BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1000
 TRACKED = 10_000
 
+#: Rows of a hot key that one task should get.
+TASK_ROWS = 1_000_000
+
 #: About how many ids one array of an output row may hold.
 PART_SPAN = 10_000
 
 
 def _row_bytes(schema):
-    """About how many bytes a row of flat columns and flat arrays takes."""
+    """About how many bytes a row takes."""
     total = F.lit(0).cast("bigint")
     for field in schema.fields:
         kind, column = field.dataType, F.col(f"`{field.name}`")
         if isinstance(kind, (T.StringType, T.BinaryType)):
             size = F.coalesce(F.octet_length(column), F.lit(0)) + 16
-        elif isinstance(kind, T.ArrayType):
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.AtomicType):
             size = F.greatest(F.size(column), F.lit(0)) * 32 + 16
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            # What is nested is measured by its text.
+            size = F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) + 16
         else:
             size = F.lit(16)
         total = total + size.cast("bigint")
@@ -46,8 +52,9 @@ def broadcast_if_small(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
-def hot_keys(df, key, min_rows=100_000):
-    """Keys holding more than 1/HOT_KEYS of the rows: column ``key``.
+def hot_keys(df, key, min_rows=100_000, count=None):
+    """Keys holding more than 1/HOT_KEYS of the rows: column ``key``, and their
+    number of rows by the sketch in a column named ``count``, if asked for.
 
     One pass with a mergeable sketch of frequent items, so only the sketches
     are shuffled.  The result is at most HOT_KEYS rows by arithmetic.  A key
@@ -62,7 +69,10 @@ def hot_keys(df, key, min_rows=100_000):
         .select("n", F.inline("tops"))
     )
     heavy = (F.col("count") * HOT_KEYS > F.col("n")) & (F.col("count") >= min_rows)
-    return tops.where(heavy).select(F.col("item").alias(key))
+    columns = [F.col("item").alias(key)]
+    if count:
+        columns.append(F.col("count").alias(count))
+    return tops.where(heavy).select(*columns)
 
 
 def skew_join(
@@ -71,34 +81,35 @@ def skew_join(
     key,
     how="inner",
     spread_by=None,
-    spread=64,
+    spread=8,
     min_rows=100_000,
     small=None,
 ):
     """Equi-join of a large ``left`` that may have hot keys.
 
     A ``right`` measured to be small is broadcast.  Otherwise both sides are
-    shuffled, hot rows of ``left`` are salted over ``spread`` tasks and only the
-    matching rows of ``right`` are repeated.  ``left`` should be cheap to scan
+    shuffled, hot rows of ``left`` are salted over as many tasks as give each about
+    ``TASK_ROWS`` (``spread`` at least), and only the matching rows of ``right`` are
+    repeated.  ``left`` should be cheap to scan
     twice (a stored table, or CPU work alone).  The salt is a hash of
     ``spread_by``, so a task that is run again gives the same rows.  ``small``
     passes on a measurement of ``right`` made before.
     """
     if is_small(right) if small is None else small:
         return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(left, key, min_rows).withColumn("_hot", F.lit(True))
-    hot = F.broadcast(hot)
-    salt = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(spread))
-    spread_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0).cast("bigint"))
+    parts = F.greatest(F.lit(spread), F.ceil(F.col("_rows") / TASK_ROWS))
+    hot = hot_keys(left, key, min_rows, "_rows").select(
+        key, parts.cast("bigint").alias("_parts")
     )
-    copies = F.when(
-        F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1)).cast("array<bigint>")
-    ).otherwise(F.array(F.lit(0).cast("bigint")))
-    spread_right = (
-        right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    hot = F.broadcast(hot)
+    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+    salt = F.pmod(F.xxhash64(*(spread_by or left.columns)), parts)
+    spread_left = left.join(hot, key, "left").withColumn("_salt", salt)
+    copies = F.sequence(F.lit(0).cast("bigint"), parts - 1)
+    spread_right = right.join(hot, key, "left").withColumn("_salt", F.explode(copies))
+    joined = spread_left.drop("_parts").join(
+        spread_right.drop("_parts"), [key, "_salt"], how
     )
-    joined = spread_left.drop("_hot").join(spread_right, [key, "_salt"], how)
     return joined.drop("_salt")
 
 
