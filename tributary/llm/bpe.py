@@ -1,14 +1,14 @@
 """Byte-level BPE by batched merge rounds.
 
-The distinct pre-tokens of a batch of texts are laid end to end as one flat
-array of symbols.  In each round every pair of neighbours is looked up by binary
-search in the sorted keys of all merges, each pre-token takes its pair of lowest
-rank, and all its occurrences are merged at once, from the left.  Pre-tokens
-without a pair left drop out, so the array shrinks from round to round.
+Many texts are one flat array of code points.  Array operations find where the
+pre-tokens begin; each pre-token is hashed to 64 bits, and only the distinct ones
+that the task has not met before (it remembers up to ``KEPT``) are encoded.
 
-Texts are cut at blanks that stand between two other characters, where a
-pre-token always begins, and the ids of such chunks are kept for the next texts
-of the task, up to ``KEPT`` of them.
+Their bytes are laid end to end as one flat array of symbols.  In each round each
+pre-token takes its pair of neighbours of lowest rank, and all its occurrences are
+merged at once, from the left; ranks are found by binary search in the sorted keys
+of all merges, and only pairs with a symbol just made are looked up again.
+Pre-tokens without a pair left drop out, so the array shrinks from round to round.
 
 Cases: a null text encodes as an empty one, to no ids.  The strings of added
 tokens become their ids.  Ids of null are null, and decoded text of null is null;
@@ -18,33 +18,75 @@ Other columns of the input are kept; a column of a result's name is replaced.
 
 import json
 import re
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Chunks whose ids a task remembers; more than that, and it starts afresh.
+from tributary.llm import words
+
+#: Pre-tokens whose ids a task remembers; more than that, and it starts afresh.
 KEPT = 1_000_000
+#: Code points that one round of array operations handles.
+SLICE = 1 << 21
+
+_OTHER, _LETTER, _NUMBER, _BLANK = range(4)
+# White space, and the endings that are pre-tokens of their own.
+_BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_ENDINGS = "s t re ve m ll d".split()
+
+
+@lru_cache(maxsize=1)
+def _classes():
+    """The class of every code point."""
+    kinds = {"L": _LETTER, "N": _NUMBER}
+    table = np.array(
+        [kinds.get(unicodedata.category(chr(i))[0], _OTHER) for i in range(0x110000)], np.uint8
+    )
+    blank = re.compile(f"[{_BLANKS}]")
+    table[[i for i in range(0x3001) if blank.match(chr(i))]] = _BLANK
+    return table
 
-# White space, and the pattern that splits before merges.
-_RARE_BLANKS = r"\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_BLANKS = rf" \n{_RARE_BLANKS}"
-_PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
-    rf"| ?[^{_BLANKS}\p{{L}}\p{{N}}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
-)
-_RARE = re.compile(rf"[{_RARE_BLANKS}]")
-_CUT = re.compile(rf"(?<=[^{_BLANKS}]) (?=[^{_BLANKS}])")
 
+@lru_cache(maxsize=1)
+def _numbers():
+    """A 64-bit number for every code point."""
+    return words.mix(np.arange(1, 0x110001, dtype=np.uint64))
 
-def _chunks(text):
-    """``text`` cut at the blanks that stand between two other characters."""
-    if "  " in text or " \n" in text or "\n " in text or _RARE.search(text):
-        return _CUT.split(text)
-    return text.split(" ")
+
+def pre_tokens(points, bounds):
+    """Where the pre-tokens of texts (code points, and where texts begin) begin."""
+    n = len(points)
+    kinds = _classes()[points]
+    begins = np.empty(n, bool)
+    begins[:1] = True
+    np.not_equal(kinds[1:], kinds[:-1], out=begins[1:])
+    first = np.zeros(n + 1, bool)
+    first[bounds] = True
+    first = first[:n]
+    begins |= first
+    # A blank before a word belongs to it; of several white spaces the last
+    # one stands alone or, if a blank, goes with the word.
+    after = np.flatnonzero(begins & (kinds != _BLANK) & ~first)
+    after = after[kinds[after - 1] == _BLANK]
+    begins[after - 1] = True
+    begins[after[points[after - 1] == 0x20]] = False
+    # Endings such as 's, where a pre-token begins with the apostrophe.
+    marks = np.flatnonzero(begins & (points == 0x27))
+    for ending in _ENDINGS:
+        k = len(ending)
+        at = marks[marks + k < n]
+        for d, letter in enumerate(ending, 1):
+            at = at[(points[at + d] == ord(letter)) & ~first[at + d]]
+        begins[at + 1] = False
+        rest = at[at + k + 1 < n] + k + 1
+        begins[rest[kinds[rest] == _LETTER]] = True
+        # An ending found is not looked at again.
+        marks = np.setdiff1d(marks, at, assume_unique=True)
+    return np.flatnonzero(begins)
 
 
 def _letters():
@@ -84,86 +126,133 @@ class Codec:
             if added
             else None
         )
-        self.pre = regex.compile(_PATTERN)
-        self.heads, self.tails = {}, {}
-
-    def merged(self, words):
-        """Ids, as little-endian bytes, of each of ``words`` (bytes, none empty)."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        symbols = self.first[np.frombuffer(b"".join(words), np.uint8)]
-        owner = np.repeat(np.arange(len(words)), lengths)
-        done = []
+        self.spelt = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.spelt_size = np.fromiter(map(len, self.bytes), np.int64, self.size)
+        self.spelt_at = np.cumsum(self.spelt_size) - self.spelt_size
+        self._forget()
+
+    def _forget(self):
+        self.known = np.zeros(0, np.uint64)
+        self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _pairs(self, left, right):
+        """Rank and merged symbol of each pair; the largest number for no merge."""
+        keys = left * self.size + right
+        found = np.searchsorted(self.keys, keys)
+        found[found == len(self.keys)] = 0
+        hit = self.keys[found] == keys
+        return np.where(hit, self.ranks[found], np.iinfo(np.int32).max), self.into[found]
+
+    def merged(self, tokens):
+        """Ids of each of ``tokens`` (bytes, none empty), and how many."""
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        symbols = self.first[np.frombuffer(b"".join(tokens), np.uint8)]
+        owner = np.repeat(np.arange(len(tokens)), lengths)
+        none, done = np.iinfo(np.int32).max, []
+        rank, into = self._pairs(symbols[:-1], symbols[1:])
+        rank[owner[:-1] != owner[1:]] = none
+        rank, into = np.append(rank, none).astype(np.int32), np.append(into, 0)
         while len(symbols):
-            keys = symbols[:-1] * self.size + symbols[1:]
-            keys[owner[:-1] != owner[1:]] = -1
-            found = np.searchsorted(self.keys, keys)
-            found[found == len(self.keys)] = 0
-            hit = self.keys[found] == keys
-            rank = np.where(hit, self.ranks[found], np.iinfo(np.int64).max)
-            rank = np.append(rank, np.iinfo(np.int64).max)
             begins = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             best = np.minimum.reduceat(rank, begins)
             sizes = np.diff(np.append(begins, len(owner)))
-            live = np.repeat(best != np.iinfo(np.int64).max, sizes)
+            live = np.repeat(best != none, sizes)
             done.append((owner[~live], symbols[~live]))
-            take = live & (rank == np.repeat(best, sizes))
+            at = np.flatnonzero(live & (rank == np.repeat(best, sizes)))
+            if not len(at):
+                break
             # Of a run of overlapping pairs (a a a) every other one is merged.
-            at = np.flatnonzero(take)
-            if len(at):
+            if (np.diff(at) == 1).any():
                 head = np.append(True, np.diff(at) != 1)
                 since = np.arange(len(at)) - np.maximum.accumulate(
                     np.where(head, np.arange(len(at)), 0)
                 )
                 at = at[since % 2 == 0]
-                symbols = symbols.copy()
-                symbols[at] = self.into[found[at]]
-                live[at + 1] = False
-            symbols, owner = symbols[live], owner[live]
+            symbols[at] = into[at]
+            live[at + 1] = False
+            moved = np.zeros(len(symbols), bool)
+            moved[at] = True
+            symbols, owner, rank, into, moved = (
+                x[live] for x in (symbols, owner, rank, into, moved)
+            )
+            # Only pairs with a symbol just made are looked up again.
+            changed = moved.copy()
+            changed[:-1] |= moved[1:]
+            changed = np.flatnonzero(changed)
+            if len(changed) and changed[-1] == len(symbols) - 1:
+                rank[-1] = none
+                changed = changed[:-1]
+            new_rank, into[changed] = self._pairs(symbols[changed], symbols[changed + 1])
+            new_rank[owner[changed] != owner[changed + 1]] = none
+            rank[changed] = new_rank
         owner = np.concatenate([o for o, _ in done])
         order = np.argsort(owner, kind="stable")
-        flat = np.concatenate([s for _, s in done])[order].astype("<u4")
-        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(words)))
-        raw, ends = flat.tobytes(), ends.tolist()
-        return [raw[i:j] for i, j in zip([0, *ends], ends)]
-
-    def _learn(self, chunks):
-        """Fill in the ids of (store, chunk, text) not seen before."""
-        pieces = [self.pre.findall(text) for _, _, text in chunks]
-        new, known = list({p for parts in pieces for p in parts}), {}
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            known.update(zip(part, self.merged([p.encode("utf-8", "replace") for p in part])))
-        for (store, chunk, _), parts in zip(chunks, pieces):
-            store[chunk] = b"".join([known[p] for p in parts])
+        flat = np.concatenate([s for _, s in done])[order]
+        return flat, np.bincount(owner, minlength=len(tokens))
+
+    def _learn(self, keys, tokens):
+        """Remember the ids of pre-tokens (sorted hashes, UTF-8)."""
+        flat, counts = self.merged(tokens)
+        if self.used + len(flat) > len(self.pool):
+            grown = np.zeros(2 * (self.used + len(flat)), np.uint32)
+            grown[: self.used] = self.pool[: self.used]
+            self.pool = grown
+        self.pool[self.used : self.used + len(flat)] = flat
+        place = np.searchsorted(self.known, keys)
+        starts = self.used + np.cumsum(counts) - counts
+        self.known = np.insert(self.known, place, keys)
+        self.at = np.insert(self.at, place, starts)
+        self.count = np.insert(self.count, place, counts)
+        self.used += len(flat)
+
+    def _ids(self, segments):
+        """Ids of texts without added tokens, and where those of each text begin."""
+        flat = "".join(segments)
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, segments), np.int64))])
+        if not flat:
+            return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
+        points = np.frombuffer(flat.encode("utf-32-le", "replace"), "<u4")
+        starts = pre_tokens(points, bounds)
+        hashes = words.mix(words.polynomial(_numbers()[points], starts))
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > KEPT:
+            self._forget()
+        place = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != distinct[inside]
+        if new.any():
+            ends = np.append(starts[1:], len(points))
+            spots = first[new]
+            pairs = zip(starts[spots].tolist(), ends[spots].tolist())
+            self._learn(distinct[new], [flat[a:b].encode("utf-8", "replace") for a, b in pairs])
+            place = np.searchsorted(self.known, distinct)
+        counts = self.count[place][inverse]
+        ends = np.cumsum(counts)
+        at = np.repeat(self.at[place][inverse] - ends + counts, counts) + np.arange(ends[-1])
+        token_bounds = np.searchsorted(starts, bounds)
+        return self.pool[at], np.concatenate([[0], ends])[token_bounds]
 
     def encode(self, texts):
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.heads) + len(self.tails) > KEPT:
-            self.heads, self.tails = {}, {}
-        get, out, gaps, missing = self.tails.get, [], [], {}
-        for text in texts:
-            parts = []
-            for k, segment in enumerate(self._segments(text or "")):
-                if k % 2:
-                    parts.append(self.added[segment])
-                    continue
-                head, *tails = _chunks(segment)
-                ids = list(map(get, tails))
-                if head not in self.heads or None in ids:
-                    gaps.append((parts, len(parts), head, tails, ids))
-                    missing[0, head] = (self.heads, head, head)
-                    for t, known in zip(tails, ids):
-                        if known is None:
-                            missing[1, t] = (self.tails, t, " " + t)
-                else:
-                    ids = self.heads[head] + b"".join(ids)
-                parts.append(ids)
-            out.append(parts)
-        self._learn(list(missing.values()))
-        for parts, k, head, tails, ids in gaps:
-            filled = [self.tails[t] if x is None else x for t, x in zip(tails, ids)]
-            parts[k] = self.heads[head] + b"".join(filled)
-        return [b"".join(parts) for parts in out]
+        parts = [self._segments(text or "") for text in texts]
+        plain = [p for segments in parts for p in segments[::2]]
+        raws = []
+        for i, j in batches(plain, SLICE):
+            ids, bounds = self._ids(plain[i:j])
+            raw, ends = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+            raws += [raw[a:b] for a, b in zip(ends, ends[1:])]
+        made, at = [], 0
+        for segments in parts:
+            n = len(segments) // 2 + 1
+            if n == 1:
+                made.append(raws[at])
+            else:
+                added = [*(self.added[t] for t in segments[1::2]), b""]
+                made.append(b"".join(x for p in zip(raws[at : at + n], added) for x in p))
+            at += n
+        return made
 
     def _segments(self, text):
         """Text and added tokens in turn, text first and last."""
@@ -175,8 +264,14 @@ class Codec:
 
     def decode(self, ids):
         """The text of a sequence of ids."""
-        table, n = self.bytes, self.size
-        return b"".join([table[i] for i in ids if 0 <= i < n]).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        ids = ids[(ids >= 0) & (ids < self.size)]
+        counts = self.spelt_size[ids]
+        ends = np.cumsum(counts)
+        if not len(ends):
+            return ""
+        at = np.repeat(self.spelt_at[ids] - ends + counts, counts) + np.arange(ends[-1])
+        return self.spelt[at].tobytes().decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=4)
@@ -185,6 +280,11 @@ def codec(path):
     return Codec(path)
 
 
+def compact(path):
+    """The smallest of 16 and 32 bits that holds every id of a vocabulary."""
+    return "<u2" if codec(path).size <= 1 << 16 else "<u4"
+
+
 def batches(texts, most=4 << 20):
     """Ranges of a sequence of texts with about ``most`` characters each."""
     first, held = 0, 0
@@ -216,7 +316,7 @@ def decode(df, path, ids="ids", text="decoded"):
     @F.pandas_udf(T.StringType())
     def decoded(column: pd.Series) -> pd.Series:
         known = codec(path)
-        made = [None if x is None else known.decode(x.tolist()) for x in column]
+        made = [None if x is None else known.decode(x) for x in column]
         return pd.Series(made, index=column.index, dtype=object)
 
     return df.withColumn(text, decoded(F.col(f"`{ids}`")))

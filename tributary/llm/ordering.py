@@ -63,13 +63,9 @@ def permuted(numbers, n, key):
     return slots.astype(np.int64)
 
 
-def _kind(path):
-    return "<u2" if bpe.codec(path).size <= 1 << 16 else "<u4"
-
-
 def _sequences(batches, path, length, end):
     """(ids as bytes, document at the first id, its ids before, ids) per sequence."""
-    known, kind = bpe.codec(path), _kind(path)
+    known, kind = bpe.codec(path), bpe.compact(path)
     close = np.array([end], kind).tobytes()
     wide = len(close)
     held, begins, at = bytearray(), [], 0  # texts begun in what is held
@@ -148,7 +144,7 @@ def materialise(docs, path, length=1024, per_shard=8192, key=1, end=50256, folde
         if rows:
             yield flush()
 
-    wide = np.dtype(_kind(path)).itemsize
+    wide = np.dtype(bpe.compact(path)).itemsize
     stride = length * wide
 
     def write(table):

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from tributary.llm import bpe, tables
 
-#: Rests per shard; 50,000 ids are about 100 MB of index at most.
-SHARD = 4000
+#: Rests per shard.
+SHARD = 1000
 K1, B = 1.2, 0.75
 
 _PIECES = (
@@ -41,10 +41,11 @@ _PACKED = (
 
 
 def pieces(docs, path, window=1024, end=0):
-    """Whole windows of every document, and its rest with ids (32 bits each).
+    """Whole windows of every document, and its rest, with ids (see ``bpe.compact``).
 
     ``sequence_id`` is set for whole windows, ``rest`` numbers the rests.
     """
+    kind = bpe.compact(path)
 
     def cut(batches):
         known, task, made = bpe.codec(path), TaskContext.get().partitionId() << 33, 0
@@ -57,6 +58,7 @@ def pieces(docs, path, window=1024, end=0):
                 for doc, raw in zip(ids[i:j], known.encode(texts[i:j])):
                     raw += close
                     total = len(raw) // 4
+                    small = np.frombuffer(raw, "<u4").astype(kind)
                     for start in range(0, total, window):
                         part = raw[4 * start : 4 * (start + window)]
                         whole = len(part) == 4 * window
@@ -64,7 +66,7 @@ def pieces(docs, path, window=1024, end=0):
                         rows.append((
                             doc, start, len(part) // 4, zlib.crc32(part), total,
                             (1 << 62) + task + made if whole else None,
-                            None if whole else task + made, None if whole else part,
+                            None if whole else task + made, small[start : start + window].tobytes(),
                         ))
                 if rows:
                     columns = map(list, zip(*rows))
@@ -76,14 +78,14 @@ def pieces(docs, path, window=1024, end=0):
     return tables.documents(docs).mapInArrow(cut, _PIECES)
 
 
-def frequencies(rests, size):
+def frequencies(rests, size, kind):
     """How many rests hold each id: one row per id (at most ``size``)."""
 
     def count(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                total[np.unique(np.frombuffer(raw, "<u4"))] += 1
+                total[np.unique(np.frombuffer(raw, kind))] += 1
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["id", "n"])
 
@@ -94,9 +96,8 @@ def frequencies(rests, size):
 class _Shard:
     """Rests of one shard: index, unused rests, and the windows made of them."""
 
-    def __init__(self, rests, window, inverse, mean):
-        self.rests, self.window = rests, window
-        ids = [np.frombuffer(r[-1], "<u4") for r in rests]
+    def __init__(self, ids, window, inverse, mean):
+        self.ids, self.window = ids, window
         held = [np.unique(x, return_counts=True) for x in ids]
         self.terms = [t for t, _ in held]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -117,24 +118,24 @@ class _Shard:
         sizes = b - a
         at = np.repeat(a - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
         at += np.arange(len(at))
-        score = np.bincount(self.doc[at], self.weight[at], minlength=len(self.rests))
+        score = np.bincount(self.doc[at], self.weight[at], minlength=len(self.ids))
         found = np.flatnonzero(self.unused & (score > 0))
         # Stable: rests of one score follow in the order of their numbers.
         for i in found[np.argsort(-score[found], kind="stable")]:
             yield i
-            room -= len(self.rests[i][-1]) // 4
+            room -= len(self.ids[i])
             if room <= 0:
                 return
 
     def windows(self):
         """Lists of (rest, first id, number of ids), one list per window."""
-        queue, left = list(range(len(self.rests)))[::-1], {}
+        queue, left = list(range(len(self.ids)))[::-1], {}
         window, room = [], self.window
 
         def put(i):
             nonlocal window, room
             start, self.unused[i] = left.pop(i, 0), False
-            n = len(self.rests[i][-1]) // 4 - start
+            n = len(self.ids[i]) - start
             taken = min(n, room)
             window.append((i, start, taken))
             room -= taken
@@ -162,51 +163,47 @@ class _Shard:
 
 
 def pack(docs, path, window=1024, end=0, shard=SHARD):
-    """One row per piece: where it stands in its document and in its sequence."""
+    """One row per piece: where it stands in its document and in its sequence.
+
+    ``ids`` are its token ids, little-endian (see ``bpe.compact``).
+    """
     cut = tables.written(pieces(docs, path, window, end), "packing-pieces")
     rests = cut.where("rest is not null")
-    size = bpe.codec(path).size
+    size, kind = bpe.codec(path).size, bpe.compact(path)
     n, tokens = rests.agg(F.count("rest"), F.sum("length")).first()
     # A table of one number per id of the vocabulary, whatever the corpus.
     often = np.zeros(size, np.int64)
-    for row in frequencies(rests, size).toLocalIterator():
+    for row in frequencies(rests, size, kind).toLocalIterator():
         often[row.id] = row.n
     inverse = np.log1p((n - often + 0.5) / (often + 0.5)).astype(np.float32)
     given = docs.sparkSession.sparkContext.broadcast((inverse, (tokens or 0) / max(n, 1)))
     shards = max(1, -(-n // shard))
     dealt = rests.withColumn("shard", F.pmod(F.xxhash64("rest"), F.lit(shards)))
 
-    def fill(key, frame):
-        frame = frame.sort_values("rest", kind="stable")
-        rests = list(zip(*(frame[c].tolist() for c in ("doc_id", "start", "doc_tokens", "ids"))))
-        rows = []
-        for k, parts in enumerate(_Shard(rests, window, *given.value).windows()):
+    names = [f.split()[0] for f in _PACKED.split(", ")]
+    kinds = [*[pa.int64()] * 7, pa.binary()]
+
+    def fill(table):
+        table = table.sort_by("rest")
+        number = table.column("shard")[0].as_py() << 32
+        columns = (table.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens", "ids"))
+        rests, rows = list(zip(*columns)), []
+        ids = [np.frombuffer(r[-1], kind) for r in rests]
+        for k, parts in enumerate(_Shard(ids, window, *given.value).windows()):
             offset = 0
             for i, first, taken in parts:
-                doc, start, total, raw = rests[i]
-                raw = raw[4 * first : 4 * (first + taken)]
-                rows.append((doc, start + first, taken, zlib.crc32(raw), total,
-                             (int(key[0]) << 32) + k, offset, raw))
+                doc, start, total, _ = rests[i]
+                part = ids[i][first : first + taken]
+                rows.append((doc, start + first, taken, zlib.crc32(part.astype("<u4")), total,
+                             number + k, offset, part.tobytes()))
                 offset += taken
-        names = [f.split()[0] for f in _PACKED.split(", ")]
-        kinds = [*[pa.int64()] * 7, pa.binary()]
         columns = zip(*rows)
         return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
-    def arrow_fill(key, table):
-        frame = table.to_pandas(types_mapper={pa.int64(): _nullable()}.get)
-        return fill([key[0].as_py()], frame)
-
-    rest_pieces = dealt.groupBy("shard").applyInArrow(arrow_fill, _PACKED)
+    rest_pieces = dealt.groupBy("shard").applyInArrow(fill, _PACKED)
     whole = cut.where("rest is null").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
         F.lit(0).cast("bigint").alias("offset"), "ids",
     )
     return whole.unionByName(rest_pieces)
 
-
-def _nullable():
-    """Integers that keep nulls, as Python objects on the way out."""
-    import pandas as pd
-
-    return pd.Int64Dtype()

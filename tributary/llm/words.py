@@ -73,6 +73,12 @@ def slices(offsets, most=SLICE):
         first = last
 
 
+def polynomial(values, starts):
+    """Polynomial hashes of the runs of ``values`` that begin at ``starts``."""
+    sums = np.add.reduceat(values * _UP.upto(len(values))[: len(values)], starts)
+    return sums * _DOWN.upto(len(values))[starts]
+
+
 def word_hashes(data, offsets):
     """Hashes of all words in order, and where each text's words begin."""
     if len(data) == 0:
@@ -86,9 +92,7 @@ def word_hashes(data, offsets):
     bounds = np.searchsorted(starts, offsets)
     if len(starts) == 0:
         return np.zeros(0, np.uint64), bounds
-    terms = _BYTE[data] * _UP.upto(len(data))[: len(data)]
-    sums = np.add.reduceat(terms, starts)
-    return mix(sums * _DOWN.upto(len(data))[starts]), bounds
+    return mix(polynomial(_BYTE[data], starts)), bounds
 
 
 def shingles(hashes, bounds, k=5):
