@@ -8,10 +8,12 @@ of ``TREES`` trees sorts all nodes by a string of minima of its own.
    prefix of ``DEPTH`` minima or more are candidates; the deeper the common prefix,
    the likelier, and in crowded regions neighbours share deep ones by themselves.
    Of a node's predecessors in all trees the one met most often is compared.
-2. Regions.  Whatever round 1 has not put into one component is compared within the
-   regions of a common prefix: all nodes of different components, and nothing is cut
-   off.  Signatures rule out what is far from similar; a crowded region is dealt in
-   pairs of blocks of ``CROWD`` nodes.
+2. Regions.  What round 1 has not put into one component is compared within the
+   regions of a common prefix, signature by signature; a crowded region is dealt in
+   pairs of blocks of ``CROWD`` nodes.  Twice each node proposes only the likeliest
+   node of another component, which joins large families with few comparisons of
+   sets; then all pairs of different components that are left are candidates, and
+   nothing is cut off.  Signatures rule out what is far from similar.
 
 Candidates are confirmed on full sets.  Links make components by the alternating
 star method, on tables.  A pair of similarity 0.75 misses all regions with
@@ -191,7 +193,7 @@ def components(links):
             edges.select(F.col("m").alias("u"), F.col("v").alias("w"))
         )
         least = both.groupBy("u").agg(F.least(F.min("w"), F.min("u")).alias("m"))
-        large = both.join(least, "u").where("w > u").select(F.col("w").alias("v"), "m").distinct()
+        large = both.join(least, "u").where("w > u").select(F.col("w").alias("v"), "m")
         # Small star: every smaller neighbour, and the node, to the smallest one.
         least = large.groupBy(F.col("v").alias("u")).agg(F.min("m").alias("m"))
         lower = large.select(F.col("v").alias("u"), F.col("m").alias("w"))
@@ -202,8 +204,9 @@ def components(links):
     return edges.groupBy(F.col("v").alias("id")).agg(F.min("m").alias("component"))
 
 
-def _regions(rows, nodes, labels):
-    """Candidates of different components within each region that has several."""
+def _regions(rows, nodes, labels, best):
+    """Candidates (a, b) of different components in each region that has several:
+    all of them, or with ``best`` the likeliest one of each node."""
     placed = rows.join(labels, "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
@@ -236,21 +239,52 @@ def _regions(rows, nodes, labels):
         block = table.column("block").to_numpy()
         minima = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32)
         minima = minima.reshape(-1, HASHES)
-        a, b = [], []
+        found = [[], [], []]
+        mate, top = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         for i in range(len(ids) - 1):
             other = part[i + 1 :] != part[i]
             if lower != upper:
                 other &= block[i + 1 :] != block[i]
             j = np.flatnonzero(other) + i + 1
-            if len(j):
-                same = (minima[j] == minima[i]).sum(axis=1)
-                j = j[same >= FLOOR * HASHES]
-                a += [ids[i]] * len(j)
-                b += ids[j].tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            if not len(j):
+                continue
+            same = (minima[j] == minima[i]).sum(axis=1)
+            j, same = j[same >= FLOOR * HASHES], same[same >= FLOOR * HASHES]
+            if not best:
+                for column, values in zip(found, ([ids[i]] * len(j), ids[j].tolist(), same.tolist())):
+                    column += values
+            elif len(j):
+                more = same > top[j]
+                mate[j[more]], top[j[more]] = ids[i], same[more]
+                k = same.argmax()
+                if same[k] > top[i]:
+                    mate[i], top[i] = ids[j[k]], same[k]
+        if best:
+            some = top > 0
+            found = [ids[some], mate[some], top[some]]
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("x", "y", "same"), found)})
 
     keys = ["region", "lower", "upper"]
-    return members.groupBy(*keys).applyInArrow(compare, "a bigint, b bigint").distinct()
+    met = members.groupBy(*keys).applyInArrow(compare, "x bigint, y bigint, same bigint")
+    if best:
+        met = met.groupBy("x").agg(F.max_by("y", F.struct("same", -F.col("y"))).alias("y"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _joined(labels, links):
+    """``labels`` (id, component) after ``links`` between nodes: components of
+    components, so that a family joined before counts as one node."""
+    for end in ("a", "b"):
+        known = labels.select(F.col("id").alias(end), "component")
+        links = links.join(known, end, "left").withColumn(end, F.coalesce("component", end))
+        links = links.drop("component")
+    # A node that stands for a component is not itself in ``labels``.
+    wider = tables.written(components(links), "dedup-labels")
+    grown = wider.select(F.col("id").alias("component"), F.col("component").alias("wider"))
+    moved = labels.join(grown, "component", "left").select(
+        "id", F.coalesce("wider", "component").alias("component")
+    )
+    return moved.unionByName(wider)
 
 
 def near_duplicates(docs, percent=75):
@@ -271,10 +305,12 @@ def near_duplicates(docs, percent=75):
 
     links = tables.written(confirmed(neighbours(rows), nodes, texts, percent), "dedup-links")
     labels = tables.written(components(links), "dedup-labels")
-    rest = tables.written(_regions(rows, nodes, labels), "dedup-candidates")
-    if not rest.isEmpty():
-        more = tables.written(confirmed(rest, nodes, texts, percent), "dedup-links")
-        labels = tables.written(components(links.union(more)), "dedup-labels")
+    for best in (True, True, False):
+        rest = tables.written(_regions(rows, nodes, labels, best), "dedup-candidates")
+        if rest.isEmpty():
+            break
+        more = confirmed(rest, nodes, texts, percent)
+        labels = tables.written(_joined(labels, more), "dedup-labels")
     named = nodes.select("set_hash", "id").join(labels, "id", "left").select(
         "set_hash", F.coalesce("component", "id").alias("component_id")
     )
