@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tributary.llm import tables, words
 
 #: Bytes of text in a block, and about how many n-grams in a bucket.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 BUCKET = 2_000_000
 
 _END, _START = np.uint64(0xE17B1C0FFEE0D0E1), np.uint64(0x5A17B1C0FFEE0D05)
@@ -79,7 +79,7 @@ def _blocks(batches):
             yield task + k, batch.slice(i, j - i)
 
 
-def _counted(batches, trained=True):
+def _counted(batches):
     """Sorted keys of the n-grams in ``batches`` and how often training has them."""
     keys, counts = [], []
     for batch in batches:
@@ -95,8 +95,6 @@ def _counted(batches, trained=True):
                 (_unigrams(starts), train[i:j]),
                 (_bigrams(before, tokens), seen),
             ):
-                if trained:
-                    key, flag = key[flag], flag[flag]
                 unique, at = np.unique(key, return_inverse=True)
                 keys.append(unique)
                 counts.append(np.bincount(at, flag, len(unique)).astype(np.int64))
@@ -141,7 +139,7 @@ def _requests(docs, buckets):
 
     def ask(batches):
         def asked(block, held):
-            keys, counts = _counted(held, trained=False)
+            keys, counts = _counted(held)
             edge = np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)
             cuts = [0, *np.searchsorted(keys, edge.astype(np.uint64)), len(keys)]
             rows = [(block, -1, _checksum(held), b"", b"")]
@@ -293,16 +291,10 @@ def score(docs, held_out, strength=4.0):
         if sums.column("tokens").to_pylist() != [_checksum(docs.to_batches())]:
             raise ValueError("the documents were dealt otherwise when read again; store them first")
         # A block's own counts hold wherever no answer came.
-        answer = _summed(*zip(*(
-            _unpack(*row)
-            for row in zip(*(asked.column(c).to_pylist() for c in ("n", "keys", "counts")))
-        ))) if asked.num_rows else _summed([], [])
-        own = _counted(docs.to_batches())
-        other = own[1].copy()
-        if len(answer[0]) and len(own[0]):
-            at = np.minimum(np.searchsorted(answer[0], own[0]), len(answer[0]) - 1)
-            other[answer[0][at] == own[0]] = 0
-        keys, counts = _summed([own[0], answer[0]], [other, answer[1]])
+        keys, counts = _counted(docs.to_batches())
+        for row in zip(*(asked.column(c).to_pylist() for c in ("n", "keys", "counts"))):
+            other, totals = _unpack(*row)
+            counts[np.searchsorted(keys, other)] = totals
         model = Automaton(keys, counts, tokens, types, strength)
         data, offsets = words.utf8(docs.column("text"))
         made = []
