@@ -171,6 +171,30 @@ def test_packing_pads_little_and_puts_related_texts_together(spark):
     assert len(mates) <= -(-total // 256) + 1 and mixed <= 1
 
 
+def test_packing_puts_related_texts_of_many_shards_together(spark):
+    rnd = random.Random(5)
+
+    def word():
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+
+    common, topics = [word() for _ in range(30)], [[word() for _ in range(12)] for _ in range(40)]
+    rows = []
+    for i in range(1200):
+        own = rnd.choices(topics[i % 40], k=25) + rnd.choices(common, k=25)
+        rows.append((i, " ".join(rnd.sample(own, 50))))
+    rows += [(i, "the very same words again and again") for i in range(1200, 1700)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = packing.pack(df, VOCABULARY, window=512, shard=100).collect()
+    mates, shards = {}, {}
+    for r in got:
+        mates.setdefault(r.sequence_id, []).append(r.doc_id % 40 if r.doc_id < 1200 else 40)
+        shards.setdefault(r.sequence_id >> 32, set()).add(r.doc_id)
+    assert len(shards) >= 17 and max(map(len, shards.values())) <= 150
+    alike = [Counter(m).most_common(1)[0][1] / len(m) for m in mates.values() if len(m) > 1]
+    assert np.mean(alike) >= 0.8
+
+
 def test_nearest_neighbours_recall(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(3000, 24)) * rng.uniform(0.5, 2, size=(3000, 1))

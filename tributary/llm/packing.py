@@ -1,16 +1,22 @@
 """Lexical retrieval packing: fill windows of tokens with related documents.
 
 Every document's ids, closed by ``end``, are cut into whole windows and one rest.
-Whole windows are sequences of their own.  Rests are dealt to shards of about
-``shard`` rests by a hash; each shard keeps an inverted index with BM25 weights
-(document frequencies counted over all rests of the corpus).  The first unused
-rest seeds a window, and the unused rests that score highest against all of the
-seed's tokens fill it, the last of them cut to fit; what is left of it stays
-unused, at the head of the queue.  A seed without unused neighbours goes on with
-the next unused rest, so each shard leaves one window unfilled at most.
+Whole windows are sequences of their own.  Rests are dealt to shards of at most
+about ``shard`` rests by content, so that lexical neighbours meet; each shard keeps
+an inverted index with BM25 weights (document frequencies counted over all rests of
+the corpus).  The first unused rest seeds a window, and the unused rests that score
+highest against all of the seed's tokens fill it, the last of them cut to fit; what
+is left of it stays unused, at the head of the queue.  A seed without unused
+neighbours goes on with the next unused rest, so each shard leaves one window
+unfilled at most.
 
-A shard is bounded by its number of rests, none longer than a window, and a group
-of like documents is spread over shards, however large it is.
+Dealing: a rest is the sum of random directions of its tokens, weighted as in BM25;
+tokens of one rest only count nothing.  ``PIVOTS`` rests for each shard, picked by a
+hash, are pivots, the square root of their number are heads.  A rest goes to the
+nearest head, then to the nearest pivot of that head.  Pivots with few rests share
+a shard with the next ones, one with too many is split by a hash, so a group of like
+documents is spread over shards, however large it is.  A neighbour
+beyond the border of a shard is not seen; README says how many that are.
 
 Cases: a null or empty text is one piece with only the closing id.  Rows with the
 same id, or without one, are packed each for itself.  An empty table gives no
@@ -26,9 +32,11 @@ from pyspark.sql import functions as F
 
 from tributary.llm import bpe, tables
 
-#: Rests per shard.
-SHARD = 1000
+#: Rests per shard, pivots for each, and numbers of a rest's direction.
+SHARD, PIVOTS, WIDTH = 1000, 4, 128
 K1, B = 1.2, 0.75
+#: Ids that this part of a shard's rests holds have their weights as a plain row.
+COMMON = 1 / 16
 
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,"
@@ -93,6 +101,103 @@ def frequencies(rests, size, kind):
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
+class _Map:
+    """Directions of rests, and the pivots that they are dealt to."""
+
+    def __init__(self, inverse, often, mean):
+        # An id that no other rest holds brings none together.
+        self.pull, self.mean = np.where(often > 1, inverse, 0).astype(np.float32), mean
+        self.pivots = self.heads = None
+
+    def directions(self, raws, kind):
+        """One row of length one for each rest."""
+        rng = np.random.default_rng(11)
+        signs = rng.integers(0, 2, (len(self.pull), WIDTH), np.int8) * np.int8(2) - np.int8(1)
+        return np.array([self._direction(np.frombuffer(raw, kind), signs) for raw in raws],
+                        np.float32).reshape(-1, WIDTH)
+
+    def _direction(self, ids, signs):
+        terms, often = np.unique(ids, return_counts=True)
+        norm = K1 * (1 - B + B * len(ids) / self.mean)
+        weight = self.pull[terms] * (often * (K1 + 1) / (often + norm)).astype(np.float32)
+        made = weight @ signs[terms].astype(np.float32)
+        return made / max(np.linalg.norm(made), 1e-9)
+
+    def grow(self, points):
+        """Take ``points`` as pivots, sorted by their heads."""
+        self.heads = points[: int(np.ceil(np.sqrt(len(points))))]
+        head = (points @ self.heads.T).argmax(axis=1)
+        order = np.argsort(head, kind="stable")
+        self.pivots = points[order]
+        self.begin = np.searchsorted(head[order], np.arange(len(self.heads) + 1))
+
+    def leaves(self, points):
+        """The number of each point's pivot."""
+        head = (points @ self.heads.T).argmax(axis=1)
+        leaf = np.zeros(len(points), np.int64)
+        for h in np.unique(head):
+            a, b = self.begin[h], self.begin[h + 1]
+            if b > a:
+                leaf[head == h] = a + (points[head == h] @ self.pivots[a:b].T).argmax(axis=1)
+        return leaf
+
+
+def _placed(rests, world, kind, shard):
+    """``rests`` with the number of their shard."""
+    context = rests.sparkSession.sparkContext
+    held = context.broadcast(world)
+
+    def directed(batches):
+        for batch in batches:
+            raws = batch.column(0).to_pylist()
+            for i in range(0, len(raws), 4096):
+                rows = held.value.directions(raws[i : i + 4096], kind)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).slice(i, 4096), pa.array([r.tobytes() for r in rows], pa.binary())],
+                    ["rest", "v"],
+                )
+
+    # A few hundred bytes for each pivot come to the driver.
+    every = max(1, shard // PIVOTS)
+    picked = rests.where(F.pmod(F.xxhash64("rest"), F.lit(every)) == 0).select("ids", "rest")
+    picked = sorted((r.rest, bytes(r.v)) for r in picked.mapInArrow(directed, "rest bigint, v binary").collect())
+    points = b"".join(v for _, v in picked) or np.eye(1, WIDTH, dtype=np.float32).tobytes()
+    world.grow(np.frombuffer(points, np.float32).reshape(-1, WIDTH))
+    grown = context.broadcast(world)
+    names = rests.columns
+    at = names.index("ids")
+
+    def dealt(batches):
+        for batch in batches:
+            raws, leaves = batch.column(at).to_pylist(), [np.zeros(0, np.int64)]
+            for i in range(0, len(raws), 4096):
+                leaves.append(grown.value.leaves(grown.value.directions(raws[i : i + 4096], kind)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.concatenate(leaves))], [*names, "leaf"]
+            )
+
+    schema = ", ".join(f"{c} {t}" for c, t in rests.dtypes) + ", leaf bigint"
+    placed = tables.written(rests.mapInArrow(dealt, schema), "packing-rests")
+    # One row per pivot.
+    counts = sorted(tuple(r) for r in placed.groupBy("leaf").count().collect())
+    rows, shards, room = [], 0, 0
+    for leaf, n in counts:
+        if n > room:
+            parts = -(-n // shard)
+            first, shards, room = shards, shards + parts, 0 if parts > 1 else shard
+        else:
+            first, parts = shards - 1, 1
+        room -= n
+        rows.append((leaf, first, parts))
+    columns = [pa.array(list(c), pa.int64()) for c in zip(*rows)]
+    shard_of = rests.sparkSession.createDataFrame(
+        pa.Table.from_arrays(columns, ["leaf", "first", "parts"])
+    )
+    return placed.join(F.broadcast(shard_of), "leaf").withColumn(
+        "shard", F.col("first") + F.pmod(F.xxhash64("rest"), F.col("parts"))
+    ).drop("leaf", "first", "parts")
+
+
 class _Shard:
     """Rests of one shard: index, unused rests, and the windows made of them."""
 
@@ -109,16 +214,27 @@ class _Shard:
         weight = inverse[term] * often * (K1 + 1) / (often + norm)
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order].astype(np.float32)
-        self.begin = np.searchsorted(term[order], np.arange(len(inverse) + 1))
+        term = term[order]
+        self.begin = np.searchsorted(term, np.arange(len(inverse) + 1))
+        # Weights of common ids as plain rows, which add up faster than lists.
+        common = np.flatnonzero(np.diff(self.begin) > max(COMMON * len(ids), 8))
+        self.row = np.full(len(inverse), -1)
+        self.row[common] = np.arange(len(common))
+        self.plain = np.zeros((len(common), len(ids)), np.float32)
+        some = self.row[term] >= 0
+        self.plain[self.row[term[some]], self.doc[some]] = self.weight[some]
         self.unused = np.ones(len(ids), bool)
 
     def neighbours(self, seed, room):
         """Unused rests that share a token, best first, enough to fill ``room``."""
-        a, b = self.begin[self.terms[seed]], self.begin[self.terms[seed] + 1]
+        rows = self.row[self.terms[seed]]
+        rare = self.terms[seed][rows < 0]
+        a, b = self.begin[rare], self.begin[rare + 1]
         sizes = b - a
         at = np.repeat(a - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
         at += np.arange(len(at))
         score = np.bincount(self.doc[at], self.weight[at], minlength=len(self.ids))
+        score = score + self.plain[rows[rows >= 0]].sum(axis=0)
         found = np.flatnonzero(self.unused & (score > 0))
         # Stable: rests of one score follow in the order of their numbers.
         for i in found[np.argsort(-score[found], kind="stable")]:
@@ -176,9 +292,12 @@ def pack(docs, path, window=1024, end=0, shard=SHARD):
     for row in frequencies(rests, size, kind).toLocalIterator():
         often[row.id] = row.n
     inverse = np.log1p((n - often + 0.5) / (often + 0.5)).astype(np.float32)
-    given = docs.sparkSession.sparkContext.broadcast((inverse, (tokens or 0) / max(n, 1)))
-    shards = max(1, -(-n // shard))
-    dealt = rests.withColumn("shard", F.pmod(F.xxhash64("rest"), F.lit(shards)))
+    mean = (tokens or 0) / max(n, 1)
+    given = docs.sparkSession.sparkContext.broadcast((inverse, mean))
+    if n > shard:
+        dealt = _placed(rests, _Map(inverse, often, mean), kind, shard)
+    else:
+        dealt = rests.withColumn("shard", F.lit(0).cast("bigint"))
 
     names = [f.split()[0] for f in _PACKED.split(", ")]
     kinds = [*[pa.int64()] * 7, pa.binary()]
