@@ -134,6 +134,25 @@ def test_checksums_and_context_decide_on_further_kinds(spark):
     assert [r.k for r in kinds] == [["iban"], [], ["ssn"], [], ["tel"], []]
 
 
+def test_ibans_end_where_their_country_says(spark):
+    rows = {
+        "DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": "DE89 3704 0044 0532 0130 00",
+        "to DE89370400440532013000 2024 now": "DE89370400440532013000",
+        "GB82 WEST 1234 5698 7654 32 I live": "GB82 WEST 1234 5698 7654 32",
+        "NO93 8601 1117 947 DE89 3704 0044 0532 0130 00": "NO93 8601 1117 947|DE89 3704 0044 0532 0130 00",
+        "BE12 3456 DE89 3704 0044 0532 0130 00": "DE89 3704 0044 0532 0130 00",
+        "DE89 3704 0044 0532 0130 001": "",
+        "DE88 3704 0044 0532 0130 00 BIC": "",
+    }
+    check = 98 - int("".join(str(int(c, 36)) for c in "12345678901234XX00")) % 97
+    rows[f"XX{check:02d} 1234 5678 9012 34 AND MORE"] = f"XX{check:02d} 1234 5678 9012 34"
+    df = spark.createDataFrame([(t,) for t in rows], "text string").coalesce(1)
+    found = pii.found(df).withColumn("pii", F.filter("pii", lambda s: s.kind == "iban")).collect()
+    assert {r.text: "|".join(r.text[s.start : s.end] for s in r.pii) for r in found} == rows
+    masked = [r.text for r in pii.redacted(df).collect()]
+    assert masked[0] == "[IBAN] BIC COBADEFFXXX"
+
+
 def test_language_model_equals_counting(docs, texts):
     fold = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     tokens = {i: [*WORD.findall(t.translate(LOWER)), "\0"] for i, t in texts.items()}
