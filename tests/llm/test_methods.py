@@ -251,6 +251,24 @@ def test_language_of_documents_and_pages(spark, docs):
     assert agree >= 0.9 and all(r.accepted for r in rows)
 
 
+def test_texts_of_no_learnt_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs.select("doc_id", "text", "lang"))
+    rnd = random.Random(9)
+    cyrillic, han = [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x4E00, 0x5200)]
+    signs = ["abcdefghijklmnopqrstuvwxyz", "0123456789", cyrillic, han]
+    odd = []
+    for i in range(200):
+        text = " ".join("".join(rnd.choices(signs[i % 4], k=rnd.randint(2, 9))) for _ in range(40))
+        odd.append((-1 - i, text, "en", "web"))
+    own = docs.where("lang is not null and size(split(text, ' ')) >= 20")
+    own = own.select("doc_id", "text", "lang", "source")
+    got = language.accepted_only(own.union(spark.createDataFrame(odd, own.schema)), model)
+    kept = [r.doc_id for r in got.select("doc_id").collect()]
+    assert not [i for i in kept if i < 0]
+    assert len(kept) >= 0.99 * own.count()
+
+
 def test_evidence_of_a_host_decides_where_the_text_does_not(spark, docs):
     model = language.fit(docs.select("doc_id", "text", "lang"))
     french = docs.where("lang = 'fr'").select("text").limit(20)

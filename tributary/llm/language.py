@@ -12,9 +12,16 @@ For each language the log posterior of a text is the sum of
 
 Counts are sums of text posteriors over all rows, by grouped aggregation, so a host
 with most of the rows is summed before it is shuffled.  A row is accepted if its
-best language has a posterior of ``ACCEPT`` or more.
-
-Cases: a null or empty text has no likelihood, the other evidence decides.  Null
+best language has a posterior of ``ACCEPT`` or more and its text fits that language:
+its mean log likelihood a trigram reaches the cutoff of the language for texts of at
+least so many trigrams (``LEVELS``).  Cutoffs are low quantiles over sampled chunks,
+each under a table learned without it, less half their distance from the median, and
+never below the uniform distribution, which stands for all other texts.  Pages
+may be in several learnt languages: with ``mixed`` a text also fits if under one table
+of all of them it is likelier than uniform.  A text that does not fit is "und" with probability 0; one that fits no language counts for none.
+
+Cases: a null or empty text, or one of fewer than ``LEVELS[0]`` trigrams, is too short
+to be held against a cutoff, the other evidence decides.  Null
 declaration, host or suffix count as a value of their own.  Repeated rows count
 each.  An empty table gives no rows; without any labels all rows are undetermined
 ("und") and not accepted.  ``accepted_only`` keeps all columns as they were.
@@ -24,13 +31,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tributary.llm import chunks, tables, words
 from tributary.operators import scale
 
 SAMPLE, BINS = 12_000, 1 << 15
 ACCEPT = 0.5
+#: Numbers of trigrams with cutoffs of their own; quantile of a language's own texts
+#: below a cutoff, and how many texts it takes (with fewer, the uniform one is it).
+LEVELS, LOW, ENOUGH = (32, 64, 128, 256, 510), 0.001, 50
 #: Texts that a prior counts for, of a host towards its suffix and so on.
 PULL = 5.0
 
@@ -45,25 +54,31 @@ def _grams(data):
 
 
 class Model:
-    """Names of the languages and log likelihoods of trigrams, one row per bin."""
+    """Names of the languages, log likelihoods of trigrams, one row per bin, and
+    cutoffs, one row per level; the last column is that of all languages together."""
 
-    def __init__(self, names, table):
-        self.names, self.table = names, table
+    def __init__(self, names, table, cutoffs=None):
+        self.names, self.table, self.cutoffs = names, table, cutoffs
 
-    def likelihoods(self, column):
-        """Log likelihoods, a row per text, a column per language."""
+    def likelihoods(self, column, mixed=True):
+        """Log likelihoods, a row per text, a column per language; and the same for
+        whether the text fits."""
         data, offsets = words.utf8(column)
-        made = []
+        made, n = [], np.maximum(np.diff(offsets) - 2, 0)
         for i, j in words.slices(offsets):
             text, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-            sums = np.zeros((j - i, len(self.names)))
+            sums = np.zeros((j - i, self.table.shape[1]))
             if len(text) > 2:
                 total = np.cumsum(self.table[_grams(text)], axis=0, dtype=np.float64)
-                total = np.vstack([np.zeros(len(self.names)), total])
+                total = np.vstack([np.zeros(total.shape[1]), total])
                 last = np.maximum(at[1:] - 2, at[:-1])
                 sums = total[np.minimum(last, len(total) - 1)] - total[np.minimum(at[:-1], len(total) - 1)]
             made.append(sums / 3)
-        return np.concatenate(made) if made else np.zeros((0, len(self.names)))
+        made = np.concatenate(made) if made else np.zeros((0, self.table.shape[1]))
+        level = np.searchsorted(LEVELS, n, "right") - 1
+        fits = 3 * made >= n[:, None] * self.cutoffs[np.maximum(level, 0)]
+        k = len(self.names)
+        return made[:, :k], fits[:, :k] | (fits[:, k:] & mixed) | (level < 0)[:, None]
 
 
 def fit(labelled, most=SAMPLE):
@@ -72,17 +87,41 @@ def fit(labelled, most=SAMPLE):
     names = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256).collect()]
     places = F.create_map(*(F.lit(x) for k, n in enumerate(names) for x in (n, k))) if names else None
     if places is None:
-        return Model([], np.zeros((BINS, 0), np.float32))
+        return Model([], np.zeros((BINS, 1), np.float32))
     known = known.withColumn("label", places[F.col("lang")].cast("int")).where("label is not null")
     held, labels = chunks.sample(known, most)
-    counts = np.zeros((BINS, len(names)))
+    # Counts of two halves of the chunks, so that each can be held against the other.
+    counts = np.zeros((2, BINS, len(names)))
+    grams = [[] for _ in names]
     for k in range(len(names)):
-        for row in held[labels == k]:
+        for i, row in enumerate(held[labels == k]):
             used = row[: int((row != 0).sum())]
             if len(used) > 2:
-                counts[:, k] += np.bincount(_grams(used), minlength=BINS)
+                grams[k].append((i % 2, _grams(used)))
+                counts[i % 2, :, k] += np.bincount(grams[k][-1][1], minlength=BINS)
+    # All together: each language counts alike.
+    shares = counts / np.maximum(counts.sum(axis=(0, 1)), 1) * counts.sum() / max(len(names), 1)
+    counts = np.concatenate([counts, shares.sum(axis=2, keepdims=True)], axis=2)
+    cutoffs = np.full((len(LEVELS), len(names) + 1), -np.log(BINS))
+    for k, chunks_of in enumerate(grams):
+        others = [_logs(counts[1 - half, :, k]) for half in (0, 1)]
+        found = [[] for _ in LEVELS]
+        for half, keys in chunks_of:
+            sums = np.concatenate([[0], np.cumsum(others[half][keys])])
+            for means, n in zip(found, LEVELS):
+                starts = np.arange(0, len(keys) - n + 1, n)
+                means += ((sums[starts + n] - sums[starts]) / n).tolist()
+        for level, means in enumerate(found):
+            if len(means) >= ENOUGH:
+                low, middle = np.quantile(means, [LOW, 0.5])
+                cutoffs[level, k] = max(cutoffs[level, k], low - (middle - low) / 2)
+    return Model(names, _logs(counts.sum(axis=0)).astype(np.float32), cutoffs)
+
+
+def _logs(counts):
+    """Log likelihoods of smoothed counts, whose columns are languages."""
     smooth = counts + 0.1
-    return Model(names, np.log(smooth / smooth.sum(axis=0)).astype(np.float32))
+    return np.log(smooth / smooth.sum(axis=0))
 
 
 def _softmax(values):
@@ -98,7 +137,7 @@ def _sums(k):
     return F.array(*(F.sum(F.get("p", F.lit(i))) for i in range(k)))
 
 
-def posterior(rows, model):
+def posterior(rows, model, mixed=True):
     """``rows`` with what the fusion finds.
 
     ``rows`` has ``text``, ``declared``, ``host`` and ``suffix``; the result has its
@@ -114,14 +153,19 @@ def posterior(rows, model):
     k = len(model.names)
     held = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def likelihoods(text: pd.Series) -> pd.Series:
-        found = held.value.likelihoods(pa.array(text, pa.string(), from_pandas=True))
-        return pd.Series(list(found), index=text.index, dtype=object)
+    @F.pandas_udf("t array<double>, fits array<boolean>")
+    def likelihoods(text: pd.Series) -> pd.DataFrame:
+        found = held.value.likelihoods(pa.array(text, pa.string(), from_pandas=True), mixed)
+        columns = {c: pd.Series(list(x), index=text.index, dtype=object) for c, x in zip(("t", "fits"), found)}
+        return pd.DataFrame(columns)
 
-    seen = rows.withColumn("t", likelihoods("text")).drop("text")
+    seen = rows.withColumn("evidence", likelihoods("text")).drop("text")
+    seen = seen.withColumns({c: F.col(f"evidence.{c}") for c in ("t", "fits")}).drop("evidence")
     seen = seen.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("declared", "host", "suffix")})
-    seen = tables.written(seen.withColumn("p", _softmax(F.col("t"))), "language-evidence")
+    some = F.exists("fits", lambda x: x)
+    nothing = F.array(*[F.lit(0.0)] * k)
+    seen = seen.withColumn("p", F.when(some, _softmax(F.col("t"))).otherwise(nothing))
+    seen = tables.written(seen, "language-evidence")
 
     hosts = seen.groupBy("suffix", "host").agg(_sums(k).alias("p"))
     hosts = tables.written(hosts, "language-hosts")
@@ -155,12 +199,15 @@ def posterior(rows, model):
     names = F.array(*(F.lit(x) for x in model.names))
     placed = placed.withColumn("q", _softmax(fused))
     best = F.array_max("q")
+    at = (F.array_position("q", best) - 1).cast("int")
+    fits = F.get("fits", at)
+    text_at = (F.array_position("p", F.array_max("p")) - 1).cast("int")
     return placed.select(
         *rest,
-        F.get(names, (F.array_position("q", best) - 1).cast("int")).alias("language"),
-        best.alias("probability"),
-        F.get(names, (F.array_position("p", F.array_max("p")) - 1).cast("int")).alias("text_language"),
-        (best >= ACCEPT).alias("accepted"),
+        F.when(fits, F.get(names, at)).otherwise("und").alias("language"),
+        F.when(fits, best).otherwise(0.0).alias("probability"),
+        F.when(F.exists("fits", lambda x: x), F.get(names, text_at)).otherwise("und").alias("text_language"),
+        ((best >= ACCEPT) & fits).alias("accepted"),
     )
 
 
@@ -192,4 +239,4 @@ def accepted_only(docs, model, declared="lang", host="source"):
         F.col(f"`{host}`").alias("host"),
         F.lit("").alias("suffix"),
     )
-    return posterior(rows, model).where("accepted").select(f"{kept}.*")
+    return posterior(rows, model, mixed=False).where("accepted").select(f"{kept}.*")
