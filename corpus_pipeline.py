@@ -20,10 +20,25 @@ def language_id(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document, the one with the smallest id, of each class of near copies."""
-    placed = dedup.near_duplicates(docs)
-    gone = tables.written(placed.where("not kept").select("doc_id").distinct(), "pipeline-copies")
-    return docs.join(scale.broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
+    """One row, of those with the smallest id, of each class of near copies.
+
+    Rows count each for itself, also those that share an id; rows without id stay.
+    """
+    row, = tables.fresh(docs, "row_")
+    # Written with their numbers, so that each reading has the same ones.
+    rows = tables.written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    known = rows.where("doc_id is not null")
+    ids = known.select(F.col(row).alias("r"), F.col("doc_id").cast("bigint").alias("id"))
+    placed = dedup.near_duplicates(known.select(F.col(row).alias("doc_id"), "text"))
+    placed = placed.select(F.col("doc_id").alias("r"), "component_id").join(ids, "r")
+    placed = tables.written(placed, "pipeline-placed")
+    first = F.min(F.struct("id", "r")).alias("first")
+    classes = placed.groupBy("component_id").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
+    classes = tables.written(classes.select("component_id", "first.r"), "pipeline-classes")
+    members = scale.skew_join(placed, classes.withColumnRenamed("r", "stays"), "component_id")
+    gone = members.where("r <> stays").select(F.col("r").alias(row))
+    gone = tables.written(gone, "pipeline-copies")
+    return rows.join(scale.broadcast_if_small(gone), row, "left_anti").select(docs.columns)
 
 
 def personal_data(spark, docs, sf_dir):

@@ -278,6 +278,17 @@ def test_evidence_of_a_host_decides_where_the_text_does_not(spark, docs):
     assert row.language == "fr" and row.accepted
 
 
+def test_near_duplicates_go_by_row(spark):
+    rnd = random.Random(4)
+    a, b, c, d = (" ".join(f"{s}{rnd.randrange(10**6)}" for _ in range(40)) for s in "abcd")
+    rows = [(3, a), (5, b), (5, a), (7, c), (7, c), (8, c), (9, d), (5, d + " more"), (2, ""), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, df, SF)
+    assert got.columns == df.columns
+    wanted = [(3, a), (5, b), (7, c), (5, d + " more"), (2, ""), (None, a)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, wanted))
+
+
 def test_pipeline(spark, docs, texts):
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["quality_rules", "language_id", "near_duplicates", "personal_data", "packing"]
