@@ -104,6 +104,97 @@ from measured m join own_rows o using (doc_id) join by_lang_rows b using (doc_id
 """
 
 
+_REPAIR = r"""
+with recursive keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+  from conversations),
+hit as (
+  select *, xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+    list_transform(string_split(key, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+      lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) % 20 as d
+  from keyed),
+rows_ as (
+  select conv_id, turn, case when d = 4 then 'user' else role end as role,
+    case d when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case d when 3 then 2 else 1 end)) as copy
+  from hit where d <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role,
+      md5(concat_ws(':', coalesce(conv_id::varchar, ' '), length(role)::varchar, role, text)), copy) as i,
+    rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') as bare,
+    substr(role, 1, 1) as initial
+  from rows_),
+numbered as (
+  select *, row_number() over (partition by conv_id, role, text order by i) as seen from placed),
+judged as (
+  select *, bare = '' as blank, bare <> '' and seen > 1 as duplicate,
+    bare <> '' and seen = 1 and right(bare, 1) not in ('.', '!', '?') as truncated,
+    lag(initial) over (partition by conv_id order by i) || initial as pair
+  from numbered),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) as n, count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate,
+    count(*) filter (truncated) as truncated,
+    count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id),
+states(state, need) as (values ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+inserts(state, letters, extra, after) as (
+  select state, '', 0, state from states union all select state, 'I', 5, need from states
+  union all values ('', 'II', 10, 'a'), ('s', 'II', 10, 'a')),
+edits(edit) as (values ('D'), ('K'), ('R')),
+best as (
+  select conv_id, 0::bigint as i, '' as state, 0::bigint as cost, '' as audit from counted
+  union all
+  select conv_id, i, state, cost, audit from (
+    select b.conv_id, r.i,
+      case edit when 'D' then n.after when 'R' then s.need else r.initial end as state,
+      b.cost + n.extra + case edit when 'D' then 2 when 'R' then 1 else 0 end
+        + case when edit <> 'D' and truncated then 5 else 0 end as cost,
+      b.audit || n.letters || edit as audit
+    from best b join inserts n on n.state = b.state join states s on s.state = n.after
+    join judged r on r.conv_id is not distinct from b.conv_id and r.i = b.i + 1 cross join edits
+    where edit = 'D' or (not r.blank and not r.duplicate and (edit = 'R'
+      or r.initial = s.need or (r.initial = 's' and s.state = '')))
+  ) qualify row_number() over (partition by conv_id, i, state order by cost, audit) = 1),
+ended as (
+  select c.conv_id, arg_min(b.audit || n.letters, (b.cost + n.extra, b.audit || n.letters)) as audit,
+    min(b.cost + n.extra) as cost
+  from counted c join best b on b.conv_id is not distinct from c.conv_id and b.i = c.n
+  join inserts n on n.state = b.state where n.after in ('', 'a') group by c.conv_id),
+letters as (
+  select conv_id, audit, unnest(range(1, length(audit) + 1)) as pos from ended),
+used as (
+  select conv_id, pos, substr(audit, pos, 1) as letter,
+    length(replace(substr(audit, 1, pos), 'I', '')) as i,
+    length(replace(substr(audit, 1, pos), 'D', '')) as k,
+    ltrim(audit, 'D') as live from letters),
+written_ as (
+  select u.*, case when letter <> 'I' then r.text else '' end as text, r.role,
+    first_value(coalesce(r.initial, '')) over w = 's' and substr(live, 1, 1) = 'K' as system
+  from used u left join judged r on r.conv_id is not distinct from u.conv_id and r.i = u.i
+  where letter <> 'D' window w as (partition by u.conv_id order by pos)),
+shas as (
+  select conv_id, sha256(string_agg(case when letter = 'K' then role
+    when (k - system::int) % 2 = 1 then 'user' else 'assistant' end || ':' || text,
+    chr(10) order by pos)) as sha
+  from written_ group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank,
+  coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit,
+  coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counted c on c.conv_id is not distinct from o.conv_id
+left join ended e on e.conv_id is not distinct from o.conv_id
+left join shas s on s.conv_id is not distinct from o.conv_id
+"""
+
+
 def statements():
     """SQL by name of the query."""
-    return {"op2_near_duplicates": _NEAR_DUPLICATES, "op4_quality_rules": _quality()}
+    return {
+        "op2_near_duplicates": _NEAR_DUPLICATES,
+        "op4_quality_rules": _quality(),
+        "op11_conversation_repair": _REPAIR,
+    }

@@ -14,6 +14,7 @@ from tributary.llm import (
     packing,
     pii,
     quality,
+    repair,
     tables,
 )
 
@@ -106,6 +107,16 @@ def op10_packing(spark, sf_dir):
     return packing.pack(tables.read(spark, sf_dir, "documents"), VOCABULARY).drop("ids")
 
 
+def op11_conversation_repair(spark, sf_dir):
+    """Every damaged conversation's faults, cheapest edits and repaired text."""
+    rows = repair.damaged(tables.read(spark, sf_dir, "conversations"))
+    edits = tables.written(repair.audits(rows), "repair-audits")
+    shas = repair.digests(repair.repaired(rows, edits)).withColumnRenamed("conv_id", "c")
+    same = F.col("conv_id").eqNullSafe(F.col("c"))
+    sha = F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")
+    return edits.join(shas, same, "left").select(edits.columns + [sha])
+
+
 QUERIES = (
     op1_training_order,
     op2_near_duplicates,
@@ -117,4 +128,5 @@ QUERIES = (
     op8_quality_classifier,
     op9_language_model,
     op10_packing,
+    op11_conversation_repair,
 )
