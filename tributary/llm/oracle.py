@@ -190,6 +190,40 @@ left join ended e on e.conv_id is not distinct from o.conv_id
 left join shas s on s.conv_id is not distinct from o.conv_id
 """
 
+_PHRASES = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+lists as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from lists group by lang),
+runs as (
+  select lang, m, unnest(list_transform(range(1, len(w) - m + 2),
+    lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+  from lists, range(1, 6) t(m) where len(w) >= m),
+often as (
+  select lang, phrase, m, count(*) as f from runs group by all having count(*) >= 100),
+cuts as (
+  select lang, phrase, m, f as a, unnest(range(1, m)) as k, string_split(phrase, ' ') as w
+  from often where m > 1),
+scores as (
+  select c.lang, c.phrase, c.m, c.a, c.k, x.f as l, y.f as r, t.n,
+    (1000::hugeint * c.a * t.n) // (x.f::hugeint * y.f) as score
+  from cuts c join totals t on t.lang = c.lang
+  join often x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:k], ' ')
+  join often y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')),
+least as (
+  select * from scores qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+held as (
+  select c.lang, c.phrase from often c join often d on d.lang = c.lang and d.m > c.m and c.m > 1
+    and d.f >= c.f and contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')),
+placed as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from least anti join held using (lang, phrase))
+select lang, rank, phrase, a, l, r, n, score::bigint as score from placed where rank <= 2000
+"""
+
 
 def statements():
     """SQL by name of the query."""
@@ -197,4 +231,5 @@ def statements():
         "op2_near_duplicates": _NEAR_DUPLICATES,
         "op4_quality_rules": _quality(),
         "op11_conversation_repair": _REPAIR,
+        "op12_phrases": _PHRASES,
     }

@@ -12,6 +12,7 @@ from tributary.llm import (
     lm,
     ordering,
     packing,
+    phrases,
     pii,
     quality,
     repair,
@@ -117,6 +118,11 @@ def op11_conversation_repair(spark, sf_dir):
     return edits.join(shas, same, "left").select(edits.columns + [sha])
 
 
+def op12_phrases(spark, sf_dir):
+    """Each language's best collocations."""
+    return phrases.collocations(tables.read(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_training_order,
     op2_near_duplicates,
@@ -129,4 +135,5 @@ QUERIES = (
     op9_language_model,
     op10_packing,
     op11_conversation_repair,
+    op12_phrases,
 )
