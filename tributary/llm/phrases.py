@@ -1,24 +1,30 @@
 """Phrases that occur often and hold together, per language.
 
 Rabin-Karp fingerprints: the words of many texts, one blank between them, are one
-flat array of bytes; prefix polynomials modulo two primes with bases drawn at
-random give the fingerprint of every run of words by a subtraction.  Tasks add up the
-fingerprints of about ``HELD`` runs before these are shuffled, so a very common
-run moves once per so many.  An occurrence's pointer is the place of its words in the
-flat array; it is followed where the text lies, only for runs whose fingerprint
-is frequent, and their texts are counted again, so a collision cannot add up.
+flat array of bytes; prefix polynomials modulo primes with bases drawn at random give
+the fingerprint of every run of words by a subtraction (two primes), and a residue
+that is independent of it (a third one).  Tasks add up the fingerprints of about
+``HELD`` runs before these are shuffled, so a very common run moves once per so many.
+With its number a fingerprint carries a pointer to one occurrence (a hash of the text,
+the place in it, the number of words) and the least and greatest residue of all its
+occurrences.  Only frequent runs are made texts, from their pointers, and the text must
+give fingerprint and residue again.  Where the residues of a fingerprint differ, two
+runs collided: those are looked up in all texts and counted by their bytes.
 
 A run is as frequent as its parts at most.  Words are counted first, then pairs of
 frequent words, then longer runs of frequent pairs.  Frequent fingerprints go back to
 the texts by a broadcast while they are measured to be ``BOUND`` at most; beyond it,
-runs are not sifted and meet the frequent fingerprints in a join.  Both ways give
-the same rows.
+runs are not sifted, and pointers meet the texts in a join.  Both ways give the same
+rows.
 
 Cases: a null or empty text has no words; a null language is ``und``.  Repeated rows
 count each.  Empty tables give no rows.  A text without any mark is one piece, however
 long.  Ids and other columns are not looked at.
 """
 
+import re
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
@@ -74,34 +80,48 @@ class _Polynomial:
 
 
 _RANDOM = np.random.default_rng(20240612)
-_POLYNOMIALS = [_Polynomial(p, int(_RANDOM.integers(2**20, 2**30))) for p in (2**31 - 1, 2**31 - 19)]
+_POLYNOMIALS = [
+    _Polynomial(p, int(_RANDOM.integers(2**20, 2**30))) for p in (2**31 - 1, 2**31 - 19, 2**31 - 61)
+]
+
+#: A pointer: bits of a text's hash, of the place in it, and of the number of words.
+_HASH_BITS, _WORD_BITS = 28, 3
+_HASH, _PLACE = (1 << _HASH_BITS) - 1, (1 << 64 - _HASH_BITS - _WORD_BITS) - 1
+
+
+def _text_hash(data):
+    return zlib.crc32(data) & _HASH
 
 
 def _flat(batch):
-    """Slices of the batch's texts at marks: bytes, and the language of each byte's text."""
+    """Slices of the batch's texts at marks: bytes, where texts end, their languages,
+    and what to add to a place in the slice for a pointer into the text."""
     data, offsets = words.utf8(batch.column("text"))
     langs = batch.column("lang").to_pylist()
     n = len(langs)
     if n == 0:
         return
+    hashes = [_text_hash(data[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
     # A mark behind each text keeps its words from the next one's.
     at = offsets[1:]
-    data, ends = np.insert(_LOWER[data], at, MARKS[0]), at + np.arange(1, n + 1)
-    marks = np.flatnonzero(_MARK[data])
+    flat, ends = np.insert(_LOWER[data], at, MARKS[0]), at + np.arange(1, n + 1)
+    begins = offsets[:-1] + np.arange(n)
+    marks = np.flatnonzero(_MARK[flat])
     names = sorted(set(langs))
     codes = np.array([names.index(x) for x in langs])
+    hashes = np.array(hashes, np.uint64) << np.uint64(64 - _HASH_BITS)
     first = 0
-    while first < len(data):
+    while first < len(flat):
         k = np.searchsorted(marks, first + words.SLICE)
         last = int(marks[min(k, len(marks) - 1)]) + 1
-        yield data[first:last], ends - first, codes, names
+        yield flat[first:last], ends - first, codes, names, hashes, begins - first
         first = last
 
 
 class Runs:
     """Words of a slice in one array, one blank behind each, and their runs."""
 
-    def __init__(self, data, ends, codes, names):
+    def __init__(self, data, ends, codes, names, hashes=None, origins=None):
         inside = ~_BLANK[data]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
@@ -115,8 +135,11 @@ class Runs:
         self.starts = np.flatnonzero(here & np.concatenate([[True], ~here[:-1]]))
         self.ends = np.flatnonzero(~here)
         piece = np.cumsum(_MARK[data])[starts]
-        self.codes = codes[np.searchsorted(ends, starts, "right")]
-        self.names = names
+        text = np.searchsorted(ends, starts, "right")
+        self.codes, self.names = codes[text], names
+        if hashes is not None:
+            place = (starts - origins[text]).astype(np.uint64) & np.uint64(_PLACE)
+            self.pointers = hashes[text] | place << np.uint64(_WORD_BITS)
         # How many words follow within the piece.
         last = np.searchsorted(piece, piece, "right") - 1
         self.room = last - np.arange(len(starts))
@@ -124,10 +147,13 @@ class Runs:
     def hashes(self, at, n):
         """Fingerprints of the runs of ``n`` words at ``at``, language included."""
         starts, ends = self.starts[at], self.ends[at + n - 1]
-        a, b = (p.runs(self.bytes, starts, ends) for p in _POLYNOMIALS)
+        a, b = (p.runs(self.bytes, starts, ends) for p in _POLYNOMIALS[:2])
         salt = np.array([hash_of(name) for name in self.names], np.uint64)
         return words.mix((a << np.uint64(31) | b) ^ salt[self.codes[at]])
 
+    def residues(self, at, n):
+        return _POLYNOMIALS[2].runs(self.bytes, self.starts[at], self.ends[at + n - 1])
+
     def places(self, n):
         return np.flatnonzero(self.room >= n - 1)
 
@@ -178,60 +204,158 @@ def _candidates(runs, lengths, known):
             yield n, places, runs.hashes(places, n)
 
 
+_COUNTS = "fp bigint, lang string, f bigint, least bigint, most bigint, pointer bigint"
+
+
+def _added(waiting, total):
+    """Numbers, residues and a pointer of each fingerprint; words of each language."""
+    keys, residues, pointers = (np.concatenate(column) for column in zip(*waiting))
+    order = np.argsort(keys)
+    keys, residues, pointers = keys[order], residues[order].astype(np.int64), pointers[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    numbers = np.diff(np.append(heads, len(keys)))
+    columns = [keys[heads].view(np.int64), numbers]
+    if len(heads):
+        columns += [np.minimum.reduceat(residues, heads), np.maximum.reduceat(residues, heads)]
+    else:
+        columns += [heads, heads]
+    columns.append(pointers[heads].view(np.int64))
+    extra = len(total)
+    made = [pa.concat_arrays([pa.array(c, pa.int64()), pa.nulls(extra, pa.int64())]) for c in columns]
+    made[1] = pa.array([*numbers.tolist(), *total.values()], pa.int64())
+    made.insert(1, pa.array([None] * len(heads) + list(total), pa.string()))
+    return pa.RecordBatch.from_arrays(made, ["fp", "lang", "f", "least", "most", "pointer"])
+
+
 def _frequent(docs, lengths, known, often):
-    """(fingerprint, number) of the runs of ``lengths`` words found ``often`` or more."""
+    """Runs of ``lengths`` words found ``often`` or more, and words per language (fp null)."""
     held = docs.sparkSession.sparkContext.broadcast(known)
 
     def count(batches):
-        waiting, size = [], 0
-
-        def added():
-            keys, numbers = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(numbers.astype(np.int64))], ["fp", "n"]
-            )
-
+        waiting, total, size = [], {}, 0
         for batch in batches:
             for part in _flat(batch):
-                for _, _, keys in _candidates(Runs(*part), lengths, held.value):
-                    waiting.append(keys)
+                runs = Runs(*part)
+                if 1 in lengths:
+                    for code, f in enumerate(np.bincount(runs.codes, minlength=len(runs.names))):
+                        name = runs.names[code]
+                        total[name] = total.get(name, 0) + int(f)
+                for n, places, keys in _candidates(runs, lengths, held.value):
+                    pointers = runs.pointers[places] | np.uint64(n)
+                    waiting.append((keys, runs.residues(places, n), pointers))
                     size += len(keys)
                 if size >= HELD:
-                    yield added()
+                    yield _added(waiting, {})
                     waiting, size = [], 0
         if waiting:
-            yield added()
+            yield _added(waiting, total)
+
+    rows = docs.mapInArrow(count, _COUNTS).groupBy("fp", "lang")
+    rows = rows.agg(
+        F.sum("f").alias("f"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.min("pointer").alias("pointer"),
+    )
+    wanted = (F.col("f") >= often) | (F.col("fp").isNull() & (F.col("f") > 0))
+    return tables.written(rows.where(wanted), "phrases-frequent")
+
 
-    rows = docs.mapInArrow(count, "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n"))
-    return tables.written(rows.where(F.col("n") >= often).select("fp"), "phrases-frequent")
+def _keys(frame):
+    return np.sort(frame.select("fp").toArrow().column("fp").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _collected(frequent, bound):
     """The fingerprints as a sorted array if they are ``bound`` at most, else None."""
-    if frequent.count() > bound:
+    frequent = frequent.where("fp is not null")
+    return None if frequent.count() > bound else _keys(frequent)
+
+
+_WORD = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+")
+
+
+def _resolve(text, lang, pointer):
+    """The run that a pointer means in ``text``, with its fingerprint and residue."""
+    pointer = int(pointer) & (1 << 64) - 1
+    place, n = pointer >> _WORD_BITS & _PLACE, pointer & (1 << _WORD_BITS) - 1
+    found = []
+    for match in _WORD.finditer(text, place):
+        found.append(match.group())
+        if len(found) == n:
+            break
+    run = b" ".join(found).translate(_LOWER.tobytes())
+    if len(found) < n:
         return None
-    found = frequent.toArrow().column("fp").to_numpy()
-    return np.sort(found.astype(np.int64).view(np.uint64))
+    data, end = np.frombuffer(run + b" ", np.uint8), np.array([len(run)])
+    start = np.zeros(1, np.int64)
+    a, b, residue = (p.runs(data, start, end) for p in _POLYNOMIALS)
+    key = words.mix((a << np.uint64(31) | b) ^ np.uint64(hash_of(lang)))
+    return n, run, int(key.view(np.int64)[0]), int(residue[0])
+
+
+_RESOLVED = "fp bigint, lang string, n int, phrase string, residue bigint"
+
+
+def _resolved(docs, pointers, bound):
+    """(fp, lang, n, phrase): the texts of (fp, pointer) rows."""
+
+    def rows_of(texts):
+        rows = []
+        for text, lang, asked in texts:
+            for pointer in asked:
+                run = _resolve(text, lang, pointer)
+                if run:
+                    rows.append((run[2], lang, run[0], run[1], run[3]))
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int64()]
+        columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+        columns[3] = columns[3].cast(pa.string())
+        return pa.RecordBatch.from_arrays(columns, ["fp", "lang", "n", "phrase", "residue"])
+
+    if pointers.count() <= bound:
+        found = np.sort(pointers.toArrow().column("pointer").to_numpy().view(np.uint64))
+        held = docs.sparkSession.sparkContext.broadcast(found)
+
+        def look(batches):
+            places = held.value
+            hashes = (places >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+            for batch in batches:
+                data, offsets = words.utf8(batch.column("text"))
+                own = [_text_hash(data[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
+                first, last = np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right")
+                langs = batch.column("lang")
+                yield rows_of(
+                    (data[offsets[k] : offsets[k + 1]].tobytes(), langs[k].as_py(), places[first[k] : last[k]])
+                    for k in np.flatnonzero(last > first).tolist()
+                )
+
+        made = docs.mapInArrow(look, _RESOLVED)
+    else:
+        shift = 64 - _HASH_BITS
+        asked = pointers.select("pointer", F.shiftrightunsigned("pointer", shift).alias("h"))
+        named = docs.withColumn("h", F.crc32(F.col("text")).bitwiseAND(_HASH))
+        # Only the texts that pointers may mean move, and a hash may be that of several.
+        joined = scale.skew_join(named, asked, "h", spread_by=["text"], small=False)
+
+        def look(batches):
+            for batch in batches:
+                columns = (batch.column(c).to_pylist() for c in ("text", "lang", "pointer"))
+                yield rows_of((t.encode(), lang, [p]) for t, lang, p in zip(*columns))
+
+        made = joined.select("text", "lang", "pointer").mapInArrow(look, _RESOLVED)
+    return made
 
 
 _TEXTS = "lang string, n int, phrase string, f bigint, fp bigint"
 
 
 def _texts(docs, known, sift):
-    """(lang, n, phrase, f, fp): runs as texts, each task's added up.
-
-    A row with ``n`` 0 has the number of words of the language.
-    """
+    """(lang, n, phrase, f, fp): runs as texts, each task's added up."""
     held = docs.sparkSession.sparkContext.broadcast((known, sift))
 
     def find(batches):
-        (known, sift), tally, total, size = held.value, {}, {}, 0
+        (known, sift), tally = held.value, {}
 
         def added():
             rows = [(lang, n, text, f, fp) for (lang, n, fp, text), f in tally.items()]
-            rows += [(lang, 0, b"", f, 0) for lang, f in total.items()]
             tally.clear()
-            total.clear()
             kinds = [pa.string(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             columns[2] = columns[2].cast(pa.string())
@@ -240,9 +364,6 @@ def _texts(docs, known, sift):
         for batch in batches:
             for part in _flat(batch):
                 runs = Runs(*part)
-                for code, f in enumerate(np.bincount(runs.codes, minlength=len(runs.names))):
-                    if f:
-                        total[runs.names[code]] = total.get(runs.names[code], 0) + int(f)
                 for n, places, keys in _candidates(runs, range(1, LONGEST + 1), known):
                     if sift is not None:
                         found = _among(keys, sift)
@@ -250,10 +371,9 @@ def _texts(docs, known, sift):
                     if len(places) == 0:
                         continue
                     _compare(runs, n, places, keys, tally)
-                size = len(tally)
-                if size >= HELD // 10:
+                if len(tally) >= HELD // 10:
                     yield added()
-        if tally or total:
+        if tally:
             yield added()
 
     return docs.mapInArrow(find, _TEXTS)
@@ -261,6 +381,8 @@ def _texts(docs, known, sift):
 
 def _compare(runs, n, places, keys, tally):
     """Add runs to ``tally`` by text; those of one fingerprint are compared byte by byte."""
+    if len(keys) == 0:
+        return
     order = np.argsort(keys, kind="stable")
     places, keys = places[order], keys[order]
     heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -292,22 +414,35 @@ def frequent(docs, often=OFTEN, bound=BOUND):
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
-    known = {}
-    found = [_frequent(docs, [1], known, often)]
-    known[1] = _collected(found[0], bound)
-    found.append(_frequent(docs, [2], known, often))
-    known[2] = _collected(found[1], bound)
-    found.append(_frequent(docs, range(3, LONGEST + 1), known, often))
-    longer = _collected(found[2], bound)
-    sift = None
-    if known[1] is not None and known[2] is not None and longer is not None:
-        sift = np.sort(np.concatenate([known[1], known[2], longer]))
-    texts = _texts(docs, known, sift)
-    if sift is None:
-        every = found[0].unionByName(found[1]).unionByName(found[2])
-        texts = texts.where("n = 0").unionByName(texts.where("n > 0").join(every, "fp", "left_semi"))
+    known, found = {}, []
+    for level in ([1], [2], range(3, LONGEST + 1)):
+        found.append(_frequent(docs, level, known, often))
+        if len(found) < 3:
+            known[level[0]] = _collected(found[-1], bound)
+    every = found[0].unionByName(found[1]).unionByName(found[2])
+    total = every.where("fp is null").select("lang", F.lit(0).alias("n"), F.lit("").alias("phrase"), "f")
+    runs = every.where("fp is not null").drop("lang")
+    alone = runs.where("least = most")
+    texts = _resolved(docs, alone.select("pointer"), bound)
+    # Texts that occur twice resolve a pointer twice, to one and the same run.
+    texts = texts.groupBy("fp", "residue").agg(F.first(F.struct("lang", "n", "phrase")).alias("run"))
+    right = (F.col("fp") == F.col("key")) & (F.col("residue") == F.col("least"))
+    alone = alone.withColumnRenamed("fp", "key").join(texts, right).select("run.*", "f")
+    counted = total.unionByName(alone)
+    collided = tables.written(runs.where("least <> most").select("fp"), "phrases-collided")
+    if not collided.isEmpty():
+        counted = counted.unionByName(_recounted(docs, known, collided, often, bound))
+    return tables.written(counted, "phrases")
+
+
+def _recounted(docs, known, collided, often, bound):
+    """(lang, n, phrase, f) of runs whose fingerprints collided, counted by text."""
+    if collided.count() <= bound:
+        texts = _texts(docs, known, _keys(collided))
+    else:
+        texts = _texts(docs, known, None).join(collided, "fp", "left_semi")
     counted = texts.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
-    return tables.written(counted.where((F.col("n") == 0) | (F.col("f") >= often)), "phrases")
+    return counted.where(F.col("f") >= often)
 
 
 def _words(first, last):

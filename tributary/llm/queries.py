@@ -17,6 +17,7 @@ from tributary.llm import (
     quality,
     repair,
     tables,
+    toxicity,
 )
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,6 +124,19 @@ def op12_phrases(spark, sf_dir):
     return phrases.collocations(tables.read(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark, sf_dir):
+    """Every document's probability of being toxic."""
+    docs = tables.read(spark, sf_dir, "documents")
+    labels = tables.read(spark, sf_dir, "labels")
+    model = toxicity.trained(docs, labels, _remainder(4) != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = (
     op1_training_order,
     op2_near_duplicates,
@@ -136,4 +150,5 @@ QUERIES = (
     op10_packing,
     op11_conversation_repair,
     op12_phrases,
+    op13_toxicity,
 )
