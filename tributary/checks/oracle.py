@@ -444,6 +444,32 @@ _SQL.update(
         "stream_registry_fold": _SQL["registry_fold"],
         "stream_subscription_fold": _SQL["subscription_fold"],
         "stream_fetch_status": _SQL["fetch_status_upsert"],
+        "stream_subscription_state": _SQL["subscription_fold"],
+        "stream_push_log": _SQL["push_log"],
+        "stream_push_pending": _SQL["push_pending"],
+        # The last response of each run holds until the next one of its URL; its job
+        # goes out if the clock passes the due time before that.
+        "stream_fetch_jobs": f"""with timed as (select *, (last_fetch_time - min(last_fetch_time) over ())
+  // ((max(last_fetch_time) over () - min(last_fetch_time) over ()) // 4 + 1) as part
+  from fx_fetch_responses),
+ clocks as (select k as part, (select max(last_fetch_time) from timed t where t.part <= k) as clock
+  from unnest(range(4)) as s(k)),
+ latest as (select * from (select *, row_number() over (partition by url, part order by seq desc) as r,
+  max(seq) over (partition by url order by part) as newest from timed) where r = 1 and seq = newest),
+ states as (select url, part, last_fetch_time, last_fetch_etag, last_fetch_modified,
+  {_next('url', 'last_fetch_time')} as next_fetch_time from latest
+  union all select url, 0, last_fetch_time, last_fetch_etag, last_fetch_modified, next_fetch_time
+  from {_STATE} s where url not in (select url from latest where part = 0)),
+ held as (select *, coalesce(lead(part) over (partition by url order by part), 4) - 1 as until from states)
+ select h.url, h.url as fetch_url, next_fetch_time, last_fetch_time, last_fetch_etag,
+  last_fetch_modified, false as use_cache, {_MODE} as mode
+ from held h join clocks c on c.part = h.until where next_fetch_time < clock""",
+        "stream_outbox_retries": """with tried as (select distinct cast(correlation_id as bigint) as message_id,
+  cast(correlation_id % 8 as bigint) as failing from fx_entity_responses)
+ select message_id, 'sent' as kind, k as attempt from tried, unnest(range(1, 4)) as s(k)
+  where k <= failing + 1
+ union all select message_id, case when failing < 3 then 'delivered' else 'given up' end,
+  least(failing + 1, 3) from tried""",
         "stream_dedupe": "select distinct channel, droplet_orig_id from fx_drops",
         "stream_tweets": rf"""with d as ({_SQL['tweet_drops']}),
  t as (select distinct term from {_PRED} p where type = 'track'),

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from tributary.checks import bindings, entries, inputs
-from tributary.operators import registry, schedule
-from tributary.sources import readers, staging
+from tributary.operators import push, registry, schedule
+from tributary.sources import deltas, readers, staging
 from tributary.streaming import jobs
 
 
@@ -134,6 +134,115 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(f"{out}/drops")
 
 
+def _in_parts(rows, part, parts, folder, job):
+    """Feed ``rows`` to ``job(stream)`` in several runs, each from the last one's
+    checkpoint; ``part`` numbers the run a row arrives in."""
+    spark = rows.sparkSession
+    held = staging.written(rows.withColumn("_part", part), "parts")
+    for k in range(parts):
+        held.where(F.col("_part") == k).drop("_part").write.mode("append").parquet(folder)
+        jobs.finish(job(spark.readStream.schema(rows.schema).parquet(folder)))
+
+
+def stream_subscription_state(spark, sf_dir):
+    """Events arrive in three runs, each run with older ones than the runs before."""
+    out = staging.shared_folder(spark, "subscription-state")
+    current = staging.written(
+        registry.subscriptions(entries.active(spark, sf_dir, "rss")), "subscriptions"
+    )
+    deltas.start(current, f"{out}/table", ["url", "channel_id"], 16)
+    messages = inputs.control_text(bindings.view(spark, sf_dir, "fx_control"))
+    part = F.pmod(-F.col("seq"), F.lit(3))
+    _in_parts(
+        messages, part, 3, f"{out}/in",
+        lambda stream: jobs.keep_subscriptions(stream, current, f"{out}/table", f"{out}/checkpoint"),
+    )
+    return deltas.read(spark, f"{out}/table")
+
+
+def stream_fetch_jobs(spark, sf_dir):
+    """Responses arrive by their time in four runs; a job goes out for what is due."""
+    out = staging.shared_folder(spark, "fetch-jobs")
+    responses = bindings.view(spark, sf_dir, "fx_fetch_responses")
+    time = F.col("last_fetch_time")
+    first, last = responses.agg(F.min(time), F.max(time)).first()
+    width = (last - first) // 4 + 1
+    part = F.floor((time - first) / width)
+    _in_parts(
+        responses, part, 4, f"{out}/in",
+        lambda stream: jobs.schedule_fetches(
+            stream, entries.state(spark, sf_dir), f"{out}/jobs", f"{out}/checkpoint"
+        ),
+    )
+    return spark.read.parquet(f"{out}/jobs").drop("batch_id")
+
+
+def stream_outbox_retries(spark, sf_dir):
+    """Drops go out, and the answers to attempt k arrive in run k, the clock 45 seconds
+    further at the end of each run; two failures are allowed."""
+    out = staging.shared_folder(spark, "deliveries")
+    answers = bindings.view(spark, sf_dir, "fx_entity_responses")
+    run = F.least(F.col("attempt").cast("bigint"), F.lit(4))
+    start = 1_704_067_200
+    heard = answers.select(
+        F.col("correlation_id").cast("bigint").alias("message_id"),
+        F.col("attempt").cast("bigint").alias("attempt"),
+        F.col("status").cast("int").alias("status"),
+        F.timestamp_seconds(F.lit(start) + 60 * run).alias("at"),
+    )
+    sent = heard.where("attempt = 1").select(
+        "message_id", F.lit(0).cast("bigint").alias("attempt"), F.lit(None).cast("int").alias("status"),
+        F.timestamp_seconds(F.lit(start)).alias("at"),
+    )
+    # The clock goes on with a message nobody sent.
+    ticks = spark.range(5).select(
+        F.lit(-1).cast("bigint").alias("message_id"), F.lit(0).cast("bigint").alias("attempt"),
+        F.lit(200).alias("status"), F.timestamp_seconds(F.lit(start) + 60 * F.col("id") + 45).alias("at"),
+    )
+    rows = sent.unionByName(heard).unionByName(ticks)
+    part = F.floor((F.unix_seconds("at") - start) / 60)
+    # Messages and first ticks come without waiting for the answers: no resend in run 0.
+    _in_parts(
+        rows.where(~((F.col("message_id") == -1) & (F.unix_seconds("at") < start + 60))), part, 5, f"{out}/in",
+        lambda stream: jobs.deliver(stream, f"{out}/events", f"{out}/checkpoint", 30, 2),
+    )
+    return spark.read.parquet(f"{out}/events").drop("batch_id")
+
+
+def _pushed_tables(spark, sf_dir):
+    """Pushes in three runs, the third with a new checkpoint, folded after the second."""
+    out = staging.shared_folder(spark, "push-deltas")
+    log, settings, marks = f"{out}/log", f"{out}/settings", f"{out}/marks"
+    deltas.start(bindings.view(spark, sf_dir, "fx_push_log"), log, ["bucket_id", "droplet_id"], 16)
+    deltas.start(bindings.view(spark, sf_dir, "fx_push_settings"), settings, ["bucket_id"], 16)
+    requests = push.wanted(bindings.view(spark, sf_dir, "fx_push_requests"), "deployment")
+    pushed = staging.written(requests.select("bucket_id", "droplet_id"), "pushed")
+    for k, checkpoint in enumerate(("a", "a", "b")):
+        folder = f"{out}/in-{checkpoint}"
+        pushed.where(F.pmod("droplet_id", F.lit(3)) == k).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(pushed.schema).parquet(folder)
+        jobs.finish(
+            jobs.log_push_changes(
+                stream, log, settings, marks, bindings.AS_OF, f"{out}/checkpoint-{checkpoint}"
+            )
+        )
+        if k == 1:
+            deltas.fold(spark, log)
+            deltas.fold(spark, settings)
+    at = deltas.common(spark, marks)
+    return (deltas.read(spark, path, upto=upto) for path, upto in zip((log, settings), at))
+
+
+def stream_push_log(spark, sf_dir):
+    log, _ = _pushed_tables(spark, sf_dir)
+    return log
+
+
+def stream_push_pending(spark, sf_dir):
+    _, settings = _pushed_tables(spark, sf_dir)
+    return settings
+
+
 QUERIES = [
     stream_match_rivers,
     stream_tweets,
@@ -141,4 +250,9 @@ QUERIES = [
     stream_subscription_fold,
     stream_fetch_status,
     stream_dedupe,
+    stream_subscription_state,
+    stream_fetch_jobs,
+    stream_outbox_retries,
+    stream_push_log,
+    stream_push_pending,
 ]

@@ -129,6 +129,28 @@ def update_pending(settings, pushed):
     )
 
 
+def log_changes(log, pushed, as_of):
+    """JOIN-11, SNK-8: the rows of the log that a push changes, as they are then."""
+    pairs = pushed.select("bucket_id", "droplet_id").distinct()
+    return log.join(pairs, ["bucket_id", "droplet_id"], "left_semi").select(
+        "bucket_id",
+        "droplet_id",
+        F.lit(1).alias("droplet_push_status"),
+        dates.log_text(dates.instant(as_of)).alias("droplet_date_push"),
+        F.lit(False).alias("deleted"),
+    )
+
+
+def pending_changes(settings, pushed, as_of=None):
+    """AGG-8, FLT-17 (Q-21): the pending counts that a push changes."""
+    counts = pushed.groupBy("bucket_id").agg(F.count(F.lit(1)).alias("_pushed"))
+    less = F.greatest(F.lit(0).cast("bigint"), F.col("pending_drop_count") - F.col("_pushed"))
+    open_ = settings.where(F.col("pending_drop_count") > 0)
+    return open_.join(counts, "bucket_id").select(
+        "bucket_id", less.alias("pending_drop_count"), F.lit(False).alias("deleted")
+    )
+
+
 def pending_by_log(log):
     """Check on the two tables of SNK-8: drops of each bucket not pushed yet."""
     return log.groupBy("bucket_id").agg(

@@ -7,11 +7,27 @@ side of a join is read anew in each batch, so a change of the registry takes
 effect with the next batch and without a gap (STR-9).
 """
 
+import json
+
 from pyspark.sql import functions as F
 
 from tributary.operators import events, feeds, mail, push, schedule, tweets
 from tributary.plans import deployments, firehose
-from tributary.sources import readers, sinks
+from tributary.sources import deltas, readers, sinks, staging
+from tributary.streaming import state
+
+
+class Batch(int):
+    """The number of a micro-batch, and ``run``, the id of the query's checkpoint.
+
+    A query that starts anew counts from 0 again, under another id.
+    """
+
+    run = ""
+
+
+def _run_id(spark, checkpoint):
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def run(stream, per_batch, checkpoint, every=None):
@@ -20,7 +36,16 @@ def run(stream, per_batch, checkpoint, every=None):
     ``every`` is a trigger interval (STR-7/8); without one the query takes what
     is there and ends.
     """
-    writer = stream.writeStream.foreachBatch(per_batch).option(
+    known = []
+
+    def numbered(batch, batch_id):
+        if not known:
+            known.append(_run_id(batch.sparkSession, checkpoint))
+        number = Batch(batch_id)
+        number.run = known[0]
+        per_batch(batch, number)
+
+    writer = stream.writeStream.foreachBatch(numbered).option(
         "checkpointLocation", checkpoint
     )
     if every:
@@ -232,3 +257,58 @@ def latest_common_version(spark, *paths):
             versions if common is None else common.join(versions, "version", "left_semi")
         )
     return common.agg(F.max("version")).first()[0]
+
+
+def keep_subscriptions(messages, current, table, checkpoint, every=None):
+    """STR-5, SET-7: RSS subscriptions as keyed state, their changes to a delta table.
+
+    ``current`` is the table (url, river_id, channel_id) before the first batch, from
+    which ``table`` was started (``deltas.start``).
+    """
+    bound = events.bound_to(messages, ["web.river.*", "web.channel.rss.*"])
+    changes = events.subscription_changes(events.channel_changes(bound, "rss"))
+
+    def per_batch(batch, number):
+        deltas.append(batch, table, number)
+
+    return run(state.subscriptions(changes, current), per_batch, checkpoint, every)
+
+
+def schedule_fetches(responses, current, out, checkpoint, every=None):
+    """STR-6/7, SNK-3: fetch jobs when their URLs are due, by timers per URL."""
+
+    def per_batch(batch, number):
+        sinks.append_batch(batch, out, number)
+
+    return run(state.fetch_jobs(responses, current), per_batch, checkpoint, every)
+
+
+def deliver(messages, out, checkpoint, wait=state.RETRY_WAIT, most=state.MAX_RETRIES, every=None):
+    """STR-11: attempts and outcomes of the messages of an outbox."""
+
+    def per_batch(batch, number):
+        sinks.append_batch(batch, out, number)
+
+    return run(state.deliveries(messages, wait, most), per_batch, checkpoint, every)
+
+
+def log_push_changes(pushed, log, settings, marks, as_of, checkpoint, every=None):
+    """SNK-8: a push's changes of the log and of the pending counts, as deltas.
+
+    A batch reads the buckets it touches and writes changed rows only.  ``marks`` names
+    the batches that both tables hold; what a broken batch wrote to one of them is not
+    read before the batch is through, and is replaced when it runs again.
+    """
+
+    def per_batch(batch, number):
+        spark = batch.sparkSession
+        rows = staging.written(batch.select("bucket_id", "droplet_id"), "pushed")
+        places = []
+        for path, changed in ((log, push.log_changes), (settings, push.pending_changes)):
+            places.append(deltas.position(spark, path, number))
+            buckets = deltas.touched_buckets(spark, path, rows)
+            before = deltas.read(spark, path, buckets, before=places[-1])
+            deltas.append(changed(before, rows, as_of), path, number)
+        deltas.mark_common(spark, marks, places)
+
+    return run(pushed, per_batch, checkpoint, every)
