@@ -1,5 +1,10 @@
 """Every query beside its SQL at the smallest scale, and the shape of plans."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -40,6 +45,18 @@ def test_entry(spark):
     assert app.entry(spark).columns == ["id", "part", "rivers", "channels"]
 
 
+def test_entries_without_the_optional_part(tmp_path):
+    """The package without its optional folder, the pipeline's file left in place."""
+    copy = tmp_path / "copy"
+    hidden = shutil.ignore_patterns("llm", ".git", "__pycache__")
+    shutil.copytree(Path(app.__file__).parent, copy, ignore=hidden)
+    (copy / "corpus_pipeline.py").touch()
+    (copy / "corpus_pipeline.py").write_text("import tributary.llm\n")
+    code = "import __spark_entry__ as a; print(len(a.queries()), len(a.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))]
+
+
 def test_top_rows_are_cut_before_the_shuffle(spark):
     plan = QUERIES["cache_trim"](spark, SF)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("WindowGroupLimit") == 2

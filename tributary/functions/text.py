@@ -116,18 +116,66 @@ def chunks(text):
     return F.array_distinct(F.split(text, r"\s+"))
 
 
+#: Signs of a chunk that a token, with a sign on either side, is sought in at once.
+#: Windows overlap by more than the longest token needs.
+_STEP = MAX_TERM + 4
+_WIDTH = 2 * _STEP
+
+
+def _windows(folded):
+    """``folded`` in overlapping windows: (piece, context) each.
+
+    The context of a window that cuts the chunk goes on with signs that no token
+    holds and that make no edge: so many word characters that no token is as long, or
+    a blank beside a symbol.  A token and the signs around it lie whole in some window.
+    """
+    filler = F.lit("_" * (MAX_TERM + 1))
+
+    def beyond(sign):
+        return F.when(sign.rlike("[a-z0-9_]"), filler).otherwise(F.lit(" "))
+
+    def window(piece, k):
+        before = F.when(k > 0, beyond(F.left(piece, F.lit(1)))).otherwise("")
+        # A shorter piece reaches the end; a whole one is followed by another that does.
+        cut = F.char_length(piece) == _WIDTH
+        after = F.when(cut, beyond(F.right(piece, F.lit(1)))).otherwise("")
+        return F.struct(piece.alias("piece"), F.concat(before, piece, after).alias("context"))
+
+    # One pass: each match takes a step and looks a whole width ahead.
+    pattern = f"(?s)(?=(.{{1,{_WIDTH}}})).{{1,{_STEP}}}"
+    return F.transform(F.regexp_extract_all(folded, F.lit(pattern), F.lit(1)), window)
+
+
 def match_keys(chunk):
-    """The keys under which a token that hits in ``chunk`` can be found.
+    """The (key, context) under which a token that hits in ``chunk`` can be found.
 
     A token holds no white space, so it hits inside one chunk.  There each of
     its runs of ASCII word characters is a whole run of the chunk, and a token
-    without such a run is a whole symbol run or the whole chunk.  So the keys
-    are the runs of both sorts and the chunk itself.
+    without such a run is a whole symbol run.  So the keys of plain tokens are
+    the word runs, without a context.  Those of tokens with symbols are the runs of
+    both sorts in windows of the chunk, each with its window.  What comes out grows with
+    the length of the chunk, not with its square.
     """
     folded = fold_ascii(chunk)
+    none = F.lit(None).cast("string")
     plain = F.btrim(chunk, F.lit(WORD_CHARACTERS)) == ""
-    return F.when(plain, F.array(F.lower(chunk))).otherwise(
-        F.concat(F.split(folded, RUN_EDGE), F.array(folded))
+    fits = F.char_length(chunk) <= MAX_TERM
+    runs = F.array_distinct(F.split(folded, "[^a-z0-9_]+"))
+    runs = F.filter(runs, lambda r: (r != "") & (F.char_length(r) <= MAX_TERM))
+
+    def bare(key):
+        return F.struct(key.alias("key"), none.alias("context"))
+
+    def within(window):
+        keys = F.array_distinct(F.split(window["piece"], RUN_EDGE))
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), window["context"].alias("context")))
+
+    return (
+        F.when(plain & fits, F.array(bare(F.lower(chunk))))
+        .when(plain, F.array().cast("array<struct<key:string,context:string>>"))
+        .otherwise(
+            F.concat(F.transform(runs, bare), F.flatten(F.transform(_windows(folded), within)))
+        )
     )
 
 
