@@ -444,6 +444,24 @@ _SQL.update(
         "stream_registry_fold": _SQL["registry_fold"],
         "stream_subscription_fold": _SQL["subscription_fold"],
         "stream_fetch_status": _SQL["fetch_status_upsert"],
+        "feed_quarantine": f"""select distinct e.url, e.fetch_id,
+ case when regexp_extract(e.url, '[^/]*$') in ('src3', 'src9', 'src14') then 'broken'
+ else 'answered' end as outcome from {_ENTRIES} e join {_DUE_STATE} j on j.url = e.url""",
+        "message_quarantine": """select case when op in ('enable', 'disable') then 'web.river.' || op
+ else 'web.channel.' || channel || '.' || op end as routing_key, seq,
+ case when seq % 10 = 3 then 'broken' else 'read' end as outcome from fx_control""",
+        "stream_track_and_follow": rf"""with d as ({_SQL['tweet_drops']}),
+ s as (select d.droplet_orig_id, f.screen_name, {_fold(_strip('f.text'))} as raw from d
+  join fx_tweets f on cast(f.id as varchar) = d.droplet_orig_id),
+ t as (select distinct type, term from {_PRED} p),
+ hits as (select s.droplet_orig_id, t.type, t.term from s join t on t.type = 'track'
+  where list_bool_and([regexp_matches(s.raw,
+  '\b' || regexp_escape(k) || '\b|(^|[\s])' || regexp_escape(k)
+  || '([\s]|$)') for k in string_split(t.term, ' ') if k <> ''])
+  union all select d.droplet_orig_id, t.type, t.term from d join t on t.type = 'follow'
+  and (t.term = d.identity_orig_id or t.term = d.in_reply_to_user_id))
+ select distinct h.droplet_orig_id, p.channel_id from hits h
+ join {_PRED} p on p.type = h.type and p.term = h.term""",
         "stream_subscription_state": _SQL["subscription_fold"],
         "stream_push_log": _SQL["push_log"],
         "stream_push_pending": _SQL["push_pending"],

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tributary import schemas
 from tributary.checks import bindings, entries, inputs
 from tributary.operators import push, registry, schedule
 from tributary.sources import deltas, readers, staging
@@ -243,6 +244,74 @@ def stream_push_pending(spark, sf_dir):
     return settings
 
 
+#: Feeds of which the test cuts the end off, and feeds that begin with a byte-order mark.
+BROKEN, MARKED = ("src3", "src9", "src14"), ("src4", "src5")
+
+
+def feed_quarantine(spark, sf_dir):
+    """What became of each captured feed: broken ones are kept apart, not answered."""
+    out = staging.shared_folder(spark, "feeds")
+    number = F.substring_index("url", "/", -1)
+    size = F.char_length("doc")
+    damaged = (
+        F.when(number.isin(*BROKEN), F.substring("doc", F.lit(1), size - 9))
+        .when(number.isin(*MARKED), F.concat(F.lit("\ufeff"), "doc"))
+        .otherwise(F.col("doc"))
+    )
+    docs = inputs.feed_docs(spark, sf_dir).withColumn("doc", damaged)
+    docs.write.parquet(f"{out}/in")
+    stream = spark.readStream.schema(docs.schema).parquet(f"{out}/in")
+    jobs.finish(
+        jobs.fetch_feeds(
+            stream,
+            lambda session: schedule.due_jobs(entries.state(session, sf_dir), bindings.AS_OF),
+            lambda session: registry.subscriber_parts(
+                registry.subscriptions(entries.active(session, sf_dir, "rss"))
+            ),
+            bindings.AS_OF, out, f"{out}/checkpoint",
+        )
+    )
+    kinds = [
+        spark.read.parquet(f"{out}/{name}").select("url", "fetch_id", F.lit(kind).alias("outcome"))
+        for name, kind in (("quarantine", "broken"), ("responses", "answered"))
+    ]
+    return kinds[0].unionByName(kinds[1])
+
+
+def message_quarantine(spark, sf_dir):
+    """Control messages through the reader; every tenth body is cut off."""
+    out = staging.shared_folder(spark, "messages")
+    sent = inputs.control_text(bindings.view(spark, sf_dir, "fx_control"))
+    cut = F.when(F.col("seq") % 10 == 3, F.expr("substring(body, 1, length(body) - 2)"))
+    none = F.lit(None).cast("string")
+    envelope = sent.select(
+        "routing_key", none.alias("correlation_id"), none.alias("reply_to"), "seq",
+        F.coalesce(cut, "body").alias("body"),
+    )
+    envelope.write.parquet(f"{out}/in")
+    read = readers.messages(spark, f"{out}/in", schemas.CHANNEL_EVENT, stream=True)
+    jobs.finish(jobs.receive_messages(read, out, f"{out}/checkpoint"))
+    broken = spark.read.parquet(f"{out}/quarantine")
+    fine = spark.read.parquet(f"{out}/messages").select("routing_key", "seq", F.lit("read").alias("outcome"))
+    return fine.unionByName(broken.select("routing_key", "seq", F.lit("broken").alias("outcome")))
+
+
+def stream_track_and_follow(spark, sf_dir):
+    """Tweets matched by text and by author in one run, each drop with all its rivers."""
+    out = staging.shared_folder(spark, "firehose")
+    lines = inputs.tweet_text(_stream(spark, sf_dir, "fx_tweets", "conversations"))
+    jobs.finish(
+        jobs.match_tweets(
+            lines, lambda session: entries.predicates(session, sf_dir), ["track", "follow"],
+            out, f"{out}/checkpoint",
+        )
+    )
+    drops = spark.read.parquet(f"{out}/drops")
+    return drops.select(
+        "droplet_orig_id", F.explode("channel_ids").alias("channel_id")
+    ).distinct()
+
+
 QUERIES = [
     stream_match_rivers,
     stream_tweets,
@@ -255,4 +324,7 @@ QUERIES = [
     stream_outbox_retries,
     stream_push_log,
     stream_push_pending,
+    feed_quarantine,
+    message_quarantine,
+    stream_track_and_follow,
 ]

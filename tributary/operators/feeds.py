@@ -30,6 +30,8 @@ def _trees(doc):
 
     A document that is cut off, or none of these, has no tree.
     """
+    # A byte-order mark is no part of the document.
+    doc = F.when(doc.startswith("\ufeff"), F.substring(doc, F.lit(2), F.char_length(doc))).otherwise(doc)
     prolog = r"(?s)^\s*(<\?xml[^>]*\?>\s*)?(<!DOCTYPE[^>]*>\s*)?(<!--.*?-->\s*)*"
     atom, rdf = doc.rlike(rf"{prolog}<feed\b"), doc.rlike(rf"{prolog}<rdf:RDF\b")
     whole = doc.rlike(r"(?s)</(rss|feed|rdf:RDF)>\s*(<!--.*?-->\s*)*$")
@@ -44,15 +46,33 @@ def _trees(doc):
     }
 
 
-def quarantined(feed_docs):
-    """STR-14: captured documents that are no feed, or only a part of one.
+def parsed(feed_docs):
+    """Captured answers with their trees and ``readable``: each document parsed once.
 
-    A fetch that gave such a document should not count as answered.
+    Store the result if several outputs are made of it.  An answer without a
+    document (not modified) is readable; one that is no feed, or only a part of one,
+    is not: it must not count as answered.
     """
-    parsed = feed_docs.where(F.col("doc").isNotNull()).withColumns(_trees(F.col("doc")))
-    readable = F.coalesce("r.title", "r.link", F.to_json("r"), F.to_json("d"), F.to_json("f"))
-    broken = readable.isNull() | readable.isin("{}", "")
-    return parsed.where(broken).select(*feed_docs.columns)
+    trees = feed_docs.withColumns(_trees(F.col("doc")))
+    # Trees of nothing but nulls are what other XML gives.
+    tree = F.coalesce("r.title", "r.link", F.to_json("r"), F.to_json("d"), F.to_json("f"))
+    broken = F.col("doc").isNotNull() & (tree.isNull() | tree.isin("{}", ""))
+    return trees.withColumn("readable", ~broken)
+
+
+def answered(read):
+    """STR-14: of ``parsed`` answers those that count, without their trees."""
+    return read.where("readable").drop("r", "d", "f", "readable")
+
+
+def quarantined_of(read):
+    """STR-14: of ``parsed`` answers those that are no feed, as they came."""
+    return read.where(~F.col("readable")).drop("r", "d", "f", "readable")
+
+
+def quarantined(feed_docs):
+    """STR-14: captured documents that are no feed, or only a part of one."""
+    return quarantined_of(parsed(feed_docs))
 
 
 def entries(feed_docs):
@@ -63,10 +83,13 @@ def entries(feed_docs):
     counts from 0.  Each document is parsed once, by its own dialect; the outer
     explode keeps Spark from testing the list in a filter that parses it again.
     """
-    kept = [c for c in feed_docs.columns if c != "doc"]
-    trees = feed_docs.where(F.col("doc").isNotNull()).select(
-        *kept, *(tree.alias(name) for name, tree in _trees(F.col("doc")).items())
-    )
+    trees = feed_docs.where(F.col("doc").isNotNull()).withColumns(_trees(F.col("doc")))
+    return entries_of(trees)
+
+
+def entries_of(trees):
+    """SRC-5: the entries of ``parsed`` answers."""
+    kept = [c for c in trees.columns if c not in ("doc", "r", "d", "f", "readable")]
     rdf_items = F.transform(
         "d.item",
         lambda e: F.struct(

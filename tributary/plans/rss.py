@@ -19,21 +19,23 @@ def fetch_jobs(rss_urls, active, as_of):
 def refresh(url_state, active, feed_docs, cache, as_of, keep=feeds.KEEP):
     """One round of fetching: (drops, responses, url_state, cache).
 
-    Documents are parsed once; their drops are stored before routing and cache
-    read them.  Cache rows take their ids from the drop's own hash, so that a
+    Documents are parsed once and stored; their drops are stored before routing and
+    cache read them.  A URL that answered with no feed is not answered: its state
+    stays as it was, so it is due again in the next round.  Cache rows take their ids from the drop's own hash, so that a
     repeated round writes the same rows.
     """
     parts = registry.url_subscribers(active)
     state = schedule.current_state(schedule.reconcile(url_state, parts))
     jobs = schedule.due_jobs(state, as_of)
-    answers = feeds.answers_of(jobs, feed_docs)
+    read = staging.written(feeds.parsed(feeds.answers_of(jobs, feed_docs)), "feeds")
     found = staging.written(
-        feeds.entries_to_drops(feeds.entries(answers), as_of), "feed-drops"
+        feeds.entries_to_drops(feeds.entries_of(read), as_of), "feed-drops"
     )
     drops = feeds.stamp(found, parts)
-    responses = feeds.fetch_responses(answers)
+    responses = feeds.fetch_responses(feeds.answered(read))
+    broken = feeds.quarantined_of(read).select("url").distinct()
     after = schedule.apply_responses(
-        schedule.mark_submitted(state, jobs),
+        schedule.mark_submitted(state, jobs.join(broken, "url", "left_anti")),
         responses.withColumnRenamed("fetch_id", "seq"),
     )
     rows = feeds.as_cache_rows(feeds.first_of_fetch(found, keep), feeds.hash_id())

@@ -48,7 +48,12 @@ def messages(spark, path, schema, stream=False, files_per_trigger=None):
     if stream and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     rows = reader.parquet(path)
-    return rows.withColumn("m", F.from_json("body", schema))
+    # Of a body that is cut off, the part before the cut would count as an object.
+    fields = f"{schema}, _corrupt string"
+    parsed = F.from_json("body", fields, {"columnNameOfCorruptRecord": "_corrupt"})
+    whole = F.col("m._corrupt").isNull() & F.col("m").isNotNull()
+    rows = rows.withColumn("m", parsed)
+    return rows.withColumn("m", F.when(whole, F.col("m").dropFields("_corrupt")))
 
 
 def fetch_jobs(spark, path, **how):

@@ -85,11 +85,13 @@ def start_table(rows, path):
 
 def match_tweets(lines, registry_of, kind, out, checkpoint, every=None):
     """SRC-6, STR-9/12/14: tweet lines to drops with rivers, and the notices,
-    rate limits and broken lines to tables of their own."""
+    rate limits and broken lines to tables of their own; ``kind`` is track, follow, or
+    both in a list.  A batch is parsed once."""
+    kinds = [kind] if isinstance(kind, str) else list(kind)
 
     def per_batch(batch, batch_id):
         spark = batch.sparkSession
-        classified = tweets.classify(batch)
+        classified = staging.written(tweets.classify(batch), "tweets")
         sinks.append_batch(
             tweets.delete_notices(classified), f"{out}/deletes", batch_id
         )
@@ -99,7 +101,7 @@ def match_tweets(lines, registry_of, kind, out, checkpoint, every=None):
         sinks.append_batch(
             tweets.quarantined(classified), f"{out}/quarantine", batch_id
         )
-        drops = firehose.matched_drops(batch, registry_of(spark), kind)
+        drops = firehose.matched(tweets.to_drops(classified), registry_of(spark), kinds)
         sinks.append_drops(drops, f"{out}/drops", batch_id)
 
     return run(lines, per_batch, checkpoint, every)
@@ -170,16 +172,19 @@ def apply_fetch_responses(responses, table, checkpoint, every=None):
 
 
 def fetch_feeds(feed_docs, jobs_of, subscribers_of, as_of, out, checkpoint, every=None):
-    """SRC-5/11: captured feeds to stamped drops, and the responses to them."""
+    """SRC-5/11, STR-14: captured feeds to stamped drops, the responses to them, and
+    what is no feed, which is not answered.  A batch is parsed once."""
 
     def per_batch(batch, batch_id):
         spark = batch.sparkSession
         answers = feeds.answers_of(jobs_of(spark), batch)
-        drops = feeds.entries_to_drops(feeds.entries(answers), as_of)
+        read = staging.written(feeds.parsed(answers), "feeds")
+        sinks.append_batch(feeds.quarantined_of(read), f"{out}/quarantine", batch_id)
+        drops = feeds.entries_to_drops(feeds.entries_of(read), as_of)
         stamped = feeds.stamp(drops, subscribers_of(spark))
         sinks.append_drops(stamped, f"{out}/drops", batch_id)
         sinks.append_batch(
-            feeds.fetch_responses(answers), f"{out}/responses", batch_id
+            feeds.fetch_responses(feeds.answered(read)), f"{out}/responses", batch_id
         )
 
     return run(feed_docs, per_batch, checkpoint, every)
@@ -190,7 +195,7 @@ def receive_mail(mails, rivers_of, out, checkpoint, every=None):
 
     def per_batch(batch, batch_id):
         routed = mail.with_rivers(batch, rivers_of(batch.sparkSession))
-        parsed = mail.parse(routed)
+        parsed = staging.written(mail.parse(routed), "mail")
         sinks.append_drops(mail.to_drops(parsed), f"{out}/drops", batch_id)
         sinks.store_attachments(
             mail.attachment_store(mail.attachments(parsed)),
@@ -202,6 +207,18 @@ def receive_mail(mails, rivers_of, out, checkpoint, every=None):
     return run(mails, per_batch, checkpoint, every)
 
 
+def receive_messages(messages, out, checkpoint, every=None):
+    """SRC-8..12/14, STR-14: messages read by ``readers.messages``, each body parsed once
+    and stored by outcome; one that is no such object goes to the quarantine."""
+
+    def per_batch(batch, batch_id):
+        read = staging.written(batch, "messages")
+        sinks.append_batch(readers.broken(read), f"{out}/quarantine", batch_id)
+        sinks.append_batch(read.where(F.col("m").isNotNull()), f"{out}/messages", batch_id)
+
+    return run(messages, per_batch, checkpoint, every)
+
+
 def enrich(drops, enricher, out, checkpoint, every=None):
     """STR-2, SNK-2: one of the two enrichers on the shared stream of drops.
 
