@@ -16,6 +16,7 @@ ids outside the vocabulary decode to nothing, bytes that are no UTF-8 to U+FFFD.
 Other columns of the input are kept; a column of a result's name is replaced.
 """
 
+import hashlib
 import json
 import re
 import unicodedata
@@ -23,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -249,18 +251,23 @@ class Codec:
             if n == 1:
                 made.append(raws[at])
             else:
-                added = [*(self.added[t] for t in segments[1::2]), b""]
+                added = [*(self.added.get(t, b"") for t in segments[1::2]), b""]
                 made.append(b"".join(x for p in zip(raws[at : at + n], added) for x in p))
             at += n
         return made
 
     def _segments(self, text):
-        """Text and added tokens in turn, text first and last."""
+        """Text and added tokens in turn, text first and last; "" is a mere cut."""
         if not any(token in text for token in self.added):
-            return [text]
-        found = self.at_added.findall(text)
-        plain = self.at_added.split(text)
-        return [x for pair in zip(plain, found) for x in pair] + [plain[-1]]
+            made = [text]
+        else:
+            found = self.at_added.findall(text)
+            plain = self.at_added.split(text)
+            made = [x for pair in zip(plain, found) for x in pair] + [plain[-1]]
+        if len(text) <= CUT:
+            return made
+        parts = [[x] if k % 2 else _joined(_cut(x)) for k, x in enumerate(made)]
+        return [x for part in parts for x in part]
 
     def decode(self, ids):
         """The text of a sequence of ids."""
@@ -285,7 +292,29 @@ def compact(path):
     return "<u2" if codec(path).size <= 1 << 16 else "<u4"
 
 
-def batches(texts, most=4 << 20):
+#: Characters from which a text is cut, at a blank behind a plain sign: no pre-token
+#: reaches over such a place.
+CUT = 1 << 20
+_PLACE = re.compile(r"(?<=[A-Za-z0-9,.])(?=[ \n])")
+
+
+def _cut(text):
+    """``text`` in parts of little more than CUT characters, if it has such places."""
+    parts, first = [], 0
+    while len(text) - first > CUT:
+        place = _PLACE.search(text, first + CUT)
+        if place is None:
+            break
+        parts.append(text[first : place.start()])
+        first = place.start()
+    return [*parts, text[first:]]
+
+
+def _joined(parts):
+    return [x for part in parts for x in (part, "")][:-1]
+
+
+def batches(texts, most=1 << 20):
     """Ranges of a sequence of texts with about ``most`` characters each."""
     first, held = 0, 0
     for i, text in enumerate(texts):
@@ -320,3 +349,29 @@ def decode(df, path, ids="ids", text="decoded"):
         return pd.Series(made, index=column.index, dtype=object)
 
     return df.withColumn(text, decoded(F.col(f"`{ids}`")))
+
+
+def digests(df, path, text="text"):
+    """Per row: doc_id, n_tokens, ids_sha256 and decoded_sha256 of the whole text (null
+    is empty), encoded and decoded in small batches; ids are hashed as text, by commas."""
+    rows = df.select("doc_id", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+
+    def work(found):
+        known = codec(path)
+        for batch in found:
+            _, offsets = words.utf8(batch.column("text"))
+            for i, j in words.slices(offsets, 1 << 20):
+                made = []
+                for raw in known.encode(batch.column("text").slice(i, j - i).to_pylist()):
+                    ids = np.frombuffer(raw, "<u4")
+                    listed = ",".join(map(str, ids.tolist())).encode()
+                    decoded = known.decode(ids).encode("utf-8", "replace")
+                    made.append((len(ids), *(hashlib.sha256(x).hexdigest() for x in (listed, decoded))))
+                kinds = [pa.int64(), pa.string(), pa.string()]
+                columns = [pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(i, j - i), *columns],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return rows.mapInArrow(work, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

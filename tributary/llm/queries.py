@@ -41,14 +41,7 @@ def op2_near_duplicates(spark, sf_dir):
 def op3_bpe(spark, sf_dir):
     """Every text encoded and decoded, as digests."""
     docs = tables.documents(tables.read(spark, sf_dir, "documents"))
-    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    coded = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(docs, VOCABULARY)
 
 
 def op4_quality_rules(spark, sf_dir):

@@ -2,9 +2,12 @@
 
 A word is a maximal run of bytes other than blank, tab, line feed, vertical
 tab, form feed and carriage return; A-Z are lowered, every other byte counts as
-it is.  Two different words share a hash with probability 2**-64.
+it is.  Words of up to ``LONG`` bytes have polynomial hashes modulo 2**64; on longer
+ones those can be made to cancel, so they have a cryptographic hash.
 """
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -18,6 +21,10 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _ORDER = _RANDOM.integers(1, 2**63, 8, dtype=np.uint64) | np.uint64(1)
 
+#: Length from which a run is hashed as a whole.  Polynomials modulo 2**64 cancel on
+#: pairs of runs of 2,048 signs and more only.
+LONG = 1024
+
 #: Bytes of text that one round of array operations handles.
 SLICE = 2 << 20
 
@@ -76,7 +83,15 @@ def slices(offsets, most=SLICE):
 def polynomial(values, starts):
     """Polynomial hashes of the runs of ``values`` that begin at ``starts``."""
     sums = np.add.reduceat(values * _UP.upto(len(values))[: len(values)], starts)
-    return sums * _DOWN.upto(len(values))[starts]
+    sums *= _DOWN.upto(len(values))[starts]
+    ends = np.append(starts[1:], len(values))
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        # Without the zeros (blanks) behind a word.
+        run = np.trim_zeros(values[starts[i] : ends[i]], "b")
+        if len(run) > LONG:
+            digest = hashlib.blake2b(run.tobytes(), digest_size=8).digest()
+            sums[i] = int.from_bytes(digest, "little")
+    return sums
 
 
 def word_hashes(data, offsets):
