@@ -53,7 +53,12 @@ def sample(labelled, most, label="label"):
         chunked, "doc_id bigint, label int, place bigint, chunk binary"
     )
     order = F.xxhash64("doc_id", "place")
-    picked = made.withColumn("o", order).orderBy("o", "doc_id", "place").limit(most)
+    # Little more than the sample is sorted, however many chunks there are.
+    size = F.greatest(F.ceil((F.octet_length("text") - OVERLAP) / (SIZE - OVERLAP)), F.lit(1))
+    share = 1.3 * most / (labelled.agg(F.sum(size)).first()[0] or 1)
+    some = made.withColumn("o", order).where((F.shiftrightunsigned("o", 1) / 2.0**63) < share)
+    # Rows of one id may differ in text.
+    picked = some.orderBy("o", "doc_id", "place", F.xxhash64("chunk")).limit(most)
     rows = tables.written(picked.select("chunk", "label"), "chunk-sample").collect()
     held = np.frombuffer(b"".join(bytes(r.chunk) for r in rows), np.uint8).reshape(-1, SIZE)
     return held, np.array([r.label for r in rows], np.int64)

@@ -7,7 +7,7 @@ filter feed a small dense layer that gives the chunk's logit.  The document's
 probability is the logistic function of the mean of its chunks' logits.
 
 The network is fitted by Adam on a bounded sample of chunks of labelled texts
-(``SAMPLE``), with both labels of equal weight, and its weights (some 20 kB) are
+(``SAMPLE``, of as many labelled ids at most), with both labels of equal weight, and its weights (some 20 kB) are
 broadcast.  Fitting is repeatable: fixed seeds, a sample by hash.
 
 Cases: a null or empty text is one chunk of zeros and gets a score.  Labels that
@@ -160,5 +160,10 @@ def trained(docs, labels, learn):
     wanted = labels.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("label")
     ).where(learn & F.col("label").isNotNull())
-    wanted = wanted.groupBy("doc_id").agg(F.max("label").alias("label"))
-    return fit(tables.documents(docs).where(learn).join(wanted, "doc_id"))
+    wanted = wanted.where("label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
+    # A chunk an id at least, so as many ids as chunks are enough; texts are not moved.
+    order = F.xxhash64(F.lit("quality"), "doc_id")
+    share = 1.2 * SAMPLE / max(wanted.count(), 1)
+    some = wanted.withColumn("o", order).where((F.shiftrightunsigned("o", 1) / 2.0**63) < share)
+    ids = tables.written(some.orderBy("o", "doc_id").limit(SAMPLE).drop("o"), "classifier-ids")
+    return fit(tables.documents(docs).join(F.broadcast(ids), "doc_id"))
