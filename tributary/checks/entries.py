@@ -21,7 +21,8 @@ from tributary.operators import (
     tweets,
 )
 from tributary.plans import enrichment, firehose, rss
-from tributary.sources import staging
+from tributary.sources import deltas, staging
+from tributary.streaming import jobs as streams_jobs
 
 AS_OF = bindings.AS_OF
 QUOTA = {"track": 3, "follow": 4}
@@ -99,6 +100,12 @@ def predicate_quota(spark, sf_dir):
     return _predicates(spark, sf_dir, quota=QUOTA)
 
 
+def quota_refused(spark, sf_dir):
+    """FLT-10: the options that the quota leaves out."""
+    terms = registry.valid_terms(_terms(spark, sf_dir))
+    return registry.over_quota(terms, QUOTA).distinct()
+
+
 def first_writer(spark, sf_dir):
     return _predicates(spark, sf_dir, first_writer_wins=True)
 
@@ -405,14 +412,44 @@ def _replay(spark, sf_dir):
     return feeds.serve_from_cache(jobs, inputs.cache(spark, sf_dir), subs)
 
 
-def cache_serve(spark, sf_dir):
-    served, _ = _replay(spark, sf_dir)
+def _served(served):
     return served.select(
         "id", "part", "droplet_orig_id", F.md5("droplet_raw").alias("raw_md5"),
         csv("river_id").alias("rivers"), csv("channel_ids").alias("channels"),
     )
 
 
+def cache_serve(spark, sf_dir):
+    served, _ = _replay(spark, sf_dir)
+    return _served(served)
+
+
+def _bucketed_cache(spark, sf_dir):
+    path = f"{staging.shared_folder(spark, 'cache')}/table"
+    rss.start_cache(inputs.cache(spark, sf_dir), path, 16)
+    return path
+
+
+def cache_serve_pruned(spark, sf_dir):
+    """The same from a cache in buckets of URLs."""
+    messages = inputs.control_messages(spark, sf_dir)
+    changes = events.subscription_changes(events.channel_changes(messages, "rss"))
+    jobs = schedule.replay_jobs(state(spark, sf_dir), changes.where(F.col("op") == "add"))
+    subs = registry.subscriber_parts(_subscriptions(spark, sf_dir))
+    served, _ = rss.serve(staging.written(jobs, "replay"), _bucketed_cache(spark, sf_dir), subs)
+    return _served(served)
+
+
+def cache_insert_pruned(spark, sf_dir):
+    """New rows into a cache in buckets of URLs, which is folded afterwards."""
+    path = _bucketed_cache(spark, sf_dir)
+    drops = feeds.first_of_fetch(_feed_drops(spark, sf_dir), keep=20)
+    rows = staging.written(feeds.as_cache_rows(drops, feeds.hash_id()), "new-drops")
+    rss.insert(rows, path, streams_jobs.Batch(0), keep=20)
+    deltas.fold(spark, path)
+    return deltas.read(spark, path).select("url", "id", "date_pub", "drop.droplet_title")
+
+
 def cache_misses(spark, sf_dir):
     _, left = _replay(spark, sf_dir)
     return left.select("url", "use_cache")
@@ -707,7 +744,7 @@ def line_breaks(spark, sf_dir):
 
 QUERIES = [
     active_channels, url_subscribers, term_normalise, predicates,
-    predicates_by_user_id, predicate_quota, first_writer, predicate_counts,
+    predicates_by_user_id, predicate_quota, quota_refused, first_writer, predicate_counts,
     registry_maps, predicate_maps, predicate_diff, registry_add, registry_delete,
     user_id_cache, control_events, registry_fold, subscription_fold,
     track_match, follow_match, match_rivers, follow_rivers,
@@ -715,7 +752,7 @@ QUERIES = [
     urls_missing, urls_deleted, url_state, next_fetch, due_jobs, fetch_jobs,
     fetch_mode, latest_responses, fetch_status_upsert, fetch_flags, replay_jobs,
     feed_entries, feed_drops, since_last_fetch, fetch_counts, fetch_answers,
-    feed_routes, cache_serve, cache_misses, cache_trim, cache_insert, cache_purge,
+    feed_routes, cache_serve, cache_serve_pruned, cache_insert_pruned, cache_misses, cache_trim, cache_insert, cache_purge,
     page_links, bare_urls, url_parts, short_urls, expanded_urls, link_classes,
     page_photos, drop_links, drop_media, drop_image,
     entity_attempts, drop_tags, drop_places, semantics_status,

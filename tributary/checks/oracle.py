@@ -217,6 +217,11 @@ _SQL = {
   range between unbounded preceding and 1 preceding) as before from (
  select *, row_number() over (partition by type, term order by channel_id) = 1 as first
  from {_PRED} p)) where before < case type when 'track' then 3 else 4 end""",
+    "quota_refused": f"""select distinct type, term, channel_id, river_id from (
+ select *, count(*) filter (first) over (partition by type order by channel_id
+  range between unbounded preceding and 1 preceding) as before from (
+ select *, row_number() over (partition by type, term order by channel_id) = 1 as first
+ from {_PRED} p)) where before >= case type when 'track' then 3 else 4 end""",
     "first_writer": f"""select type, term, channel_id, river_id from (select *,
  row_number() over (partition by type, term order by channel_id) as r from {_PRED} p)
  where r = 1""",
@@ -444,6 +449,28 @@ _SQL.update(
         "stream_registry_fold": _SQL["registry_fold"],
         "stream_subscription_fold": _SQL["subscription_fold"],
         "stream_fetch_status": _SQL["fetch_status_upsert"],
+        "stream_registry_by_user_id": f"select * from ({_SQL['predicates_by_user_id']}) where type = 'follow'",
+        "stream_predicate_changes": f"""with bounds as (select min(seq) as first, max(seq) as last from fx_control),
+ held as (select type, term, channel_id, case when change = 'add' then cast(river_id as bigint) end as after,
+  seq, cast(floor((seq - first) * 3 / (last - first + 1)) as bigint) as run
+  from {_terms(f"(select * from {_CONTROL} c where channel = 'twitter')", ', change, seq')} t, bounds),
+ ends as (select * from (select *, row_number() over (partition by type, term, channel_id, run
+  order by seq desc) as r from held) where r = 1),
+ steps as (select e.*, case when row_number() over w = 1 then p.river_id else lag(after) over w end as before
+  from ends e left join {_PRED} p on p.type = e.type and p.term = e.term and p.channel_id = e.channel_id
+  window w as (partition by e.type, e.term, e.channel_id order by e.run))
+ select run, type, term, channel_id, coalesce(after, before) as river_id,
+  case when before is null then 'added' when after is null then 'removed' else 'moved' end as change
+ from steps where before is distinct from after""",
+        "cache_serve_pruned": _SQL["cache_serve"],
+        "cache_insert_pruned": f"""select * from ({_SQL['cache_insert']})
+ qualify row_number() over (partition by url, id order by date_pub desc) = 1""",
+        "stream_cache_serve": f"""with last as (select url, river_id, channel_id, change from (
+  select *, row_number() over (partition by url, channel_id order by seq desc) as r
+  from {_CONTROL} c where channel = 'rss') where r = 1),
+ added as (select url, {_csv('river_id')} as rivers, {_csv('channel_id')} as channels
+  from last where change = 'add' group by url)
+ select c.id, c.droplet_orig_id, a.rivers, a.channels from {_CACHE} c join added a on a.url = c.url""",
         "feed_quarantine": f"""select distinct e.url, e.fetch_id,
  case when regexp_extract(e.url, '[^/]*$') in ('src3', 'src9', 'src14') then 'broken'
  else 'answered' end as outcome from {_ENTRIES} e join {_DUE_STATE} j on j.url = e.url""",

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from tributary import schemas
 from tributary.checks import bindings, entries, inputs
-from tributary.operators import push, registry, schedule
+from tributary.operators import events, push, registry, schedule
+from tributary.plans import rss
 from tributary.sources import deltas, readers, staging
-from tributary.streaming import jobs
+from tributary.streaming import jobs, state
 
 
 def _stream(spark, sf_dir, view, table):
@@ -312,6 +313,72 @@ def stream_track_and_follow(spark, sf_dir):
     ).distinct()
 
 
+def stream_cache_serve(spark, sf_dir):
+    """Cached drops for the subscribers that messages add."""
+    out = staging.shared_folder(spark, "cache-serve")
+    rss.start_cache(inputs.cache(spark, sf_dir), f"{out}/cache", 16)
+    messages = _messages(spark, sf_dir)
+    jobs.finish(
+        jobs.serve_added(
+            messages, f"{out}/cache", lambda session: entries.state(session, sf_dir), f"{out}/served",
+            f"{out}/checkpoint",
+        )
+    )
+    drops = spark.read.parquet(f"{out}/served/drops")
+    return drops.select(
+        "id", "droplet_orig_id", entries.csv("river_id").alias("rivers"), entries.csv("channel_ids").alias("channels")
+    )
+
+
+PREDICATE_KEY = ["term", "type", "channel_id"]
+
+
+def stream_predicate_changes(spark, sf_dir):
+    """What really changes in the registry with each of three runs of messages."""
+    out = staging.shared_folder(spark, "predicate-changes")
+    deltas.start(entries.predicates(spark, sf_dir), f"{out}/table", PREDICATE_KEY, 16)
+    messages = inputs.control_text(bindings.view(spark, sf_dir, "fx_control"))
+    first, last = messages.agg(F.min("seq"), F.max("seq")).first()
+    part = F.floor((F.col("seq") - first) * 3 / (last - first + 1))
+
+    def job(stream):
+        bound = events.bound_to(stream, ["web.channel.twitter.*", "web.river.*"])
+        changes = events.predicate_changes(events.channel_changes(bound, "twitter"))
+        return jobs.keep_predicates(changes, f"{out}/table", f"{out}/checkpoint")
+
+    _in_parts(messages, part, 3, f"{out}/in", job)
+    feed = deltas.feed(spark, f"{out}/table", "change string")
+    return feed.select(
+        F.col("batch").cast("bigint").alias("run"), "type", "term", "channel_id", "river_id", "change"
+    )
+
+
+def stream_registry_by_user_id(spark, sf_dir):
+    """Follow terms by id; half of the names have theirs captured before the events
+    that name them, half after."""
+    out = staging.shared_folder(spark, "follows")
+    terms = registry.valid_terms(registry.options_to_terms(entries.active(spark, sf_dir, "twitter")))
+    terms = terms.select(
+        "type", "term", "channel_id", "river_id", F.lit("add").alias("op"),
+        F.struct(F.col("channel_id").alias("seq"), F.lit(0).alias("at")).alias("seq"),
+    )
+    ids = bindings.view(spark, sf_dir, "fx_user_ids").select("screen_name", F.col("user_id").cast("string"))
+    start = terms.limit(0).select("type", "term", "channel_id", "river_id")
+    deltas.start(start, f"{out}/table", PREDICATE_KEY, 16)
+    half = F.pmod(F.crc32("term"), F.lit(2))
+    held = {"in": (terms, half), "ids": (ids, F.pmod(F.crc32("screen_name"), F.lit(2)))}
+    for run in (0, 1, 2):
+        for name, (rows, group) in held.items():
+            # Names of group 0 are captured in run 0 and used in run 1, the others after.
+            when = group if name == "ids" else F.lit(1)
+            late = F.when(when == 0, 0).otherwise(2) if name == "ids" else when
+            rows.where(late == run).write.mode("append").parquet(f"{out}/{name}")
+        streams = (spark.readStream.schema(rows.schema).parquet(f"{out}/{n}") for n, (rows, _) in held.items())
+        changes = state.follows_by_id(*streams)
+        jobs.finish(jobs.keep_predicates(changes, f"{out}/table", f"{out}/checkpoint"))
+    return deltas.read(spark, f"{out}/table")
+
+
 QUERIES = [
     stream_match_rivers,
     stream_tweets,
@@ -327,4 +394,7 @@ QUERIES = [
     feed_quarantine,
     message_quarantine,
     stream_track_and_follow,
+    stream_predicate_changes,
+    stream_cache_serve,
+    stream_registry_by_user_id,
 ]

@@ -71,6 +71,13 @@ def subscription_changes(changes):
     ).where(F.col("url").isNotNull())
 
 
+def added_subscriptions(changes):
+    """STR-10: (url, channel_id, river_id) of the subscriptions that ``changes`` leave
+    added, each once."""
+    last = changes.groupBy("url", "channel_id").agg(F.max_by(F.struct("op", "river_id"), "seq").alias("l"))
+    return last.where(F.col("l.op") == "add").select("url", "channel_id", "l.river_id")
+
+
 def predicate_changes(changes):
     """Twitter changes as (type, term, channel_id, river_id, op, seq) (Q-10)."""
     terms = registry.options_to_terms(changes, "op", "seq")

@@ -305,6 +305,28 @@ def update_cache(cache, new_rows, keep=KEEP):
     )
 
 
+def cache_changes(cache, new_rows, keep=KEEP):
+    """SNK-7, WIN-1: what ``update_cache`` changes, as rows of ``cache`` with ``deleted``.
+
+    ``cache`` need only hold the URLs of ``new_rows``.  A drop that is fetched again
+    replaces its row; of several new rows with one id the newest stays.
+    """
+    touched = scale.broadcast_if_small(new_rows.select("url").distinct())
+    before = cache.join(touched, "url", "left_semi").select(*cache.columns)
+    gone = before.join(trim_cache(before, keep).select("url", "id"), ["url", "id"], "left_anti")
+    gone = gone.join(new_rows.select("url", "id"), ["url", "id"], "left_anti")
+    known = {f.name for f in new_rows.schema["drop"].dataType.fields}
+    drop = [
+        (F.col("drop")[f.name] if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in cache.schema["drop"].dataType.fields
+    ]
+    newest = F.max_by(F.struct("date_pub", "drop"), F.struct("date_pub", F.to_json("drop")))
+    once = new_rows.groupBy("url", "id").agg(newest.alias("n")).select("url", "id", "n.*")
+    added = once.withColumn("drop", F.struct(*drop))
+    added = added.select(*cache.columns, F.lit(False).alias("deleted"))
+    return added.unionByName(gone.select(*cache.columns, F.lit(True).alias("deleted")))
+
+
 def purge_cache(cache, subscribed):
     """Q-6, optional: rows of URLs that somebody still subscribes to."""
     return cache.join(subscribed.select("url").distinct(), "url", "left_semi")

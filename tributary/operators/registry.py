@@ -249,6 +249,30 @@ def fold_events(current, events, key):
     return _merged(current, folded, key, F.col("_event").isNotNull())
 
 
+def entry_changes(before, changes, key):
+    """SET-3, STR-8: what ``changes`` really change in ``before``, as rows of its
+    columns with ``change`` (added|removed|moved) and ``deleted``.
+
+    The last event of an entry counts; one that leaves the entry as it is gives no row.
+    ``before`` need only hold the entries that the events name.
+    """
+    values = [c for c in before.columns if c not in key]
+    last = changes.groupBy(*key).agg(F.max_by(F.struct("op", *values), "seq").alias("_last"))
+    held = before.select(*key, F.struct(F.lit(1), *values).alias("_held"))
+    new, old = F.struct(*[F.col(f"_last.{v}") for v in values]), F.struct(*[F.col(f"_held.{v}") for v in values])
+    adds = F.col("_last.op") == "add"
+    change = (
+        F.when(adds & F.col("_held").isNull(), "added")
+        .when(adds & (new != old), "moved")
+        .when(~adds & F.col("_held").isNotNull(), "removed")
+    )
+    rows = last.join(held, key, "left").withColumn("change", change).where("change is not null")
+    kept = F.when(adds, new).otherwise(old)
+    return rows.select(
+        *key, *[kept[v].alias(v) for v in values], "change", (~adds).alias("deleted")
+    ).select(*before.columns, "change", "deleted")
+
+
 def remembered_ids(known, found):
     """SNK-12: the user-id table after new look-ups; the known id stays."""
     return add_entries(known, found, ["screen_name"])

@@ -1,7 +1,7 @@
 """From subscriptions to fetch jobs, and from captured answers to drops."""
 
 from tributary.operators import feeds, registry, schedule
-from tributary.sources import staging
+from tributary.sources import deltas, staging
 
 
 def fetch_jobs(rss_urls, active, as_of):
@@ -40,3 +40,26 @@ def refresh(url_state, active, feed_docs, cache, as_of, keep=feeds.KEEP):
     )
     rows = feeds.as_cache_rows(feeds.first_of_fetch(found, keep), feeds.hash_id())
     return drops, responses, after, feeds.update_cache(cache, rows, keep)
+
+
+def start_cache(cache, path, buckets=deltas.BUCKETS):
+    """SRC-4: the cache of drops as a table in buckets of URLs."""
+    deltas.start(cache, path, ["url", "id"], buckets)
+
+
+def serve(jobs, path, parts):
+    """JOIN-5/6: (drops served, jobs left) from a bucketed cache, of which only the
+    buckets of the URLs asked for are opened; ``jobs`` should be stored."""
+    spark = jobs.sparkSession
+    asked = jobs.where("use_cache").select("url").distinct()
+    buckets = deltas.touched_buckets(spark, path, asked)
+    return feeds.serve_from_cache(jobs, deltas.read(spark, path, buckets), parts)
+
+
+def insert(rows, path, batch, keep=feeds.KEEP):
+    """SNK-7: new cache rows (stored) into a bucketed cache; what is written are the
+    new rows and those that they displace."""
+    spark = rows.sparkSession
+    buckets = deltas.touched_buckets(spark, path, rows)
+    before = deltas.read(spark, path, buckets, before=deltas.position(spark, path, batch))
+    deltas.append(feeds.cache_changes(before, rows, keep), path, batch)

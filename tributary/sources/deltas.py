@@ -80,9 +80,14 @@ def epoch_of(spark, path, run):
     return epochs.get(run, max(epochs.values(), default=-1) + 1)
 
 
+def _run(batch):
+    """The run that a batch belongs to; batches that no query numbers share one."""
+    return getattr(batch, "run", "") or "direct"
+
+
 def position(spark, path, batch):
     """(epoch, number) of a batch of ``jobs.run`` in this table."""
-    return epoch_of(spark, path, batch.run), int(batch)
+    return epoch_of(spark, path, _run(batch)), int(batch)
 
 
 def append(changes, path, batch):
@@ -91,7 +96,7 @@ def append(changes, path, batch):
     ``changes`` has the table's columns and ``deleted``, each key once.
     """
     epoch, number = position(changes.sparkSession, path, batch)
-    inside = f"{path}/changes/epoch={epoch}/run={batch.run}/batch={number}"
+    inside = f"{path}/changes/epoch={epoch}/run={_run(batch)}/batch={number}"
     changes.write.mode("overwrite").parquet(inside)
 
 
@@ -166,6 +171,18 @@ def read(spark, path, buckets=None, upto=None, before=None):
     return kept.unionByName(last.where("not v.deleted").select(*[f"v.{n}" for n in names]))
 
 
+def feed(spark, path, also=""):
+    """All changed rows that are still there, with epoch and batch; ``also`` names further
+    columns that they were written with (DDL)."""
+    _, _, schema = meta(spark, path)
+    wide = StructType([*schema.fields, *(StructType.fromDDL(also).fields if also else [])])
+    rows = _changes(spark, path, wide, (-2, -2), None)
+    if rows is None:
+        empty = StructType([*wide.fields, *StructType.fromDDL("deleted boolean, epoch int, batch int").fields])
+        return spark.createDataFrame([], empty)
+    return rows
+
+
 def touched_buckets(spark, path, keys):
     """The buckets of the values of the first key column in ``keys``."""
     key, buckets, _ = meta(spark, path)

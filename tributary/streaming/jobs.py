@@ -11,8 +11,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from tributary.operators import events, feeds, mail, push, schedule, tweets
-from tributary.plans import deployments, firehose
+from tributary.operators import events, feeds, mail, push, registry, schedule, tweets
+from tributary.plans import deployments, firehose, rss
 from tributary.sources import deltas, readers, sinks, staging
 from tributary.streaming import state
 
@@ -329,3 +329,44 @@ def log_push_changes(pushed, log, settings, marks, as_of, checkpoint, every=None
         deltas.mark_common(spark, marks, places)
 
     return run(pushed, per_batch, checkpoint, every)
+
+
+def keep_predicates(changes, table, checkpoint, every=None):
+    """STR-4/8, SET-3: the registry as a delta table, its changes the feed of readers.
+
+    ``changes`` is a stream of ``events.predicate_changes`` (or of ``state.follows_by_id``);
+    ``table`` was started with the key term, type, channel_id.  A batch reads the buckets
+    of the terms it names; one that changes nothing publishes nothing.
+    """
+
+    def per_batch(batch, number):
+        spark = batch.sparkSession
+        named = staging.written(batch, "predicate-changes")
+        key, _, _ = deltas.meta(spark, table)
+        buckets = deltas.touched_buckets(spark, table, named)
+        before = deltas.read(spark, table, buckets, before=deltas.position(spark, table, number))
+        changed = staging.written(registry.entry_changes(before, named, key), "predicate-feed")
+        if not changed.isEmpty():
+            deltas.append(changed, table, number)
+
+    return run(changes, per_batch, checkpoint, every)
+
+
+def serve_added(messages, cache, url_state_of, out, checkpoint, every=None):
+    """STR-10, JOIN-5/6: new subscribers get the cached drops of their feeds at once.
+
+    Jobs and cache meet within the batch; drops are stamped with the rivers and
+    channels of the added subscriptions alone.  ``cache`` is the path of a bucketed cache
+    (``rss.start_cache``).  Jobs that it cannot serve are left for the fetchers.
+    """
+    bound = events.bound_to(messages, ["web.river.*", "web.channel.rss.*"])
+    changes = events.subscription_changes(events.channel_changes(bound, "rss"))
+
+    def per_batch(batch, number):
+        added = staging.written(events.added_subscriptions(batch), "added")
+        asked = staging.written(schedule.replay_jobs(url_state_of(batch.sparkSession), added), "replay")
+        served, left = rss.serve(asked, cache, registry.subscriber_parts(added))
+        sinks.append_batch(served, f"{out}/drops", number)
+        sinks.append_batch(left, f"{out}/jobs", number)
+
+    return run(changes, per_batch, checkpoint, every)

@@ -231,3 +231,61 @@ def deliveries(messages, wait=RETRY_WAIT, most=MAX_RETRIES):
     ).withWatermark("at", "0 seconds")
     schema = "message_id bigint, kind string, attempt bigint"
     return _keyed(timed, "message_id", _Deliveries(wait, most), schema, "EventTime")
+
+
+class _Names(StatefulProcessor):
+    """Per screen name its user id, and the events that wait for it, one a channel."""
+
+    def init(self, handle):
+        self.known = handle.getValueState("known", "user_id string")
+        self.waiting = handle.getMapState("waiting", "channel_id long", "river_id long, op string, seq long, at long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        rows = list(rows)
+        found = [r.user_id for r in rows if r.user_id is not None]
+        if found and not self.known.exists():
+            # Of several ids that come at once the smallest; the known id stays.
+            self.known.update((min(found),))
+            for (channel,), (river, op, seq, at) in self.waiting.iterator():
+                yield self._row(min(found), channel, river, op, seq, at)
+            self.waiting.clear()
+        held = self.known.get()[0] if self.known.exists() else None
+        for row in (r for r in rows if r.user_id is None):
+            if held is not None:
+                yield self._row(held, row.channel_id, row.river_id, row.op, row.seq, row.at)
+                continue
+            name = (row.channel_id,)
+            last = self.waiting.getValue(name) if self.waiting.containsKey(name) else None
+            if last is None or (last[2], last[3]) < (row.seq, row.at):
+                self.waiting.updateValue(name, (row.river_id, row.op, row.seq, row.at))
+
+    @staticmethod
+    def _row(user_id, channel, river, op, seq, at):
+        return Row(type="follow", term=user_id, channel_id=channel, river_id=river, op=op, seq=seq, at=at)
+
+    def close(self):
+        pass
+
+
+def follows_by_id(changes, user_ids):
+    """JOIN-14 live: changes of follow terms with the user's id in place of the name.
+
+    ``changes`` is a stream of ``events.predicate_changes``, ``user_ids`` one of captured
+    (screen_name, user_id).  Events whose name has no id yet wait in the state, the last
+    of each channel, until one is captured; none is dropped.
+    """
+    none = F.lit(None).cast("bigint")
+    named = changes.where(F.col("type") == "follow").select(
+        F.col("term").alias("name"), F.lit(None).cast("string").alias("user_id"), "channel_id", "river_id", "op",
+        F.col("seq.seq").cast("bigint").alias("seq"), F.col("seq.at").cast("bigint").alias("at"),
+    )
+    captured = user_ids.where("user_id is not null").select(
+        F.col("screen_name").alias("name"), F.col("user_id").cast("string").alias("user_id"),
+        none.alias("channel_id"), none.alias("river_id"), F.lit(None).cast("string").alias("op"),
+        none.alias("seq"), none.alias("at"),
+    )
+    schema = (
+        "type string, term string, channel_id bigint, river_id bigint, op string, seq bigint, at bigint"
+    )
+    rows = _keyed(named.unionByName(captured), "name", _Names(), schema, "None")
+    return rows.withColumn("seq", F.struct("seq", "at")).drop("at")
