@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.operators import push
-from tributary.sources import deltas
+from tributary.sources import deltas, readers
 from tributary.streaming import jobs
 
 SCHEMA = "k bigint, s string, v bigint"
@@ -120,3 +120,23 @@ def test_what_a_broken_batch_wrote_is_not_read(spark, tmp_path):
     pushed = deltas.read(spark, log, upto=at[0]).where("droplet_push_status = 1")
     assert sorted(r.droplet_id for r in pushed.collect()) == [1, 2, 4]
     assert deltas.read(spark, settings, upto=at[1]).first().pending_drop_count == 2
+
+
+def test_versions_expire(spark, tmp_path):
+    path = str(tmp_path / "versioned")
+    for version in (-1, 0, 1, 2):
+        jobs.sinks.publish_version(spark.range(version + 2), path, version)
+    assert jobs.latest_common_version(spark, path) == 2
+    assert [p.rpartition("=")[2] for p in readers.expired_versions(spark, path)] == ["-1", "0"]
+    with pytest.raises(FileNotFoundError):
+        readers.latest_version(spark, path, before=-1)
+
+
+def test_a_new_checkpoint_keeps_old_rows(spark, tmp_path):
+    """Batch 0 of a query that starts anew is not batch 0 of its predecessor."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for check in ("a", "b"):
+        spark.range(3).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("id bigint").parquet(source)
+        jobs.finish(jobs.run(stream, lambda df, n: jobs.sinks.append_batch(df, out, n), str(tmp_path / check)))
+    assert spark.read.parquet(out).count() == 3 + 6

@@ -122,6 +122,18 @@ def test_hmac_base64_and_form_agree_with_python(spark):
         ("2024-01-01T01:00:00+01:00", 1704067200),
         ("Mon, 1 Jan 2024 00:00:00 +0000 (UTC)", 1704067200),
         ("no date", None),
+        ("Sunday, 06-Nov-94 08:49:37 GMT", 784111777),
+        ("Sun Nov  6 08:49:37 1994", 784111777),
+        ("Sun, 06 Nov 94 03:49:37 EST", 784111777),
+        ("6 Nov 94 08:49:37 UT", 784111777),
+        ("Mon, 1 Jan 24 00:00:00 +0000", 1704067200),
+        ("Sun, 31 Dec 2023 16:00:00 PST (winter)", 1704067200),
+        ("1 January 2024 00:00:00 Z", 1704067200),
+        ("January 1, 2024 01:00:00 +0100", 1704067200),
+        ("2024/01/01 00:00:00", 1704067200),
+        ("2024-01-01", 1704067200),
+        ("Mon, 1 Jan 2024", 1704067200),
+        ("Mon, 1 Jan 2024 00:00:00 XYZ", None),
     ],
 )
 def test_mail_dates(spark, value, epoch):

@@ -6,15 +6,31 @@ RFC822_OUT = "EEE, dd MMM yyyy HH:mm:ss"
 LOG_OUT = "yyyy-MM-dd HH:mm:ss"
 
 
+#: Zones by name in mail dates, with their offsets.
+ZONES = {
+    "GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000",
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+
+
 def _parsed(text, *patterns):
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
 
 
 def _with_offset(text):
     """Cut the weekday and comments; put a numeric offset in place of names."""
-    cut = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},?\s+|\s*\([^)]*\)\s*$", "")
-    cut = F.regexp_replace(cut, r"(?i)\s+(GMT|UTC|UT|Z)$", " +0000")
+    cut = F.regexp_replace(F.trim(text), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+|\s*\([^)]*\)\s*$", "")
     cut = F.regexp_replace(cut, r"\s+", " ")
+    name = F.upper(F.regexp_extract(cut, r" ([A-Za-z]{1,3})$", 1))
+    offset = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])[name]
+    cut = F.when(offset.isNull(), cut).otherwise(
+        F.concat(F.regexp_replace(cut, " [A-Za-z]+$", " "), offset)
+    )
+    # A year of two digits is of the last century from 50 on.
+    day = r"^(\d{1,2}[ -][A-Za-z]{3}[ -])"
+    cut = F.regexp_replace(cut, day + r"([5-9]\d )", "$119$2")
+    cut = F.regexp_replace(cut, day + r"([0-4]\d )", "$120$2")
     return F.when(cut.rlike(r"[+-]\d{2}:?\d{2}$"), cut).otherwise(
         F.concat(cut, F.lit(" +0000"))
     )
@@ -25,7 +41,6 @@ def rfc822(text):
     return _parsed(
         _with_offset(text),
         "d MMM yyyy HH:mm:ss Z",
-        "d MMM yy HH:mm:ss Z",
         "d MMM yyyy HH:mm Z",
     )
 
@@ -51,8 +66,21 @@ def tweet_date(text):
 
 
 def mail_date(text):
-    """FN-17 (Q-16: the zone is honoured, not dropped)."""
-    return F.coalesce(rfc822(text), iso8601(text))
+    """FN-17 (Q-16: the zone is honoured, not dropped): mail-style and ISO dates, those
+    of RFC 850 and asctime, months in full, slashes, and days without a time."""
+    other = _parsed(
+        _with_offset(text),
+        "d-MMM-yyyy HH:mm:ss Z",
+        "MMM d HH:mm:ss yyyy Z",
+        "d MMMM yyyy HH:mm:ss Z",
+        "MMM d, yyyy HH:mm:ss Z",
+        "MMMM d, yyyy HH:mm:ss Z",
+        "d MMM yyyy Z",
+        "MMMM d, yyyy Z",
+        "yyyy/MM/dd HH:mm:ss Z",
+        "yyyy-MM-dd Z",
+    )
+    return F.coalesce(rfc822(text), iso8601(text), other)
 
 
 def _utc_clock(instant):

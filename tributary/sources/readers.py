@@ -94,8 +94,15 @@ def versions(spark, path):
 def latest_version(spark, path, before=None):
     """SRC-13: the newest snapshot of a versioned table, or the newest before a
     version; no file of another version is opened."""
-    newest = max(v for v in versions(spark, path) if before is None or v < before)
-    return spark.read.parquet(f"{path}/version={newest}")
+    found = [v for v in versions(spark, path) if before is None or v < before]
+    if not found:
+        raise FileNotFoundError(f"{path} has no finished version to read")
+    return spark.read.parquet(f"{path}/version={max(found)}")
+
+
+def expired_versions(spark, path, keep=2):
+    """SNK-5: directories of all but the newest ``keep`` snapshots, for the clean-up."""
+    return [f"{path}/version={v}" for v in versions(spark, path)[:-keep]]
 
 
 def broken(rows):

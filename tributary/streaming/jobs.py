@@ -267,13 +267,8 @@ def log_pushes(pushed, log, settings, as_of, checkpoint, every=None):
 
 def latest_common_version(spark, *paths):
     """The newest version that all of several tables have (see log_pushes)."""
-    common = None
-    for path in paths:
-        versions = spark.read.parquet(path).select("version").distinct()
-        common = (
-            versions if common is None else common.join(versions, "version", "left_semi")
-        )
-    return common.agg(F.max("version")).first()[0]
+    held = [set(readers.versions(spark, path)) for path in paths]
+    return max(set.intersection(*held), default=None)
 
 
 def keep_subscriptions(messages, current, table, checkpoint, every=None):
