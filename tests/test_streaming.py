@@ -140,7 +140,8 @@ def test_readers_and_short_domains(spark, tmp_path):
         "seq bigint, body string",
     ).write.parquet(str(tmp_path / "messages"))
     parsed = readers.fetch_responses(spark, str(tmp_path / "messages")).orderBy("seq")
-    assert [r["m"]["url"] for r in parsed.collect()] == ["u", None]
+    assert [r["url"] for r in parsed.select("m.url").collect()] == ["u", None]
+    assert [r["seq"] for r in readers.broken(parsed).collect()] == [2]
 
 
 def test_subscriptions_table_shape(spark):
