@@ -136,9 +136,12 @@ def test_collisions_show_in_the_residues():
         for n, places, keys in phrases._candidates(runs, [1, 2], {}):
             waiting.append((keys & np.uint64(3), runs.residues(places, n), runs.pointers[places]))
     made = phrases._added(waiting, {"en": 5}).to_pylist()
-    assert all(row["least"] < row["most"] for row in made[:4])
-    assert (made[4]["fp"], made[4]["lang"], made[4]["f"]) == (None, "en", 5)
     assert sum(row["f"] for row in made[:4]) == sum(occurrences(fixture(), [1, 2]).values())
+    assert (made[4]["fp"], made[4]["lang"], made[4]["f"]) == (None, "en", 5)
+    # No residue of a run is the mean where runs collided.
+    for row in made[:4]:
+        assert not any((k == row["fp"]).any() and (r[k == row["fp"]] * row["f"] == row["residues"]).any()
+                       for k, r, _ in [(k.view(np.int64), r.astype(np.int64), p) for k, r, p in waiting])
 
 
 @pytest.mark.parametrize("bound", [phrases.BOUND, 0])
@@ -149,19 +152,15 @@ def test_collided_runs_are_counted_by_text(spark, docs, bound):
     assert {(r.lang, r.n, r.phrase): r.f for r in rows.collect()} == wanted
 
 
-def test_pointers_give_their_runs():
-    rows = fixture()
-    for part in phrases._flat(batch()):
-        runs = phrases.Runs(*part)
-        texts = {phrases._text_hash((t or "").encode()): (t or "").encode() for t, _ in rows}
-        for n in (1, 3):
-            places = runs.places(n)[:500]
-            keys, residues = runs.hashes(places, n), runs.residues(places, n)
-            for i, key, residue in zip(places.tolist(), keys.view(np.int64).tolist(), residues.tolist()):
-                pointer = int(runs.pointers[i]) | n
-                text = texts[pointer >> 64 - phrases._HASH_BITS]
-                lang = runs.names[runs.codes[i]]
-                assert phrases._resolve(text, lang, pointer) == (n, runs.text(i, n), key, residue)
+def test_pointers_give_their_runs(docs):
+    docs = docs.fillna("und", "lang")
+    for bound in (phrases.BOUND, 0):
+        found = phrases._frequent(docs, [3], {}, 25).where("fp is not null")
+        texts = phrases._resolved(docs, found, bound).select("fp", "lang", "phrase", "residue").distinct()
+        rows = found.drop("lang").join(texts, "fp").collect()
+        assert all(r.residue * r.f == r.residues for r in rows)
+        wanted = {key: f for key, f in occurrences(fixture(), [3]).items() if f >= 25}
+        assert {(r.lang, 3, r.phrase): r.f for r in rows} == wanted
 
 
 def test_fingerprints_are_polynomials():

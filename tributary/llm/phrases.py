@@ -5,11 +5,11 @@ flat array of bytes; prefix polynomials modulo primes with bases drawn at random
 the fingerprint of every run of words by a subtraction (two primes), and a residue
 that is independent of it (a third one).  Tasks add up the fingerprints of about
 ``HELD`` runs before these are shuffled, so a very common run moves once per so many.
-With its number a fingerprint carries a pointer to one occurrence (a hash of the text,
-the place in it, the number of words) and the least and greatest residue of all its
-occurrences.  Only frequent runs are made texts, from their pointers, and the text must
-give fingerprint and residue again.  Where the residues of a fingerprint differ, two
-runs collided: those are looked up in all texts and counted by their bytes.
+With its number a fingerprint carries a pointer to a text that holds it (the least hash
+of all those texts) and the sum of the residues of its occurrences.  Only frequent runs
+are made texts, where their pointers lead, and a run's residue must then be the mean of
+all.  Where it is not, runs collided: they are looked up in all texts and counted by
+their bytes.
 
 A run is as frequent as its parts at most.  Words are counted first, then pairs of
 frequent words, then longer runs of frequent pairs.  Frequent fingerprints go back to
@@ -22,7 +22,6 @@ count each.  Empty tables give no rows.  A text without any mark is one piece, h
 long.  Ids and other columns are not looked at.
 """
 
-import re
 import zlib
 
 import numpy as np
@@ -39,7 +38,10 @@ MARKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 LONGEST, OFTEN, BEST = 5, 100, 2000
 
 #: Fingerprints that are broadcast at most (8 bytes each), and runs that a task adds up.
-BOUND, HELD = 4_000_000, 3_000_000
+BOUND, HELD = 4_000_000, 1_500_000
+
+#: Rows of an Arrow batch that goes back to Spark.
+ROWS = 50_000
 
 _MARK, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
 _MARK[list(MARKS)] = True
@@ -54,13 +56,13 @@ class _Polynomial:
     def __init__(self, prime, base):
         self.prime, self.base = prime, base
         self.inverse = pow(base, -1, prime)
-        self.up = self.down = np.ones(1, np.uint64)
+        self.up = self.down = np.ones(1, np.uint32)
 
     def _powers(self, base, n):
         made = np.ones(1, np.uint64)
         while len(made) < n:
             made = np.concatenate([made, made * np.uint64(pow(base, len(made), self.prime)) % np.uint64(self.prime)])
-        return made
+        return made[:n].astype(np.uint32)
 
     def runs(self, data, starts, ends):
         """Values of the runs of bytes from ``starts`` to ``ends``."""
@@ -84,44 +86,41 @@ _POLYNOMIALS = [
     _Polynomial(p, int(_RANDOM.integers(2**20, 2**30))) for p in (2**31 - 1, 2**31 - 19, 2**31 - 61)
 ]
 
-#: A pointer: bits of a text's hash, of the place in it, and of the number of words.
-_HASH_BITS, _WORD_BITS = 28, 3
-_HASH, _PLACE = (1 << _HASH_BITS) - 1, (1 << 64 - _HASH_BITS - _WORD_BITS) - 1
+#: Bits of a residue that are added up: sums of 2**42 of them fit in 64 bits.
+_RESIDUE = (1 << 21) - 1
 
 
-def _text_hash(data):
-    return zlib.crc32(data) & _HASH
+def _text_hashes(data, offsets):
+    return [zlib.crc32(data[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
 
 
 def _flat(batch):
-    """Slices of the batch's texts at marks: bytes, where texts end, their languages,
-    and what to add to a place in the slice for a pointer into the text."""
+    """Slices of the batch's texts at marks: bytes, where texts end, their languages and
+    their hashes."""
     data, offsets = words.utf8(batch.column("text"))
     langs = batch.column("lang").to_pylist()
     n = len(langs)
     if n == 0:
         return
-    hashes = [_text_hash(data[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
+    hashes = np.array(_text_hashes(data, offsets), np.int64)
     # A mark behind each text keeps its words from the next one's.
     at = offsets[1:]
     flat, ends = np.insert(_LOWER[data], at, MARKS[0]), at + np.arange(1, n + 1)
-    begins = offsets[:-1] + np.arange(n)
     marks = np.flatnonzero(_MARK[flat])
     names = sorted(set(langs))
     codes = np.array([names.index(x) for x in langs])
-    hashes = np.array(hashes, np.uint64) << np.uint64(64 - _HASH_BITS)
     first = 0
     while first < len(flat):
-        k = np.searchsorted(marks, first + words.SLICE)
+        k = np.searchsorted(marks, first + words.SLICE // 4)
         last = int(marks[min(k, len(marks) - 1)]) + 1
-        yield flat[first:last], ends - first, codes, names, hashes, begins - first
+        yield flat[first:last], ends - first, codes, names, hashes
         first = last
 
 
 class Runs:
     """Words of a slice in one array, one blank behind each, and their runs."""
 
-    def __init__(self, data, ends, codes, names, hashes=None, origins=None):
+    def __init__(self, data, ends, codes, names, hashes):
         inside = ~_BLANK[data]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
@@ -137,9 +136,7 @@ class Runs:
         piece = np.cumsum(_MARK[data])[starts]
         text = np.searchsorted(ends, starts, "right")
         self.codes, self.names = codes[text], names
-        if hashes is not None:
-            place = (starts - origins[text]).astype(np.uint64) & np.uint64(_PLACE)
-            self.pointers = hashes[text] | place << np.uint64(_WORD_BITS)
+        self.pointers = hashes[text]
         # How many words follow within the piece.
         last = np.searchsorted(piece, piece, "right") - 1
         self.room = last - np.arange(len(starts))
@@ -152,7 +149,8 @@ class Runs:
         return words.mix((a << np.uint64(31) | b) ^ salt[self.codes[at]])
 
     def residues(self, at, n):
-        return _POLYNOMIALS[2].runs(self.bytes, self.starts[at], self.ends[at + n - 1])
+        found = _POLYNOMIALS[2].runs(self.bytes, self.starts[at], self.ends[at + n - 1])
+        return (found & np.uint64(_RESIDUE)).astype(np.uint32)
 
     def places(self, n):
         return np.flatnonzero(self.room >= n - 1)
@@ -204,11 +202,11 @@ def _candidates(runs, lengths, known):
             yield n, places, runs.hashes(places, n)
 
 
-_COUNTS = "fp bigint, lang string, f bigint, least bigint, most bigint, pointer bigint"
+_COUNTS = "fp bigint, lang string, f bigint, residues bigint, pointer bigint"
 
 
 def _added(waiting, total):
-    """Numbers, residues and a pointer of each fingerprint; words of each language."""
+    """Number, sum of residues and pointer of each fingerprint; words of each language."""
     keys, residues, pointers = (np.concatenate(column) for column in zip(*waiting))
     order = np.argsort(keys)
     keys, residues, pointers = keys[order], residues[order].astype(np.int64), pointers[order]
@@ -216,15 +214,18 @@ def _added(waiting, total):
     numbers = np.diff(np.append(heads, len(keys)))
     columns = [keys[heads].view(np.int64), numbers]
     if len(heads):
-        columns += [np.minimum.reduceat(residues, heads), np.maximum.reduceat(residues, heads)]
+        columns += [np.add.reduceat(residues, heads), np.minimum.reduceat(pointers, heads)]
     else:
         columns += [heads, heads]
-    columns.append(pointers[heads].view(np.int64))
     extra = len(total)
     made = [pa.concat_arrays([pa.array(c, pa.int64()), pa.nulls(extra, pa.int64())]) for c in columns]
     made[1] = pa.array([*numbers.tolist(), *total.values()], pa.int64())
     made.insert(1, pa.array([None] * len(heads) + list(total), pa.string()))
-    return pa.RecordBatch.from_arrays(made, ["fp", "lang", "f", "least", "most", "pointer"])
+    return pa.RecordBatch.from_arrays(made, ["fp", "lang", "f", "residues", "pointer"])
+
+
+def _sliced(batch):
+    return (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS))
 
 
 def _frequent(docs, lengths, known, often):
@@ -241,20 +242,18 @@ def _frequent(docs, lengths, known, often):
                         name = runs.names[code]
                         total[name] = total.get(name, 0) + int(f)
                 for n, places, keys in _candidates(runs, lengths, held.value):
-                    pointers = runs.pointers[places] | np.uint64(n)
-                    waiting.append((keys, runs.residues(places, n), pointers))
+                    waiting.append((keys, runs.residues(places, n), runs.pointers[places]))
                     size += len(keys)
                 if size >= HELD:
-                    yield _added(waiting, {})
+                    yield from _sliced(_added(waiting, {}))
                     waiting, size = [], 0
         if waiting:
-            yield _added(waiting, total)
+            yield from _sliced(_added(waiting, total))
 
     rows = docs.mapInArrow(count, _COUNTS).groupBy("fp", "lang")
     rows = rows.agg(
-        F.sum("f").alias("f"), F.min("least").alias("least"), F.max("most").alias("most"),
-        F.min("pointer").alias("pointer"),
-    )
+        F.sum("f").alias("f"), F.sum("residues").alias("residues"), F.min("pointer").alias("pointer")
+    )
     wanted = (F.col("f") >= often) | (F.col("fp").isNull() & (F.col("f") > 0))
     return tables.written(rows.where(wanted), "phrases-frequent")
 
@@ -269,78 +268,62 @@ def _collected(frequent, bound):
     return None if frequent.count() > bound else _keys(frequent)
 
 
-_WORD = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+")
-
-
-def _resolve(text, lang, pointer):
-    """The run that a pointer means in ``text``, with its fingerprint and residue."""
-    pointer = int(pointer) & (1 << 64) - 1
-    place, n = pointer >> _WORD_BITS & _PLACE, pointer & (1 << _WORD_BITS) - 1
-    found = []
-    for match in _WORD.finditer(text, place):
-        found.append(match.group())
-        if len(found) == n:
-            break
-    run = b" ".join(found).translate(_LOWER.tobytes())
-    if len(found) < n:
-        return None
-    data, end = np.frombuffer(run + b" ", np.uint8), np.array([len(run)])
-    start = np.zeros(1, np.int64)
-    a, b, residue = (p.runs(data, start, end) for p in _POLYNOMIALS)
-    key = words.mix((a << np.uint64(31) | b) ^ np.uint64(hash_of(lang)))
-    return n, run, int(key.view(np.int64)[0]), int(residue[0])
-
-
-_RESOLVED = "fp bigint, lang string, n int, phrase string, residue bigint"
-
-
-def _resolved(docs, pointers, bound):
-    """(fp, lang, n, phrase): the texts of (fp, pointer) rows."""
-
-    def rows_of(texts):
-        rows = []
-        for text, lang, asked in texts:
-            for pointer in asked:
-                run = _resolve(text, lang, pointer)
-                if run:
-                    rows.append((run[2], lang, run[0], run[1], run[3]))
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int64()]
-        columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-        columns[3] = columns[3].cast(pa.string())
-        return pa.RecordBatch.from_arrays(columns, ["fp", "lang", "n", "phrase", "residue"])
-
-    if pointers.count() <= bound:
-        found = np.sort(pointers.toArrow().column("pointer").to_numpy().view(np.uint64))
-        held = docs.sparkSession.sparkContext.broadcast(found)
+_RESOLVED = "fp bigint, pointer bigint, lang string, n int, phrase string, residue bigint"
+
+
+def _runs_of(batch, wanted):
+    """The runs of texts whose (fingerprint, pointer) ``wanted`` holds, each once a slice."""
+    for part in _flat(batch):
+        runs = Runs(*part)
+        for n, places, keys in _candidates(runs, range(1, LONGEST + 1), {}):
+            found = wanted(keys, runs.pointers[places])
+            _, first = np.unique(keys[found], return_index=True)
+            places, keys = places[found][first], keys[found][first]
+            texts = [runs.text(i, n) for i in places.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(runs.pointers[places]),
+                 pa.array([runs.names[c] for c in runs.codes[places].tolist()], pa.string()),
+                 pa.array(np.full(len(keys), n, np.int32)), pa.array(texts, pa.binary()).cast(pa.string()),
+                 pa.array(runs.residues(places, n).astype(np.int64))],
+                [f.split()[0] for f in _RESOLVED.split(", ")],
+            )
+
+
+def _resolved(docs, frequent, bound):
+    """(fp, pointer, lang, n, phrase, residue): runs in the texts that pointers lead to."""
+    if frequent.count() <= bound:
+        table = frequent.select("fp", "pointer").toArrow()
+        keys = table.column("fp").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        known = keys[order], table.column("pointer").to_numpy()[order]
+        held = docs.sparkSession.sparkContext.broadcast(known)
+
+        def wanted(keys, pointers):
+            sorted_, places = held.value
+            at = np.minimum(np.searchsorted(sorted_, keys), len(sorted_) - 1)
+            return (sorted_[at] == keys) & (places[at] == pointers)
 
         def look(batches):
-            places = held.value
-            hashes = (places >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+            hashes = np.unique(held.value[1])
             for batch in batches:
-                data, offsets = words.utf8(batch.column("text"))
-                own = [_text_hash(data[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
-                first, last = np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right")
-                langs = batch.column("lang")
-                yield rows_of(
-                    (data[offsets[k] : offsets[k + 1]].tobytes(), langs[k].as_py(), places[first[k] : last[k]])
-                    for k in np.flatnonzero(last > first).tolist()
-                )
-
-        made = docs.mapInArrow(look, _RESOLVED)
-    else:
-        shift = 64 - _HASH_BITS
-        asked = pointers.select("pointer", F.shiftrightunsigned("pointer", shift).alias("h"))
-        named = docs.withColumn("h", F.crc32(F.col("text")).bitwiseAND(_HASH))
-        # Only the texts that pointers may mean move, and a hash may be that of several.
-        joined = scale.skew_join(named, asked, "h", spread_by=["text"], small=False)
+                own = np.array(_text_hashes(*words.utf8(batch.column("text"))), np.int64)
+                some = np.flatnonzero(np.isin(own, hashes))
+                if len(some):
+                    yield from _runs_of(batch.take(pa.array(some)), wanted)
 
-        def look(batches):
-            for batch in batches:
-                columns = (batch.column(c).to_pylist() for c in ("text", "lang", "pointer"))
-                yield rows_of((t.encode(), lang, [p]) for t, lang, p in zip(*columns))
+        return docs.mapInArrow(look, _RESOLVED)
+
+    def every(batches):
+        for batch in batches:
+            # One text at a time, as each has its own pointer.
+            for i in range(batch.num_rows):
+                yield from _runs_of(batch.slice(i, 1), lambda keys, _: np.ones(len(keys), bool))
 
-        made = joined.select("text", "lang", "pointer").mapInArrow(look, _RESOLVED)
-    return made
+    # Only texts that pointers lead to are read again; none of them moves.
+    places = frequent.select(F.col("pointer").alias("h")).distinct()
+    named = docs.withColumn("h", F.crc32(F.coalesce("text", F.lit(""))))
+    runs = named.join(scale.broadcast_if_small(places), "h", "left_semi").drop("h").mapInArrow(every, _RESOLVED)
+    return runs.join(frequent.select("fp", "pointer"), ["fp", "pointer"], "left_semi")
 
 
 _TEXTS = "lang string, n int, phrase string, f bigint, fp bigint"
@@ -422,14 +405,14 @@ def frequent(docs, often=OFTEN, bound=BOUND):
     every = found[0].unionByName(found[1]).unionByName(found[2])
     total = every.where("fp is null").select("lang", F.lit(0).alias("n"), F.lit("").alias("phrase"), "f")
     runs = every.where("fp is not null").drop("lang")
-    alone = runs.where("least = most")
-    texts = _resolved(docs, alone.select("pointer"), bound)
-    # Texts that occur twice resolve a pointer twice, to one and the same run.
-    texts = texts.groupBy("fp", "residue").agg(F.first(F.struct("lang", "n", "phrase")).alias("run"))
-    right = (F.col("fp") == F.col("key")) & (F.col("residue") == F.col("least"))
-    alone = alone.withColumnRenamed("fp", "key").join(texts, right).select("run.*", "f")
-    counted = total.unionByName(alone)
-    collided = tables.written(runs.where("least <> most").select("fp"), "phrases-collided")
+    # Equal texts, and slices of one, give a run more than once.
+    texts = _resolved(docs, runs, bound).drop("pointer").distinct()
+    named = runs.withColumnRenamed("fp", "key").join(texts, F.col("fp") == F.col("key"))
+    # Several runs of one fingerprint in the text are told by the mean, too.
+    named = named.withColumn("alone", F.col("residue") * F.col("f") == F.col("residues"))
+    named = tables.written(named, "phrases-named")
+    counted = total.unionByName(named.where("alone").select("lang", "n", "phrase", "f"))
+    collided = tables.written(named.where("not alone").select("fp").distinct(), "phrases-collided")
     if not collided.isEmpty():
         counted = counted.unionByName(_recounted(docs, known, collided, often, bound))
     return tables.written(counted, "phrases")
