@@ -54,9 +54,10 @@ def op5_personal_data(spark, sf_dir):
     docs = tables.documents(tables.read(spark, sf_dir, "documents"))
     held = pii.found(docs).select("doc_id", "pii")
     base = F.filter("pii", lambda s: s.rank < len(pii.BASE))
+    # A second parameter of the function would be the element's index.
     counts = (
-        F.size(F.filter("pii", lambda s, k=k: s.rank == k)).cast("bigint").alias(f"n_{name}")
-        for k, name in enumerate(pii.BASE)
+        F.size(F.filter("pii", lambda s: s.kind == name)).cast("bigint").alias(f"n_{name}")
+        for name in pii.BASE
     )
     return held.select(
         "doc_id",
