@@ -22,6 +22,7 @@ count each.  Empty tables give no rows.  A text without any mark is one piece, h
 long.  Ids and other columns are not looked at.
 """
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -161,8 +162,7 @@ class Runs:
 
 def hash_of(name):
     """A number for a language."""
-    raw = np.frombuffer(name.encode(), np.uint8)
-    return int(words.mix(np.array([sum(int(b) * 257**i for i, b in enumerate(raw)) % 2**63], np.uint64))[0])
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little")
 
 
 def _among(values, sorted_keys):
@@ -207,6 +207,8 @@ _COUNTS = "fp bigint, lang string, f bigint, residues bigint, pointer bigint"
 
 def _added(waiting, total):
     """Number, sum of residues and pointer of each fingerprint; words of each language."""
+    # What was found last may have been sent already; the numbers of words are sent still.
+    waiting = waiting or [(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64))]
     keys, residues, pointers = (np.concatenate(column) for column in zip(*waiting))
     order = np.argsort(keys)
     keys, residues, pointers = keys[order], residues[order].astype(np.int64), pointers[order]
@@ -247,7 +249,7 @@ def _frequent(docs, lengths, known, often):
                 if size >= HELD:
                     yield from _sliced(_added(waiting, {}))
                     waiting, size = [], 0
-        if waiting:
+        if waiting or total:
             yield from _sliced(_added(waiting, total))
 
     rows = docs.mapInArrow(count, _COUNTS).groupBy("fp", "lang")
