@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from tributary.functions import dates, text
 from tributary.operators import scale
 
+#: Messages that a task parses at a time.
+SLICE = 256
+
 PARSED = (
     "content string, subject string, date string, error string, "
     "attachments array<struct<pos:int,sha256:string,content_type:string,"
@@ -81,18 +84,22 @@ def parse(mails):
     kept = [f for f in source.schema.fields if f.name != "data"]
     out = T.StructType(kept + T._parse_datatype_string(PARSED).fields)
 
-    def parse_batches(batches):
-        for batch in batches:
+    return source.mapInPandas(_parsed_batches, out)
+
+
+def _parsed_batches(batches):
+    """Batches with their messages parsed, ``SLICE`` rows at a time, so that the parsed
+    texts and attachments of a whole batch are never held together."""
+    for whole in batches:
+        for first in range(0, len(whole), SLICE):
+            batch = whole.iloc[first : first + SLICE].copy()
             parsed = [_parse_one(raw) for raw in batch.pop("data")]
-            columns = list(zip(*parsed)) or [()] * 5
             for name, values in zip(
-                ("content", "subject", "date", "error", "attachments"), columns
+                ("content", "subject", "date", "error", "attachments"), zip(*parsed)
             ):
                 batch[name] = pd.Series(list(values), index=batch.index, dtype=object)
             yield batch
 
-    return source.mapInPandas(parse_batches, out)
-
 
 def _parse_one(raw):
     if raw is None:
