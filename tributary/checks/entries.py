@@ -403,19 +403,24 @@ def feed_routes(spark, sf_dir):
     )
 
 
+def _lists_as_text(parts):
+    """The lists of each URL as text, made once and not once per drop."""
+    return parts.withColumns({c: csv(c) for c in ("river_ids", "channel_ids")})
+
+
 def _replay(spark, sf_dir):
     messages = inputs.control_messages(spark, sf_dir)
     changes = events.subscription_changes(events.channel_changes(messages, "rss"))
     added = changes.where(F.col("op") == "add")
     jobs = schedule.replay_jobs(state(spark, sf_dir), added)
-    subs = registry.subscriber_parts(_subscriptions(spark, sf_dir))
+    subs = _lists_as_text(registry.subscriber_parts(_subscriptions(spark, sf_dir)))
     return feeds.serve_from_cache(jobs, inputs.cache(spark, sf_dir), subs)
 
 
 def _served(served):
     return served.select(
         "id", "part", "droplet_orig_id", F.md5("droplet_raw").alias("raw_md5"),
-        csv("river_id").alias("rivers"), csv("channel_ids").alias("channels"),
+        F.col("river_id").alias("rivers"), F.col("channel_ids").alias("channels"),
     )
 
 
@@ -435,7 +440,7 @@ def cache_serve_pruned(spark, sf_dir):
     messages = inputs.control_messages(spark, sf_dir)
     changes = events.subscription_changes(events.channel_changes(messages, "rss"))
     jobs = schedule.replay_jobs(state(spark, sf_dir), changes.where(F.col("op") == "add"))
-    subs = registry.subscriber_parts(_subscriptions(spark, sf_dir))
+    subs = _lists_as_text(registry.subscriber_parts(_subscriptions(spark, sf_dir)))
     served, _ = rss.serve(staging.written(jobs, "replay"), _bucketed_cache(spark, sf_dir), subs)
     return _served(served)
 

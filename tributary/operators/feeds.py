@@ -237,13 +237,15 @@ def split_jobs(jobs, cache):
 def serve_from_cache(jobs, cache, subscriber_parts):
     """JOIN-5/6, PRJ-7: (stamped drops of the jobs the cache serves, other jobs).
 
-    ``cache`` is (id, url, date_pub, drop); a hot URL of it is spread.
+    ``cache`` is (id, url, date_pub, drop); a hot URL of it is spread.  Drops of a URL
+    share its lists and come out together if these are long; lists may also be given
+    as text.
     """
     asked = jobs.where(F.col("use_cache")).select("url").distinct()
     targets = asked.join(subscriber_parts, "url").select(
         "url", "part", F.col("river_ids").alias("_rivers"), "channel_ids"
     )
-    served = scale.skew_join(cache, targets, "url", spread_by=["id"])
+    served = scale.beside_lists(cache, targets, "url", spread_by=["id"])
     restamped = F.col("drop").dropFields("river_id", "channel_ids")
     served = served.select(
         "id", "part", restamped.alias("drop"), "_rivers", "channel_ids"

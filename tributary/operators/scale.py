@@ -18,6 +18,11 @@ TASK_ROWS = 1_000_000
 #: About how many ids one array of an output row may hold.
 PART_SPAN = 10_000
 
+#: Bytes of lists that a file holds once each in whatever order its rows come, and
+#: rows that stand behind one copy of a list beyond that.
+LIST_BYTES = 1 << 20
+LIST_ROWS = 16_384
+
 
 def _row_bytes(schema):
     """About how many bytes a row takes."""
@@ -113,6 +118,26 @@ def skew_join(
     return joined.drop("_salt")
 
 
+def beside_lists(rows, lists, key, spread_by):
+    """Equi-join of ``rows`` with ``lists``, wide rows that many rows share.
+
+    Lists that are few bytes all together are broadcast.  Otherwise rows of one
+    list come out one behind the other, so that a file that keeps equal values
+    once (Parquet) holds a list once and not once per row: the lists lead the merge,
+    and a list with very many rows is repeated for each ``LIST_ROWS`` of them.
+    """
+    if is_small(lists, max_bytes=LIST_BYTES):
+        return rows.join(F.broadcast(lists), key)
+    parts = F.ceil(F.col("_rows") / LIST_ROWS).cast("bigint")
+    hot = F.broadcast(hot_keys(rows, key, LIST_ROWS, "_rows").select(key, parts.alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+    salt = F.pmod(F.xxhash64(*spread_by), parts)
+    spread_rows = rows.join(hot, key, "left").withColumn("_salt", salt).drop("_parts")
+    copies = F.sequence(F.lit(0).cast("bigint"), parts - 1)
+    spread_lists = lists.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_parts")
+    return spread_lists.join(spread_rows.hint("merge"), [key, "_salt"]).drop("_salt")
+
+
 def with_part(df, key, id_column, size=None, most=PART_SPAN):
     """``df`` with ``part``, so that arrays collected per (key, part) are bounded.
 
