@@ -39,7 +39,7 @@ MARKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 LONGEST, OFTEN, BEST = 5, 100, 2000
 
 #: Fingerprints that are broadcast at most (8 bytes each), and runs that a task adds up.
-BOUND, HELD = 4_000_000, 1_500_000
+BOUND, HELD = 4_000_000, 1_000_000
 
 #: Rows of an Arrow batch that goes back to Spark.
 ROWS = 50_000
@@ -100,9 +100,13 @@ def _flat(batch):
     their hashes."""
     data, offsets = words.utf8(batch.column("text"))
     langs = batch.column("lang").to_pylist()
+    # Few texts at a time, as all that is made of their bytes is several times as large.
+    for i, j in words.slices(offsets):
+        yield from _marked(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], langs[i:j])
+
+
+def _marked(data, offsets, langs):
     n = len(langs)
-    if n == 0:
-        return
     hashes = np.array(_text_hashes(data, offsets), np.int64)
     # A mark behind each text keeps its words from the next one's.
     at = offsets[1:]
