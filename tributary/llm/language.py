@@ -28,7 +28,6 @@ each.  An empty table gives no rows; without any labels all rows are undetermine
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -42,6 +41,8 @@ ACCEPT = 0.5
 LEVELS, LOW, ENOUGH = (32, 64, 128, 256, 510), 0.001, 50
 #: Texts that a prior counts for, of a host towards its suffix and so on.
 PULL = 5.0
+#: Bytes of text whose trigrams are looked up at a time: a row of numbers for each.
+SLICE = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -65,10 +66,14 @@ class Model:
         whether the text fits."""
         data, offsets = words.utf8(column)
         made, n = [], np.maximum(np.diff(offsets) - 2, 0)
-        for i, j in words.slices(offsets):
+        for i, j in words.slices(offsets, SLICE):
             text, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             sums = np.zeros((j - i, self.table.shape[1]))
-            if len(text) > 2:
+            if len(text) > 2 * SLICE:
+                # One long text.  Sums of single-precision numbers are exact in any parts.
+                for k in range(0, len(text) - 2, SLICE):
+                    sums[0] += self.table[_grams(text[k : k + SLICE + 2])].sum(axis=0, dtype=np.float64)
+            elif len(text) > 2:
                 total = np.cumsum(self.table[_grams(text)], axis=0, dtype=np.float64)
                 total = np.vstack([np.zeros(total.shape[1]), total])
                 last = np.maximum(at[1:] - 2, at[:-1])
@@ -153,11 +158,12 @@ def posterior(rows, model, mixed=True):
     k = len(model.names)
     held = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("t array<double>, fits array<boolean>")
-    def likelihoods(text: pd.Series) -> pd.DataFrame:
-        found = held.value.likelihoods(pa.array(text, pa.string(), from_pandas=True), mixed)
-        columns = {c: pd.Series(list(x), index=text.index, dtype=object) for c, x in zip(("t", "fits"), found)}
-        return pd.DataFrame(columns)
+    @F.arrow_udf("t array<double>, fits array<boolean>")
+    def likelihoods(text: pa.Array) -> pa.Array:
+        found = held.value.likelihoods(text, mixed)
+        ends = pa.array(np.arange(len(text) + 1) * k, pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in found]
+        return pa.StructArray.from_arrays(lists, ["t", "fits"])
 
     seen = rows.withColumn("evidence", likelihoods("text")).drop("text")
     seen = seen.withColumns({c: F.col(f"evidence.{c}") for c in ("t", "fits")}).drop("evidence")
