@@ -12,8 +12,11 @@ of ``TREES`` trees sorts all nodes by a string of minima of its own.
    regions of a common prefix, signature by signature; a crowded region is dealt in
    pairs of blocks of ``CROWD`` nodes.  Twice each node proposes only the likeliest
    node of another component, which joins large families with few comparisons of
-   sets; then all pairs of different components that are left are candidates, and
-   nothing is cut off.  Signatures rule out what is far from similar.
+   sets.  Then the sets of the nodes that still have a candidate in another component
+   come together by region, and all their pairs are confirmed there: pairs are no rows,
+   each is looked at in the first tree that has it, and a task gives only links that
+   join components it has not joined yet.  Nothing is cut off.  Signatures rule out
+   what is far from similar.
 
 Candidates are confirmed on full sets.  Links make components by the alternating
 star method, on tables.  A pair of similarity 0.75 misses all regions with
@@ -41,6 +44,8 @@ TREES, DEPTH, OWN = 32, 3, 4
 HASHES = TREES * OWN
 FLOOR = 0.55
 CROWD = 2048
+#: Shingles that weigh as one node in a block.
+LOAD = 512
 
 _RANDOM = np.random.default_rng(75)
 _A = _RANDOM.integers(1, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -91,17 +96,28 @@ def features(docs):
     )
 
 
+def _minima(column):
+    """The signatures of an Arrow column, one row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+
+
+def _prefixes(minima):
+    """The region of each node (row) in each tree (column)."""
+    trees = np.arange(TREES)
+    region = np.zeros((len(minima), TREES), np.uint64) + trees.astype(np.uint64)
+    for d in range(DEPTH):
+        region = words.mix(region * words._ORDER[0] + minima[:, trees * OWN + d])
+    return region
+
+
 def forest(nodes):
     """One row per node and tree: its region, and the order within the region."""
 
     def planted(batches):
         trees = np.arange(TREES)
         for batch in batches:
-            raw = b"".join(batch.column("signature").to_pylist())
-            minima = np.frombuffer(raw, np.uint32).reshape(-1, HASHES).astype(np.uint64)
-            region = np.zeros((len(minima), TREES), np.uint64) + trees.astype(np.uint64)
-            for d in range(DEPTH):
-                region = words.mix(region * words._ORDER[0] + minima[:, trees * OWN + d])
+            minima = _minima(batch.column("signature")).astype(np.uint64)
+            region = _prefixes(minima)
             # Deeper minima: the tree's last one, and one of the next tree.
             later = minima[:, trees * OWN + DEPTH] << np.uint64(32)
             later |= minima[:, (trees * OWN + OWN) % HASHES]
@@ -135,9 +151,8 @@ def neighbours(rows):
     ).distinct()
 
 
-def confirmed(pairs, nodes, texts, percent=75):
-    """The pairs (a, b) of which ``percent`` of the union is common to both sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _held(ids, nodes, texts):
+    """The sets of the nodes ``ids``: id, size, held (sorted shingles of 8 bytes)."""
     ids = nodes.join(ids, "id", "left_semi").select(F.col("id").alias("doc_id"), "set_hash")
 
     def sets(batches):
@@ -146,17 +161,24 @@ def confirmed(pairs, nodes, texts, percent=75):
             sums = batch.column("set_hash").to_pylist()
             # Of several rows with an id, that which stands for it.
             good = pa.array([hashlib.md5(x).hexdigest() == y for x, y in zip(held, sums)], pa.bool_())
-            columns = [batch.column("doc_id"), pa.array(held, pa.binary())]
-            yield pa.RecordBatch.from_arrays([c.filter(good) for c in columns], ["id", "held"])
+            sizes = pa.array([len(x) // 8 for x in held], pa.int64())
+            columns = [batch.column("doc_id"), sizes, pa.array(held, pa.binary())]
+            yield pa.RecordBatch.from_arrays([c.filter(good) for c in columns], ["id", "size", "held"])
 
-    held = tables.written(
+    return tables.written(
         texts.join(ids, "doc_id")
         .select("doc_id", "text", "set_hash")
-        .mapInArrow(sets, "id bigint, held binary")
+        .mapInArrow(sets, "id bigint, size bigint, held binary")
         .dropDuplicates(["id"]),
         "dedup-sets",
     )
 
+
+def confirmed(pairs, nodes, texts, percent=75):
+    """The pairs (a, b) of which ``percent`` of the union is common to both sets."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    held = _held(ids, nodes, texts)
+
     def compare(batches):
         for batch in batches:
             good = []
@@ -204,24 +226,29 @@ def components(links):
     return edges.groupBy(F.col("v").alias("id")).agg(F.min("m").alias("component"))
 
 
-def _regions(rows, nodes, labels, best):
-    """Candidates (a, b) of different components in each region that has several:
-    all of them, or with ``best`` the likeliest one of each node."""
-    placed = rows.join(labels, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
+def _placed(rows, labels):
+    """The rows of a forest with the component of each node."""
+    return rows.join(labels, "id", "left").select(
+        "region", "id", F.coalesce("component", "id").alias("component")
     )
-    mixed = placed.groupBy("region").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")
+
+
+def _dealt(members, nodes):
+    """``members`` (region, id, component, load) of the regions that have several
+    components, with their signatures, once per task (region, lower, upper) that
+    compares a block with another one or with itself."""
+    mixed = members.groupBy("region").agg(
+        F.sum("load").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")
     )
     mixed = mixed.where("x <> y").select(
         "region", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks")
     )
-    members = placed.join(mixed, "region")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # Each block meets each other, and itself, in a task of their own.
     met = F.sequence(F.lit(0), F.col("blocks") - 1)
-    members = (
-        members.withColumn("block", block)
+    return (
+        members.join(mixed, "region")
+        .withColumn("block", block)
         .withColumn("met", F.explode(met))
         .select(
             "region", "id", "component", "block",
@@ -230,47 +257,126 @@ def _regions(rows, nodes, labels, best):
         .join(nodes.select("id", "signature"), "id")
     )
 
+
+_TASK = ["region", "lower", "upper"]
+
+
+def _mates(table):
+    """For the nodes of one task two functions of a node's place and the components of
+    all: which nodes after it, of other components, signatures leave as candidates."""
+    block, minima = table.column("block").to_numpy(), _minima(table.column("signature"))
+    alone = table.column("lower")[0].as_py() == table.column("upper")[0].as_py()
+
+    def of(i, part):
+        other = part[i + 1 :] != part[i]
+        if not alone:
+            other &= block[i + 1 :] != block[i]
+        j = np.flatnonzero(other) + i + 1
+        same = (minima[j] == minima[i]).sum(axis=1)
+        return j[same >= FLOOR * HASHES], same[same >= FLOOR * HASHES]
+
+    tree = _prefixes(minima[:1].astype(np.uint64))[0].view(np.int64)
+    tree = int(np.flatnonzero(tree == table.column("region")[0].as_py())[0])
+
+    def first(i, part):
+        """Those that meet ``i`` in no tree before this one, likeliest first."""
+        j, same = of(i, part)
+        met = (minima[j] == minima[i]).reshape(-1, TREES, OWN)[:, :, :DEPTH].all(axis=2)
+        here = met.argmax(axis=1) == tree
+        return j[here][np.argsort(-same[here], kind="stable")]
+
+    return of, first
+
+
+def _by_id(table):
+    return table.take(pc.sort_indices(table, [("id", "ascending")]))
+
+
+def _likeliest(rows, nodes, labels):
+    """Candidates (a, b): each node with the likeliest one of another component."""
+    members = _dealt(_placed(rows, labels).withColumn("load", F.lit(1)), nodes)
+
     def compare(table):
-        order = pc.sort_indices(table, [("id", "ascending")])
-        table = table.take(order)
-        ids = table.column("id").to_numpy()
-        part, lower = table.column("component").to_numpy(), table.column("lower")[0].as_py()
-        upper = table.column("upper")[0].as_py()
-        block = table.column("block").to_numpy()
-        minima = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32)
-        minima = minima.reshape(-1, HASHES)
-        found = [[], [], []]
+        table = _by_id(table)
+        ids, part = (table.column(c).to_numpy() for c in ("id", "component"))
+        of, _ = _mates(table)
         mate, top = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         for i in range(len(ids) - 1):
-            other = part[i + 1 :] != part[i]
-            if lower != upper:
-                other &= block[i + 1 :] != block[i]
-            j = np.flatnonzero(other) + i + 1
+            j, same = of(i, part)
             if not len(j):
                 continue
-            same = (minima[j] == minima[i]).sum(axis=1)
-            j, same = j[same >= FLOOR * HASHES], same[same >= FLOOR * HASHES]
-            if not best:
-                for column, values in zip(found, ([ids[i]] * len(j), ids[j].tolist(), same.tolist())):
-                    column += values
-            elif len(j):
-                more = same > top[j]
-                mate[j[more]], top[j[more]] = ids[i], same[more]
-                k = same.argmax()
-                if same[k] > top[i]:
-                    mate[i], top[i] = ids[j[k]], same[k]
-        if best:
-            some = top > 0
-            found = [ids[some], mate[some], top[some]]
+            more = same > top[j]
+            mate[j[more]], top[j[more]] = ids[i], same[more]
+            k = same.argmax()
+            if same[k] > top[i]:
+                mate[i], top[i] = ids[j[k]], same[k]
+        found = [x[top > 0] for x in (ids, mate, top)]
         return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("x", "y", "same"), found)})
 
-    keys = ["region", "lower", "upper"]
-    met = members.groupBy(*keys).applyInArrow(compare, "x bigint, y bigint, same bigint")
-    if best:
-        met = met.groupBy("x").agg(F.max_by("y", F.struct("same", -F.col("y"))).alias("y"))
+    met = members.groupBy(*_TASK).applyInArrow(compare, "x bigint, y bigint, same bigint")
+    met = met.groupBy("x").agg(F.max_by("y", F.struct("same", -F.col("y"))).alias("y"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _undecided(rows, nodes, labels):
+    """The rows (region, id, component) of nodes that have a candidate of another
+    component in a region, in the first tree in which both meet."""
+    members = _dealt(_placed(rows, labels).withColumn("load", F.lit(1)), nodes)
+
+    def marked(table):
+        table = _by_id(table)
+        part = table.column("component").to_numpy()
+        _, first = _mates(table)
+        some = np.zeros(len(part), bool)
+        for i in range(len(part) - 1):
+            j = first(i, part)
+            some[j] = True
+            some[i] |= len(j) > 0
+        return table.select(["region", "id", "component"]).filter(pa.array(some))
+
+    met = members.groupBy(*_TASK).applyInArrow(marked, "region bigint, id bigint, component bigint")
+    return met.distinct()
+
+
+def _links(members, nodes, texts, percent):
+    """Links (a, b) between components among all pairs of ``members`` (region, id,
+    component): of each task as many as join what its pairs of ``percent`` join."""
+    held = _held(members.select("id").distinct(), nodes, texts)
+    load = F.greatest(F.lit(1), F.ceil(F.col("size") / LOAD))
+    members = members.join(held.select("id", "size"), "id").withColumn("load", load)
+    members = _dealt(members, nodes).join(held, "id")
+
+    def linked(table):
+        table = _by_id(table)
+        ids, size = (table.column(c).to_numpy() for c in ("id", "size"))
+        part = table.column("component").to_numpy().copy()
+        _, first = _mates(table)
+        shingles = np.frombuffer(b"".join(table.column("held").to_pylist()), np.uint64)
+        known, shingles = np.unique(shingles, return_inverse=True)
+        ends = np.cumsum(size)
+        own = np.zeros(len(known), bool)
+        found = [[], []]
+        for i in range(len(ids) - 1):
+            j = first(i, part)
+            less, more = np.minimum(size[j], size[i]), np.maximum(size[j], size[i])
+            j = j[100 * less >= percent * more]
+            if not len(j):
+                continue
+            own[shingles[ends[i] - size[i] : ends[i]]] = True
+            for k in j.tolist():
+                if part[k] == part[i]:
+                    continue
+                common = np.count_nonzero(own[shingles[ends[k] - size[k] : ends[k]]])
+                if 100 * common >= percent * (size[i] + size[k] - common):
+                    part[part == part[k]] = part[i]
+                    found[0].append(ids[i])
+                    found[1].append(ids[k])
+            own[shingles[ends[i] - size[i] : ends[i]]] = False
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("a", "b"), found)})
+
+    return members.groupBy(*_TASK).applyInArrow(linked, "a bigint, b bigint")
+
+
 def _joined(labels, links):
     """``labels`` (id, component) after ``links`` between nodes: components of
     components, so that a family joined before counts as one node."""
@@ -305,11 +411,11 @@ def near_duplicates(docs, percent=75):
 
     links = tables.written(confirmed(neighbours(rows), nodes, texts, percent), "dedup-links")
     labels = tables.written(components(links), "dedup-labels")
-    for best in (True, True, False):
-        rest = tables.written(_regions(rows, nodes, labels, best), "dedup-candidates")
+    for step in (_likeliest, _likeliest, _undecided):
+        rest = tables.written(step(rows, nodes, labels), "dedup-candidates")
         if rest.isEmpty():
             break
-        more = confirmed(rest, nodes, texts, percent)
+        more = (_links if step is _undecided else confirmed)(rest, nodes, texts, percent)
         labels = tables.written(_joined(labels, more), "dedup-labels")
     named = nodes.select("set_hash", "id").join(labels, "id", "left").select(
         "set_hash", F.coalesce("component", "id").alias("component_id")
