@@ -3,6 +3,7 @@
 Each stage takes what its predecessor kept, written as Parquet and read again.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tributary.llm import dedup, language, packing, pii, quality, queries, tables
@@ -19,14 +20,38 @@ def language_id(spark, docs, sf_dir):
     return language.accepted_only(docs, language.fit(docs.select("doc_id", "text", "lang")))
 
 
+def numbered(spark, docs, row):
+    """``docs`` with a number in column ``row``, the same ones in each reading.
+
+    Rows of stored Parquet have a place in their file, so their texts are not
+    written once more; others are.
+    """
+    file, at = tables.fresh(docs, "file_", "at_")
+    try:
+        placed = docs.select(
+            "*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at)
+        )
+    except AnalysisException:
+        placed = None
+    if placed is not None:
+        # One row per file, as in the listing the driver reads them by.
+        files = sorted(r[0] for r in placed.select(file).distinct().collect())
+        files = spark.createDataFrame(list(enumerate(files)), f"{row} bigint, {file} string")
+        number = (F.shiftleft(row, 40) + F.col(at)).alias(row)
+        rows = placed.join(F.broadcast(files), file).select(*docs.columns, number)
+        # A row that came of another one, as by a join, has no place of its own.
+        if rows.groupBy(row).count().where("count > 1").isEmpty():
+            return rows
+    return tables.written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+
+
 def near_duplicates(spark, docs, sf_dir):
     """One row, of those with the smallest id, of each class of near copies.
 
     Rows count each for itself, also those that share an id; rows without id stay.
     """
     row, = tables.fresh(docs, "row_")
-    # Written with their numbers, so that each reading has the same ones.
-    rows = tables.written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    rows = numbered(spark, docs, row)
     known = rows.where("doc_id is not null")
     ids = known.select(F.col(row).alias("r"), F.col("doc_id").cast("bigint").alias("id"))
     placed = dedup.near_duplicates(known.select(F.col(row).alias("doc_id"), "text"))
