@@ -92,8 +92,9 @@ class _Schedule(StatefulProcessor):
         )
 
     def _expect(self, row, seq):
-        if self.state.exists():
-            held = self.state.get()
+        # Each call asks the store by a message of its own; ``get`` gives None for no state.
+        held = self.state.get()
+        if held is not None:
             if held[0] >= seq:
                 return
             if not held[5]:
@@ -117,9 +118,10 @@ class _Schedule(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.state.exists():
+        held = self.state.get()
+        if held is None:
             return
-        seq, due, last, etag, modified, submitted = self.state.get()
+        seq, due, last, etag, modified, submitted = held
         if submitted:
             return
         self.state.update((seq, due, last, etag, modified, True))
@@ -175,43 +177,55 @@ class _Deliveries(StatefulProcessor):
     def _row(self, key, kind, attempt):
         return Row(message_id=key[0], kind=kind, attempt=attempt)
 
-    def _wait(self, failures, at):
-        timer = at + self.wait * 1000
-        self.handle.registerTimer(timer)
-        self.state.update((failures, timer))
+    def _after(self, failures, at):
+        return failures, at + self.wait * 1000
+
+    def _keep(self, held, now):
+        """The state ``now`` in place of ``held``, either None for a settled message."""
+        if now == held:
+            return
+        if held is not None:
+            self.handle.deleteTimer(held[1])
+        if now is None:
+            self.state.clear()
+        else:
+            self.handle.registerTimer(now[1])
+            self.state.update(now)
 
     def handleInputRows(self, key, rows, timerValues):
+        # Each call asks the store by a message of its own: once per key and batch.
+        held = now = self.state.get()
         for row in sorted(rows, key=lambda r: (r.status is not None, r.attempt or 0)):
             at = int(row.at_ms)
             if row.status is None:
-                if not self.state.exists():
-                    self._wait(0, at)
+                if now is None:
+                    now = self._after(0, at)
                     yield self._row(key, "sent", 1)
                 continue
             # Answers to a message that is settled, or was never sent, are not heard.
-            if not self.state.exists():
+            if now is None:
                 continue
-            failures, timer = self.state.get()
+            failures = now[0] + 1
             if row.status == 200:
-                kind, failures = "delivered", failures + 1
+                kind = "delivered"
             else:
-                failures += 1
                 kind = "given up" if failures > self.most else None
-            self.handle.deleteTimer(timer)
+            now = None if kind else self._after(failures, at)
             if kind:
-                self.state.clear()
                 yield self._row(key, kind, failures)
-            else:
-                self._wait(failures, at)
+        self._keep(held, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.state.exists():
+        held = self.state.get()
+        if held is None:
             return
-        failures, timer = self.state.get()
+        failures, timer = held
         if timer != expiredTimerInfo.getExpiryTimeInMs():
             return
         # No answer is tried again, without end (Q-24); the clock goes on from here.
-        self._wait(failures, timer)
+        failures, timer = self._after(failures, timer)
+        self.handle.registerTimer(timer)
+        self.state.update((failures, timer))
         yield self._row(key, "sent", failures + 1)
 
     def close(self):
