@@ -64,3 +64,15 @@ def test_schedule_asks_once():
     held.asked = 0
     assert [r.next_fetch_time for r in job.handleExpiredTimer(("u",), None, None)] == [20]
     assert list(job.handleExpiredTimer(("u",), None, None)) == [] and held.asked == 2
+
+
+def test_outdone_responses_do_not_reach_the_state(spark):
+    schema = "url string, seq long, last_fetch_time long, last_fetch_etag string, last_fetch_modified string"
+    rows = [(f"u{k % 5}", k, 10 * k, None, None) for k in range(2000)]
+    # A late one with a high number, a tie, and rows without number, time or URL.
+    odd = [("u0", 9999, 5, "late", None), ("u1", 1996, 7, "tie", None), ("u2", None, 3, None, None)]
+    odd += [("u3", 5, None, None, None), (None, 1, 1, None, None), (None, 2, 2, None, None)]
+    made = spark.createDataFrame(rows + odd, schema).coalesce(1)
+    got = sorted((r.url or "", r.seq or -1, r.last_fetch_time or -1) for r in state._not_outdone(made).collect())
+    last = [(f"u{k % 5}", k, 10 * k) for k in range(1995, 2000)]
+    assert got == sorted(last + [("u0", 9999, 5), ("u2", -1, 3), ("u3", 5, -1), ("", 2, 2)])

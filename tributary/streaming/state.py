@@ -6,6 +6,10 @@ whole.  What changes comes out as rows; nothing is rewritten per batch.  Times a
 event times: timers run out when the watermark passes them.
 """
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -134,6 +138,31 @@ class _Schedule(StatefulProcessor):
         pass
 
 
+def _not_outdone(responses):
+    """``responses`` without those that, among the rows of an Arrow batch, another one of
+    their URL is not behind in ``seq`` nor in time: only the last one is heard, and
+    whichever of two is late by the clock, the earlier one is too."""
+
+    def left(batches):
+        for batch in batches:
+            seq, time = batch.column("seq"), batch.column("last_fetch_time")
+            whole = pc.and_(pc.is_valid(seq), pc.is_valid(time)).to_numpy(zero_copy_only=False)
+            url = pc.dictionary_encode(batch.column("url"), null_encoding="encode").indices
+            url, seq, time = (
+                pc.fill_null(x, 0).to_numpy(zero_copy_only=False)[whole] for x in (url, seq, time)
+            )
+            order = np.lexsort((~time, ~seq, url))
+            url, time = url[order], time[order]
+            top = pd.Series(time).groupby(url).cummax().to_numpy()
+            keep = np.ones(len(order), bool)
+            keep[1:] = (url[1:] != url[:-1]) | (time[1:] > top[:-1])
+            rows = np.flatnonzero(whole)[order][keep]
+            rows = np.sort(np.concatenate([rows, np.flatnonzero(~whole)]))
+            yield batch.take(pa.array(rows))
+
+    return responses.mapInArrow(left, responses.schema)
+
+
 def fetch_jobs(responses, current, interval=schedule.FETCH_INTERVAL):
     """STR-6/7, FLT-2/4, PRJ-5: a job for each URL when it is due, by a timer.
 
@@ -143,7 +172,8 @@ def fetch_jobs(responses, current, interval=schedule.FETCH_INTERVAL):
     than the last one changes nothing.
     """
     last = F.col("last_fetch_time")
-    timed = responses.select(
+    heard = responses.select("url", "seq", last, "last_fetch_etag", "last_fetch_modified")
+    timed = _not_outdone(heard).select(
         "url", "seq", last, "last_fetch_etag", "last_fetch_modified",
         schedule.next_fetch_time(F.col("url"), last, interval).alias("next_fetch_time"),
         F.timestamp_seconds(last).alias("event_time"),
