@@ -29,3 +29,19 @@ def test_runs_of_a_large_batch():
     # Twice as large a batch may not need more.
     assert most < 30 << 20, most
     assert batch.nbytes > 7 * words.SLICE
+
+
+def test_prefixes_are_made_once_a_slice(monkeypatch):
+    """However many lengths of runs are asked for, each polynomial goes over the bytes once."""
+    calls, made = [], phrases._Polynomial.prefixes
+    monkeypatch.setattr(phrases._Polynomial, "prefixes", lambda p, *a: calls.append(p) or made(p, *a))
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two three four five. six " * 9]), pa.array(["a"])], ["text", "lang"])
+    (part,) = phrases._flat(batch)
+    runs = phrases.Runs(*part)
+    for n, places, keys in phrases._candidates(runs, range(1, 6), {}):
+        residues = runs.residues(places, n)
+        found = {}
+        for i, key, residue in zip(places.tolist(), keys.tolist(), residues.tolist()):
+            assert found.setdefault(runs.text(i, n), (key, residue)) == (key, residue)
+        assert len(set(found.values())) == len(found)
+    assert sorted(map(id, calls)) == sorted(map(id, phrases._POLYNOMIALS))

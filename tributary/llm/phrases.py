@@ -65,21 +65,30 @@ class _Polynomial:
             made = np.concatenate([made, made * np.uint64(pow(base, len(made), self.prime)) % np.uint64(self.prime)])
         return made[:n].astype(np.uint32)
 
-    def runs(self, data, starts, ends):
-        """Values of the runs of bytes from ``starts`` to ``ends``."""
+    def prefixes(self, data, *places):
+        """Values of the first bytes of ``data``, for each array of numbers of bytes."""
         n, prime = len(data), np.uint64(self.prime)
         if len(self.up) < n:
             self.up, self.down = self._powers(self.base, n), self._powers(self.inverse, n)
         # Sums of 2**16 products stay below 2**55.
         wide = -(-n // 65536) * 65536
-        terms = np.zeros(wide, np.uint64)
-        terms[:n] = data
-        terms[:n] += np.uint64(1)
-        terms[:n] *= self.up[:n]
-        sums = np.cumsum(terms.reshape(-1, 65536), axis=1) % prime
-        before = np.cumsum(np.concatenate([[0], sums[:-1, -1]]).astype(np.uint64)) % prime
-        prefix = np.concatenate([[np.uint64(0)], ((sums + before[:, None]) % prime).ravel()])
-        return (prefix[ends] + prime - prefix[starts]) % prime * self.down[starts] % prime
+        terms = np.zeros(wide + 1, np.uint64)
+        np.add(data, np.uint64(1), out=terms[1 : n + 1])
+        terms[1 : n + 1] *= self.up[:n]
+        sums = terms[1:].reshape(-1, 65536)
+        np.cumsum(sums, axis=1, out=sums)
+        before = np.cumsum(np.concatenate([[0], sums[:, -1] % prime]).astype(np.uint64)) % prime
+        # Remainders are taken where they are asked for; no byte stands before the first.
+        return [(terms[at] + before[np.maximum(at - 1, 0) >> 16]) % prime for at in places]
+
+    def between(self, first, last, down):
+        """Values of runs, by the prefixes before and with them; ``down`` is of their starts."""
+        # The product stays below 2**63.
+        return (last + np.uint64(self.prime) - first) * down % np.uint64(self.prime)
+
+    def runs(self, data, starts, ends):
+        """Values of the runs of bytes from ``starts`` to ``ends``."""
+        return self.between(*self.prefixes(data, starts, ends), self.down[starts])
 
 
 _RANDOM = np.random.default_rng(20240612)
@@ -145,17 +154,25 @@ class Runs:
         # How many words follow within the piece.
         last = np.searchsorted(piece, piece, "right") - 1
         self.room = last - np.arange(len(starts))
+        self.prefixes = {}
+
+    def values(self, k, at, n):
+        """Polynomial ``k`` of the runs of ``n`` words at ``at``; prefixes are made once a slice."""
+        polynomial = _POLYNOMIALS[k]
+        if k not in self.prefixes:
+            made = polynomial.prefixes(self.bytes, self.starts, self.ends)
+            self.prefixes[k] = *made, polynomial.down[self.starts]
+        first, last, down = self.prefixes[k]
+        return polynomial.between(first[at], last[at + n - 1], down[at])
 
     def hashes(self, at, n):
         """Fingerprints of the runs of ``n`` words at ``at``, language included."""
-        starts, ends = self.starts[at], self.ends[at + n - 1]
-        a, b = (p.runs(self.bytes, starts, ends) for p in _POLYNOMIALS[:2])
+        a, b = (self.values(k, at, n) for k in range(2))
         salt = np.array([hash_of(name) for name in self.names], np.uint64)
         return words.mix((a << np.uint64(31) | b) ^ salt[self.codes[at]])
 
     def residues(self, at, n):
-        found = _POLYNOMIALS[2].runs(self.bytes, self.starts[at], self.ends[at + n - 1])
-        return (found & np.uint64(_RESIDUE)).astype(np.uint32)
+        return (self.values(2, at, n) & np.uint64(_RESIDUE)).astype(np.uint32)
 
     def places(self, n):
         return np.flatnonzero(self.room >= n - 1)
