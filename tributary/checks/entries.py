@@ -399,11 +399,14 @@ def fetch_answers(spark, sf_dir):
 
 
 def feed_routes(spark, sf_dir):
-    subs = registry.subscriber_parts(_subscriptions(spark, sf_dir))
-    stamped = feeds.stamp(_feed_drops(spark, sf_dir), subs)
+    subs = _lists_as_text(registry.subscriber_parts(_subscriptions(spark, sf_dir)))
+    drops = _feed_drops(spark, sf_dir).select("identity_orig_id", "droplet_orig_id")
+    stamped = feeds.stamp(
+        staging.written(drops, "feed-drops"), staging.written(subs, "subscribers", staging.LISTS), dealt=True
+    )
     return stamped.select(
         "identity_orig_id", "droplet_orig_id", "part",
-        csv("river_id").alias("rivers"), csv("channel_ids").alias("channels"),
+        F.col("river_id").alias("rivers"), F.col("channel_ids").alias("channels"),
     )
 
 

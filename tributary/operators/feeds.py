@@ -191,11 +191,12 @@ def entries_to_drops(feed_entries, as_of):
     )
 
 
-def stamp(drops, subscriber_parts):
+def stamp(drops, subscriber_parts, dealt=False):
     """PRJ-7: give each drop the rivers and channels of its URL.
 
     A URL whose subscribers fill several parts yields the drop once per part.
-    ``drops`` should be stored if there are very many subscribers.
+    ``drops`` should be stored if there are very many subscribers.  ``dealt`` deals
+    stored drops of few columns by their lists, which may also be given as text.
     """
     targets = subscriber_parts.select(
         F.col("url").alias("identity_orig_id"),
@@ -204,9 +205,8 @@ def stamp(drops, subscriber_parts):
         "channel_ids",
     )
     plain = drops.drop("river_id", "channel_ids")
-    return scale.skew_join(
-        plain, targets, "identity_orig_id", spread_by=["droplet_orig_id"]
-    )
+    join = scale.dealt_lists if dealt else scale.skew_join
+    return join(plain, targets, "identity_orig_id", spread_by=["droplet_orig_id"])
 
 
 def fetch_responses(answers):
