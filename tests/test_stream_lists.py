@@ -1,7 +1,10 @@
-"""Streams store the lists that drops share once per batch."""
+"""Streams store the lists that drops share once per batch; pairs are not made distinct one by one."""
+
+from collections import Counter
 
 from pyspark.sql import functions as F
 
+from tributary.operators import scale, tweets
 from tributary.streaming import jobs
 
 REGISTRY = "type string, term string, channel_id bigint, river_id bigint"
@@ -29,3 +32,28 @@ def test_matched_ids_and_lists_are_stored_apart(spark, tmp_path):
     assert got == {
         k: (0, [0, 1, 2], [100 * (k % 2) + c for c in range(40 if k % 3 else 60)]) for k in range(300) if k % 3 < 2
     }
+
+
+def test_channels_of_drops_come_once(spark, monkeypatch):
+    known = _known(spark)
+    # One id has two texts, as one status may come in two batches; parts of terms differ.
+    plain = spark.createDataFrame(
+        [("a", "x cat"), ("a", "y big"), ("b", "x cat"), ("b", "x cat"), ("c", "y big"), (None, "y big"), ("d", "z none")],
+        "id string, key string",
+    )
+    cat = tweets.term_subscribers(known, "track", 10).where("term = 'cat'")
+    big = tweets.term_subscribers(known, "track", 7).where("term = 'big'")
+    lists = cat.withColumn("term", F.lit("x cat")).unionByName(big.withColumn("term", F.lit("y big")))
+    lists = lists.select(F.col("term").alias("key"), "part", F.col("rivers").alias("river_id"), F.col("channels").alias("channel_ids"))
+    overlap = lists.where("key = 'x cat'").limit(1).withColumn("part", F.lit(99).cast("bigint"))
+    want = Counter(
+        [("a", c) for c in range(60)] + [("b", c) for c in range(40)] + [(None, c) for c in range(30, 60)]
+        + [("c", c) for c in range(30, 60)]
+    )
+    for small in (True, False):
+        monkeypatch.setattr(scale, "is_small", lambda *a, small=small, **k: small)
+        out = tweets.channels_of(plain, lists.unionByName(overlap))
+        assert out.columns == ["id", "channel_id"]
+        assert Counter((r.id, r.channel_id) for r in out.collect()) == want
+        # No pair is shuffled for being made distinct.
+        assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString().partition("Generate")[0]
